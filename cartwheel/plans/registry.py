@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 _MODULES = (
     "cartwheel.plans.quality_queries",
     "cartwheel.plans.contract_queries",
+    "cartwheel.plans.feature_queries",
 )
 
 
