@@ -10,6 +10,7 @@ _MODULES = (
     "cartwheel.plans.quality_queries",
     "cartwheel.plans.contract_queries",
     "cartwheel.plans.feature_queries",
+    "cartwheel.plans.eval_queries",
 )
 
 
