@@ -24,7 +24,7 @@ def scored_sessions(spark, sf):
     # the prior is one number fitted on train (a model parameter)
     p = prior.first()["score_c"]
     return s.select(
-        *KEY_COLUMNS, "split", "Revenue", F.col("Revenue").alias("label"),
+        *KEY_COLUMNS, "split", "Revenue", "VisitorType", F.col("Revenue").alias("label"),
         F.round(F.col("PageValues") / (F.col("PageValues") + 20.0), 4).alias("score"),
         F.round(1.0 - F.col("ExitRates") * 5.0, 4).alias("score_b"),
         F.lit(p).alias("score_c"),

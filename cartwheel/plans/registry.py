@@ -11,6 +11,7 @@ _MODULES = (
     "cartwheel.plans.contract_queries",
     "cartwheel.plans.feature_queries",
     "cartwheel.plans.eval_queries",
+    "cartwheel.plans.ops_queries",
 )
 
 
