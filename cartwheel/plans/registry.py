@@ -12,6 +12,7 @@ _MODULES = (
     "cartwheel.plans.feature_queries",
     "cartwheel.plans.eval_queries",
     "cartwheel.plans.ops_queries",
+    "cartwheel.plans.train_queries",
 )
 
 
