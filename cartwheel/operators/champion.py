@@ -19,6 +19,7 @@ from cartwheel.operators import split as G
 from cartwheel.operators import train as T
 from cartwheel.operators.features import model_feature_columns
 from cartwheel.schema import EXPECTED_COLUMNS, KEY_COLUMNS
+from cartwheel.session import materialize
 from cartwheel.sources import artifacts, reports, runlog
 
 
@@ -32,9 +33,14 @@ class TrainingOutcome:
 
 
 def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_trees: int = 20,
-                   forest_depth: int = 8, model_version: str = "local", experiment: str = "champion") -> TrainingOutcome:
+                   forest_depth: int = 8, model_version: str = "local", experiment: str = "champion",
+                   log=lambda msg: None) -> TrainingOutcome:
     raw = sessions.select(*KEY_COLUMNS, *[F.col(c).cast("string").alias(c) for c in EXPECTED_COLUMNS])
     valid = C.validate(raw, strict=True, key_columns=KEY_COLUMNS).valid
+    # The validated table feeds the split and every fit: write it once as Parquet under the
+    # shared checkpoint folder (cuts lineage, survives executor loss, keeps later plans small).
+    valid = materialize(valid, "validated_sessions")
+    log("validated")
     split = G.stratified_split(valid, seed=seed).persist()
     train = split.filter(F.col("split") == "train")
     n_train = train.count()
@@ -45,13 +51,16 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
                                       forest_depth=forest_depth, train_rows=n_train),
              *T.production_candidates(include_page_values=False, seed=seed, forest_trees=forest_trees,
                                       forest_depth=forest_depth, train_rows=n_train)]
+    log("split")
     res = T.sweep(cands, train, validation)
+    log("sweep")
     runs = T.runs_from_records(res.records, cands).persist()
     best = K.champion(runs).first()
     name, threshold = best["run_name"], float(best["threshold"])
     cand = next(c for c in cands if c.name == name)
     test_scores = T.score_candidate(cand, res.models[name], test)
     test_rec = H.metric_record(test_scores, score="score", label="label", threshold=threshold).first().asDict()
+    log("test")
     # reports and run log
     val_long = reports.record_to_long(runs.filter(F.col("run_name") == name).drop("run_name", "family", "model",
                                                                                     "feature_set"), "validation")
@@ -62,6 +71,7 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
                                                                    "threshold", "brier_score"),
                                  param_columns=("family", "model", "feature_set"))
     runlog.append_runs(runlog.prefixed(records, "validation_"), f"{out_dir}/runs")
+    log("reports")
     manifest = {}
     model = res.models[name]
     if not isinstance(model, float):
@@ -69,6 +79,7 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
         manifest = artifacts.write_artifact(model, f"{out_dir}/artifact", feature_names=features,
                                             threshold=threshold, model_version=model_version, champion=name,
                                             metrics={k: best[k] for k in ("f1", "pr_auc", "roc_auc")})
+    log("artifact")
     split.unpersist()
     return TrainingOutcome(name, threshold, runs, test_rec, manifest)
 
