@@ -37,9 +37,9 @@ def is_missing(c: str, dtype: str) -> Column:
     return F.col(c).isNull()
 
 
-def bool_key(c: Column) -> Column:
-    """Group key as text; booleans lower-cased ('true' / 'false')."""
-    return F.lower(c.cast("string"))
+def bool_key(c: Column, is_boolean: bool = True) -> Column:
+    """Group key as text; boolean keys lower-cased ('true' / 'false'), others unchanged."""
+    return F.lower(c.cast("string")) if is_boolean else c.cast("string")
 
 
 def r6(c: Column) -> Column:

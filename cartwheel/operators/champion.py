@@ -19,7 +19,6 @@ from cartwheel.operators import split as G
 from cartwheel.operators import train as T
 from cartwheel.operators.features import model_feature_columns
 from cartwheel.schema import EXPECTED_COLUMNS, KEY_COLUMNS
-from cartwheel.session import materialize
 from cartwheel.sources import artifacts, reports, runlog
 
 
@@ -36,10 +35,9 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
                    forest_depth: int = 8, model_version: str = "local", experiment: str = "champion",
                    log=lambda msg: None) -> TrainingOutcome:
     raw = sessions.select(*KEY_COLUMNS, *[F.col(c).cast("string").alias(c) for c in EXPECTED_COLUMNS])
-    valid = C.validate(raw, strict=True, key_columns=KEY_COLUMNS).valid
-    # The validated table feeds the split and every fit: write it once as Parquet under the
-    # shared checkpoint folder (cuts lineage, survives executor loss, keeps later plans small).
-    valid = materialize(valid, "validated_sessions")
+    # The validated table feeds the split and every fit: it is written once as Parquet under
+    # the shared checkpoint folder (cuts lineage, survives executor loss, keeps plans small).
+    valid = C.validate(raw, strict=True, key_columns=KEY_COLUMNS, materialize=True).valid
     log("validated")
     split = G.stratified_split(valid, seed=seed).persist()
     train = split.filter(F.col("split") == "train")

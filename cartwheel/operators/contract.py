@@ -128,12 +128,16 @@ class Validation:
     summary: DataFrame
 
 
-def validate(raw: DataFrame, *, strict: bool = True, key_columns: Sequence[str] = ()) -> Validation:
+def validate(raw: DataFrame, *, strict: bool = True, key_columns: Sequence[str] = (),
+             materialize: bool = False) -> Validation:
     """Validate raw session rows.
 
     strict=True raises ContractError on the first broken rule (reference
     order); otherwise bad rows go to ``quarantine`` and only the valid rows
     continue.  The strict check runs one aggregation job (small result).
+    ``materialize=True`` writes the valid and quarantine tables once under the
+    shared checkpoint folder and returns readers of them — what a production
+    job does, and it keeps later plans from re-deriving the rule expressions.
     """
     missing, unexpected = column_check([c for c in raw.columns if c not in key_columns])
     if missing:
@@ -170,6 +174,10 @@ def validate(raw: DataFrame, *, strict: bool = True, key_columns: Sequence[str]
             raise ContractError(messages[rule])
         if stats["classes"] != 2:
             raise ContractError("dataset must contain two target classes")
+    if materialize:
+        from cartwheel.session import materialize as _write
+
+        valid, bad = _write(valid, "valid_sessions"), _write(bad, "quarantine_sessions")
     return Validation(valid, bad, summary)
 
 

@@ -49,10 +49,14 @@ def dataset_summary(df: DataFrame, columns: Sequence[str] = EXPECTED_COLUMNS, la
     )
 
 
+def _key_text(df: DataFrame, key: str):
+    return bool_key(F.col(key), dict(df.dtypes)[key] == "boolean")
+
+
 def conversion_by(df: DataFrame, key: str, label: str = LABEL) -> DataFrame:
     """F3 for one key: key (text, booleans lower-case), sessions, conversion rate; sorted by key."""
     return (
-        df.groupBy(bool_key(F.col(key)).alias("key"))
+        df.groupBy(_key_text(df, key).alias("key"))
         .agg(F.count(F.lit(1)).alias("sessions"), r6(F.avg(_label_double(label))).alias("conversion_rate"))
         .orderBy("key")
     )
@@ -60,19 +64,16 @@ def conversion_by(df: DataFrame, key: str, label: str = LABEL) -> DataFrame:
 
 def conversion_by_context(df: DataFrame, keys: Sequence[str] = CONVERSION_KEYS, label: str = LABEL) -> DataFrame:
     """F3 for several keys in one pass (GROUPING SETS): section, key, sessions, conversion_rate."""
-    proj = df.select(*[bool_key(F.col(k)).alias(k) for k in keys], _label_double(label).alias("_y"))
-    sets = ", ".join(f"({k})" for k in keys)
-    proj.createOrReplaceTempView("_cw_conv_in")
-    gid = "grouping_id(" + ", ".join(keys) + ")"
-    section = "CASE " + " ".join(
-        f"WHEN {gid} = {((1 << len(keys)) - 1) ^ (1 << (len(keys) - 1 - i))} THEN '{k}'" for i, k in enumerate(keys)
-    ) + " END"
-    key = "coalesce(" + ", ".join(keys) + ")"
-    out = proj.sparkSession.sql(
-        f"SELECT {section} AS section, {key} AS key, count(*) AS sessions, round(avg(_y), 6) AS conversion_rate "
-        f"FROM _cw_conv_in GROUP BY GROUPING SETS ({sets})"
-    )
-    return out
+    proj = df.select(*[_key_text(df, k).alias(k) for k in keys], _label_double(label).alias("_y"))
+    n = len(keys)
+    gid = F.grouping_id(*keys)
+    agg = proj.groupingSets([[F.col(k)] for k in keys], *keys).agg(
+        F.count(F.lit(1)).alias("sessions"), r6(F.avg("_y")).alias("conversion_rate"), gid.alias("_gid"))
+    # grouping_id() must be evaluated inside the aggregation; derive the section from it afterwards
+    sec = F.lit(None).cast("string")
+    for i, k in enumerate(keys):
+        sec = F.when(F.col("_gid") == (((1 << n) - 1) ^ (1 << (n - 1 - i))), F.lit(k)).otherwise(sec)
+    return agg.select(sec.alias("section"), F.coalesce(*keys).alias("key"), "sessions", "conversion_rate")
 
 
 def conversion_by_month(df: DataFrame, months: Sequence[str], label: str = LABEL) -> DataFrame:

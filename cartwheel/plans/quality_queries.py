@@ -49,7 +49,9 @@ LEFT JOIN (SELECT Month, count(*) AS sessions, round(avg(CAST(Revenue AS DOUBLE)
 _conv_parts = []
 for _k in Q.CONVERSION_KEYS:
     _conv_parts.append(
-        f"SELECT '{_k}' AS section, lower(CAST({_k} AS VARCHAR)) AS key, count(*) AS sessions, "
+        f"SELECT '{_k}' AS section, "
+        + (f"lower(CAST({_k} AS VARCHAR))" if _k == "Weekend" else f"CAST({_k} AS VARCHAR)")
+        + " AS key, count(*) AS sessions, "
         f"round(avg(CAST(Revenue AS DOUBLE)), 6) AS conversion_rate FROM sessions GROUP BY 1, 2"
     )
 _register(
