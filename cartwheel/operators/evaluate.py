@@ -48,11 +48,13 @@ def _counts(scored: DataFrame, groups: Sequence[str], score: str, label: str) ->
 
 
 def pr_points(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "score", label: str = "label",
-              n_buckets: int = N_BUCKETS) -> DataFrame:
+              n_buckets: int | None = None) -> DataFrame:
     """H1: one row per (group, distinct score): pos, neg, tp, fp, P, N, precision, recall, f1."""
     scored, groups, added = _grouped(scored, groups)
     pts = _counts(scored, groups, score, label)
-    cum = running_sums(pts, bucket=quantile_bucket(pts, "score", n_buckets, descending=True),
+    # bucket count grows with the cluster's shuffle width (cut points: one approxQuantile pass)
+    nb = n_buckets or max(N_BUCKETS, 2 * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cum = running_sums(pts, bucket=quantile_bucket(pts, "score", nb, descending=True, rel_error=1.0 / (4 * nb)),
                        order=[F.desc("score")], sums=["pos", "neg"], partition_by=groups)
     cum = cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
     totals = pts.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
@@ -135,8 +137,11 @@ def reliability_curve(scored: DataFrame, *, groups: Sequence[str] = (), score: s
                       label: str = "label", n_bins: int = 10) -> DataFrame:
     """H8: quantile-binned reliability curve; bin = number of inner edges < score; empty bins dropped."""
     scored, groups, added = _grouped(scored, groups)
-    qs = [i / n_bins for i in range(1, n_bins)]
-    edges = scored.groupBy(*groups).agg(F.percentile(score, F.array(*[F.lit(q) for q in qs])).alias("_e"))
+    from cartwheel.operators.quantiles import quantile_columns
+
+    qs = {f"e{i}": i / n_bins for i in range(1, n_bins)}
+    wide = quantile_columns(scored.select(*groups, score), groups, score, qs)
+    edges = wide.select(*groups, F.array(*[F.col(k) for k in qs]).alias("_e"))
     j = scored.join(F.broadcast(edges), list(groups))  # one row of edges per group
     s = F.col(score)
     b = F.size(F.filter(F.col("_e"), lambda e: e < s)).alias("bin")

@@ -54,6 +54,14 @@ def error_alarm(log: DataFrame, period: str = ALARM_PERIOD, min_errors: int = 1)
 
 def route_latency(log: DataFrame, *, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Requests, mean and p95 latency per (route, status)."""
-    p95 = F.percentile("duration_ms", 0.95) if exact else F.percentile_approx("duration_ms", 0.95, accuracy)
-    return log.groupBy("route", "status").agg(
-        F.count(F.lit(1)).alias("requests"), r6(F.avg("duration_ms")).alias("mean_ms"), r6(p95).alias("p95_ms"))
+    base = log.groupBy("route", "status").agg(
+        F.count(F.lit(1)).alias("requests"), r6(F.avg("duration_ms")).alias("mean_ms"),
+        *([] if exact else [r6(F.percentile_approx("duration_ms", 0.95, accuracy)).alias("p95_ms")]))
+    if not exact:
+        return base
+    from cartwheel.operators.quantiles import exact_quantiles
+
+    q = exact_quantiles(log.select("route", "status", "duration_ms"), ["route", "status"], "duration_ms", [0.95])
+    # one row per (route, status)
+    return base.join(F.broadcast(q.select("route", "status", r6(F.col("duration_ms")).alias("p95_ms"))),
+                     ["route", "status"])

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.expr import bool_key, is_missing, r6, unpivot
+from cartwheel.operators.quantiles import quantile_columns
 from cartwheel.schema import EXPECTED_COLUMNS, LABEL, NUMERIC_DESCRIBE_COLUMNS
 
 # The seven columns compared for duplicate sessions (FIXTURES.md §2).
@@ -91,26 +92,22 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_DESCRIBE_CO
                      accuracy: int = 10000) -> DataFrame:
     """count, mean, std (n-1), min, quartiles (linear interpolation), max for each column.
 
-    ``exact=False`` uses ``percentile_approx`` (bounded memory per group) for
-    very large inputs; the exact form keeps a value→count map per column.
+    Exact quartiles come from ``quantiles.exact_quantiles`` (distributed, no
+    per-column value map); ``exact=False`` uses ``percentile_approx``.
     """
     long = unpivot(df, [], columns, "column", "value")
+    base = long.groupBy("column").agg(
+        F.count("value").alias("count"), r6(F.avg("value")).alias("mean"),
+        r6(F.stddev_samp("value")).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
+        *([] if exact else [F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)),
+                                                accuracy).alias("_q")]))
     if exact:
-        q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        q = quantile_columns(long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+        base = base.join(F.broadcast(q), "column")  # one row per described column
     else:
-        q = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-    agg = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        r6(F.avg("value")).alias("mean"),
-        r6(F.stddev_samp("value")).alias("std"),
-        F.min("value").alias("min"),
-        q.alias("_q"),
-        F.max("value").alias("max"),
-    )
-    return agg.select(
-        "column", "count", "mean", "std", "min",
-        r6(F.col("_q")[0]).alias("p25"), r6(F.col("_q")[1]).alias("p50"), r6(F.col("_q")[2]).alias("p75"), "max",
-    )
+        base = base.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
+    return base.select("column", "count", "mean", "std", "min", r6(F.col("p25")).alias("p25"),
+                       r6(F.col("p50")).alias("p50"), r6(F.col("p75")).alias("p75"), "max")
 
 
 def signal_means_by_label(df: DataFrame, columns: Sequence[str] = SIGNAL_COLUMNS, label: str = LABEL) -> DataFrame:
@@ -161,11 +158,16 @@ def drop_duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) ->
     return df.dropDuplicates(list(columns) if columns else None)
 
 
+def with_total(df: DataFrame, column: str, name: str = "_total") -> DataFrame:
+    """Attach the column total to every row: one-row aggregate joined on a constant key
+    (broadcast hash join against one row — no global window, no cartesian product)."""
+    tot = df.agg(F.sum(column).alias(name)).withColumn("_k", F.lit(0))
+    return df.withColumn("_k", F.lit(0)).join(F.broadcast(tot), "_k").drop("_k")
+
+
 def _shares(g: DataFrame, key: str, weight, name: str) -> DataFrame:
     t = g.groupBy(key).agg(F.sum(weight).alias("_w")).filter(F.col("_w") > 0)
-    return t.select(
-        F.col(key), r6(F.col("_w") / F.sum("_w").over(Window.partitionBy())).alias(name)
-    )
+    return with_total(t, "_w").select(F.col(key), r6(F.col("_w") / F.col("_total")).alias(name))
 
 
 def share_comparison(df: DataFrame, key: str, left: str, right: str,
@@ -213,8 +215,8 @@ def duplicate_activity_means(df: DataFrame, columns: Sequence[str] = DUPLICATE_C
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Count and share per value, most frequent first (value breaks ties)."""
     c = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    return c.select(
-        "value", "count", r6(F.col("count") / F.sum("count").over(Window.partitionBy())).alias("share")
+    return with_total(c, "count").select(
+        "value", "count", r6(F.col("count") / F.col("_total")).alias("share")
     ).orderBy(F.desc("count"), "value")
 
 
@@ -258,19 +260,20 @@ def context_spread(df: DataFrame, columns: Sequence[str] = CONTEXT_COLUMNS, min_
 def tail_quantiles(df: DataFrame, columns: Sequence[str], *, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """p99, p99.9, max and number of rows above p99 for each column.
 
-    Two passes: quantiles per column (one aggregation over the unpivoted
-    scan), then a count against those per-column scalars, joined on the
-    column name (a table with one row per column).
+    Two passes: quantiles per column (distributed exact form, or approximate),
+    then a count against those per-column scalars joined on the column name
+    (a table with one row per column, broadcast).
     """
     long = unpivot(df, [], columns, "column", "value")
-    qf = F.percentile if exact else (lambda c, p: F.percentile_approx(c, p, accuracy))
-    q = long.groupBy("column").agg(
-        qf("value", F.array(F.lit(0.99), F.lit(0.999))).alias("_q"), F.max("value").alias("max")
-    ).select("column", F.col("_q")[0].alias("p99"), F.col("_q")[1].alias("p999"), "max")
-    above = long.join(F.broadcast(q.select("column", "p99")), "column").groupBy("column").agg(
-        F.count_if(F.col("value") > F.col("p99")).alias("above_p99")
-    )
-    return q.join(above, "column").select(
+    if exact:
+        q = quantile_columns(long, ["column"], "value", {"p99": 0.99, "p999": 0.999})
+    else:
+        q = long.groupBy("column").agg(F.percentile_approx("value", F.array(F.lit(0.99), F.lit(0.999)),
+                                                           accuracy).alias("_q")).select(
+            "column", F.col("_q")[0].alias("p99"), F.col("_q")[1].alias("p999"))
+    stats = long.join(F.broadcast(q.select("column", "p99")), "column").groupBy("column").agg(
+        F.max("value").alias("max"), F.count_if(F.col("value") > F.col("p99")).alias("above_p99"))
+    return q.join(F.broadcast(stats), "column").select(
         "column", r6(F.col("p99")).alias("p99"), r6(F.col("p999")).alias("p999"), "max",
         F.col("above_p99").cast("bigint").alias("above_p99"),
     )
@@ -308,10 +311,7 @@ def equal_width_histogram(df: DataFrame, columns: Sequence[str] = HISTOGRAM_COLU
 def box_summary(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:
     """quartiles and 1.5·IQR whiskers (most extreme points inside the fences) by label."""
     long = unpivot(df.withColumn("_label", bool_key(F.col(label))), ["_label"], columns, "column", "value")
-    q = long.groupBy("column", "_label").agg(
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q")
-    ).select("column", "_label", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-             F.col("_q")[2].alias("q3"))
+    q = quantile_columns(long, ["column", "_label"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     fences = q.select("*", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo_f"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi_f"))
     inside = F.col("value").between(F.col("lo_f"), F.col("hi_f"))

@@ -25,7 +25,9 @@ def ranked_within_class(df: DataFrame, seed: int | str, label: str = LABEL,
                         key_columns: Sequence[str] = KEY_COLUMNS) -> DataFrame:
     """Add ``_h`` (order hash), ``rn`` (1-based rank in class) and ``n_class``."""
     h = df.withColumn("_h", order_hash(seed, key_columns))
-    ranked = row_numbers(h, bucket=hex_prefix_bucket(F.col("_h"), 2),
+    # 4 hex digits → 65,536 buckets per class: ~1.5 GB per window partition at 100 TB, and
+    # the bucket-offset table stays at ≤ 65,536 rows per class.
+    ranked = row_numbers(h, bucket=hex_prefix_bucket(F.col("_h"), 4),
                          order=[F.col("_h"), *[F.col(k) for k in key_columns]], partition_by=[label])
     # Class sizes: one row per label value (two for a boolean label), so the broadcast is bounded.
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
