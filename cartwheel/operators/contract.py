@@ -352,3 +352,16 @@ def dataset_vs_request_rules() -> dict[str, tuple[str, ...]]:
 
 
 _ = CONTINUOUS_COLUMNS  # re-exported for callers
+
+
+def unknown_categories(raw: DataFrame, domains: dict[str, Sequence[str]] = DOMAINS) -> DataFrame:
+    """(column, value) of category values outside the domain — distinct values
+    anti-joined with the domain table (a fixed, tiny table: broadcast)."""
+    spark = raw.sparkSession
+    dom = spark.createDataFrame([(c, v) for c, vals in domains.items() for v in vals], "column string, value string")
+    seen = None
+    for c in domains:
+        d = raw.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")).filter(
+            F.col("value").isNotNull()).distinct()
+        seen = d if seen is None else seen.unionByName(d)
+    return seen.join(F.broadcast(dom), ["column", "value"], "left_anti")

@@ -118,7 +118,12 @@ def metric_record(scored: DataFrame, *, groups: Sequence[str] = (), score: str =
     """H7: the 10-field metric record per group (+ threshold).  Threshold defaults to H2's."""
     scored, groups, added = _grouped(scored, groups)
     pts = pr_points(scored, groups=groups, score=score, label=label)
-    th = f1_threshold(pts, groups) if threshold is None else threshold
+    if threshold is None:
+        th = f1_threshold(pts, groups)
+    elif isinstance(threshold, DataFrame) and added:
+        th = threshold.withColumn(_G, F.lit(0))
+    else:
+        th = threshold
     at = at_threshold(scored, th, groups=groups, score=score, label=label)
     curve = curve_summary(pts, groups)
     j = at.join(F.broadcast(curve), list(groups))  # one row per group

@@ -13,6 +13,7 @@ _MODULES = (
     "cartwheel.plans.eval_queries",
     "cartwheel.plans.ops_queries",
     "cartwheel.plans.train_queries",
+    "cartwheel.plans.summary_queries",
 )
 
 
