@@ -50,3 +50,31 @@ def health(manifest: DataFrame) -> DataFrame:
         F.when(ok, "ok").otherwise("degraded").alias("status"),
         F.when(ok, F.col("model_version")).alias("model_version"),
     )
+
+
+def predict_for_run(registry: dict, run_name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Scores (keys…, score) of any registered run by name.
+
+    Registry entries: {"kind": "model", "model": PipelineModel}, {"kind": "blend", "members": (a, b),
+    "weights": (wa, wb)} composed from member scores joined on the row keys, or {"kind": "calibrated",
+    "base": name, "calibrator": fitted IsotonicRegressionModel}.  Unknown kinds are an error.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    if run_name not in registry:
+        raise KeyError(f"unknown run {run_name!r}")
+    entry = registry[run_name]
+    kind = entry.get("kind")
+    if kind == "model":
+        out = entry["model"].transform(df)
+        return out.select(*keys, vector_to_array("probability")[1].alias("score"))
+    if kind == "blend":
+        (a, b), (wa, wb) = entry["members"], entry["weights"]
+        sa = predict_for_run(registry, a, df, keys).withColumnRenamed("score", "_a")
+        sb = predict_for_run(registry, b, df, keys).withColumnRenamed("score", "_b")
+        return sa.join(sb, list(keys)).select(*keys, (F.lit(wa) * F.col("_a") + F.lit(wb) * F.col("_b")).alias("score"))
+    if kind == "calibrated":
+        base = predict_for_run(registry, entry["base"], df, keys)
+        cal = entry["calibrator"].transform(base.withColumn("features", F.col("score")))
+        return cal.select(*keys, F.col("calibrated").alias("score"))
+    raise ValueError(f"unknown model kind for run {run_name!r}")
