@@ -41,6 +41,16 @@ def _ungroup(df: DataFrame, added: bool) -> DataFrame:
     return df.drop(_G) if added else df
 
 
+def _attach(df: DataFrame, small: DataFrame, groups: Sequence[str], added: bool) -> DataFrame:
+    """Attach a table with one row per group.  Grouped: broadcast hash join on the group keys
+    (bounded by the number of groups).  Ungrouped: the single row is a handful of numbers —
+    pulled once and attached as literals, so no join at all."""
+    if added:
+        row = small.first()
+        return df.select("*", *[F.lit(row[c]).alias(c) for c in small.columns if c not in groups])
+    return df.join(F.broadcast(small), list(groups))
+
+
 def _counts(scored: DataFrame, groups: Sequence[str], score: str, label: str) -> DataFrame:
     y = F.col(label).cast("int")
     return scored.groupBy(*groups, F.col(score).alias("score")).agg(
@@ -58,7 +68,7 @@ def pr_points(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "sc
                        order=[F.desc("score")], sums=["pos", "neg"], partition_by=groups)
     cum = cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
     totals = pts.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = cum.join(F.broadcast(totals), list(groups), "inner")  # one row per group
+    j = _attach(cum, totals, groups, added)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     recall = F.when(F.col("P") == 0, F.lit(1.0)).otherwise(F.col("tp") / F.col("P"))
     out = j.select("*", precision.alias("precision"), recall.alias("recall"))
@@ -93,12 +103,11 @@ def at_threshold(scored: DataFrame, thresholds: DataFrame | float, *, groups: Se
     """
     if isinstance(thresholds, (int, float)):
         base = scored.withColumn("threshold", F.lit(float(thresholds)))
+    elif not groups or groups == [_G]:
+        base = scored.withColumn("threshold", F.lit(float(thresholds.first()["threshold"])))
     else:
-        scored, groups, added = _grouped(scored, groups)
-        th = thresholds if not added else thresholds.withColumn(_G, F.lit(0))
         # one row per group (candidate runs): bounded broadcast
-        base = _ungroup(scored.join(F.broadcast(th.select(*groups, "threshold")), list(groups)), added)
-        groups = [] if added else groups
+        base = scored.join(F.broadcast(thresholds.select(*groups, "threshold")), list(groups))
     pred = F.col(score) >= F.col("threshold")
     y = F.col(label)
     agg = base.groupBy(*groups, "threshold").agg(
@@ -118,15 +127,12 @@ def metric_record(scored: DataFrame, *, groups: Sequence[str] = (), score: str =
     """H7: the 10-field metric record per group (+ threshold).  Threshold defaults to H2's."""
     scored, groups, added = _grouped(scored, groups)
     pts = pr_points(scored, groups=groups, score=score, label=label)
-    if threshold is None:
-        th = f1_threshold(pts, groups)
-    elif isinstance(threshold, DataFrame) and added:
-        th = threshold.withColumn(_G, F.lit(0))
-    else:
-        th = threshold
+    th = f1_threshold(pts, groups) if threshold is None else threshold
+    if added and isinstance(th, DataFrame):
+        th = float(th.first()["threshold"])  # one number: the fitted threshold
     at = at_threshold(scored, th, groups=groups, score=score, label=label)
     curve = curve_summary(pts, groups)
-    j = at.join(F.broadcast(curve), list(groups))  # one row per group
+    j = _attach(at, curve, groups, added)
     out = j.select(
         *groups, r6(F.col("threshold")).alias("threshold"),
         r6(F.col("roc_auc")).alias("roc_auc"), r6(F.col("pr_auc")).alias("pr_auc"),
@@ -147,7 +153,7 @@ def reliability_curve(scored: DataFrame, *, groups: Sequence[str] = (), score: s
     qs = {f"e{i}": i / n_bins for i in range(1, n_bins)}
     wide = quantile_columns(scored.select(*groups, score), groups, score, qs)
     edges = wide.select(*groups, F.array(*[F.col(k) for k in qs]).alias("_e"))
-    j = scored.join(F.broadcast(edges), list(groups))  # one row of edges per group
+    j = _attach(scored, edges, groups, added)  # one row of edges per group
     s = F.col(score)
     b = F.size(F.filter(F.col("_e"), lambda e: e < s)).alias("bin")
     return _ungroup(j.groupBy(*groups, b).agg(
@@ -221,16 +227,15 @@ def long_scores(df: DataFrame, keys: Sequence[str], score_columns: Sequence[str]
 
 def calibration_gate(records: DataFrame, base: str, candidates: Sequence[str], name: str = "run_name") -> DataFrame:
     """The lower-Brier candidate, kept only if it beats ``base`` (empty result otherwise)."""
-    cand = records.filter(F.col(name).isin(*candidates)).agg(
-        F.min(F.struct("brier_score", name)).alias("_b"))
-    b = records.filter(F.col(name) == base).select(F.lit(0).alias(_G), F.col("brier_score").alias("base_brier"))
-    j = cand.withColumn(_G, F.lit(0)).join(F.broadcast(b), _G).drop(_G)  # one-row tables
+    # one aggregation over the (small) records table: best candidate and the base side by side
+    j = records.agg(
+        F.min(F.when(F.col(name).isin(*candidates), F.struct("brier_score", name))).alias("_b"),
+        F.max(F.when(F.col(name) == base, F.col("brier_score"))).alias("base_brier"))
     return j.filter(F.col("_b.brier_score") < F.col("base_brier")).select(
         F.col(f"_b.{name}").alias("method"), F.col("_b.brier_score").alias("brier_score"), "base_brier")
 
 
 def lift(scored: DataFrame, base_rate: DataFrame, score: str = "score") -> DataFrame:
     """Base rate (from data, one row) and lift = score / base_rate per row."""
-    j = scored.withColumn(_G, F.lit(0)).join(
-        F.broadcast(base_rate.select(F.lit(0).alias(_G), "base_rate")), _G).drop(_G)  # one-row table
-    return j.withColumn("lift", r6(F.col(score) / F.col("base_rate")))
+    rate = float(base_rate.first()["base_rate"])  # one number computed by Spark from the data
+    return scored.withColumn("base_rate", F.lit(rate)).withColumn("lift", r6(F.col(score) / F.col("base_rate")))

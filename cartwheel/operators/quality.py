@@ -159,10 +159,10 @@ def drop_duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 
 def with_total(df: DataFrame, column: str, name: str = "_total") -> DataFrame:
-    """Attach the column total to every row: one-row aggregate joined on a constant key
-    (broadcast hash join against one row — no global window, no cartesian product)."""
-    tot = df.agg(F.sum(column).alias(name)).withColumn("_k", F.lit(0))
-    return df.withColumn("_k", F.lit(0)).join(F.broadcast(tot), "_k").drop("_k")
+    """Attach the column total to every row: a distributed sum pulled as one number and
+    attached as a literal (no global window, no join)."""
+    total = df.agg(F.sum(column).alias(name)).first()[name]
+    return df.withColumn(name, F.lit(total))
 
 
 def _shares(g: DataFrame, key: str, weight, name: str) -> DataFrame:

@@ -46,8 +46,11 @@ def best_per_family(runs: DataFrame, metric: str = "f1", exclude_families: tuple
 def promotion_gate(runs: DataFrame, previous_f1: DataFrame, metric: str = "f1") -> DataFrame:
     """K7: best current run vs. the previous champion's validation metric (one-row table ``previous_f1``
     with column ``previous``); ``promote`` is true only when strictly better."""
-    best = runs.agg(F.max(F.struct(F.col(metric), F.col("run_name"))).alias("_b")).select(
-        F.lit(0).alias("_k"), F.col("_b.run_name").alias("run_name"), F.col(f"_b.{metric}").alias("best"))
-    prev = previous_f1.select(F.lit(0).alias("_k"), "previous")
-    j = best.join(F.broadcast(prev), "_k").drop("_k")  # two one-row tables
-    return j.withColumn("promote", F.col("best") > F.col("previous"))
+    # stack current runs and the previous value, then one aggregation — no join needed
+    both = runs.select("run_name", F.col(metric).alias("_m"), F.lit(False).alias("_prev")).unionByName(
+        previous_f1.select(F.lit(None).cast("string").alias("run_name"), F.col("previous").alias("_m"),
+                           F.lit(True).alias("_prev")))
+    g = both.agg(F.max(F.when(~F.col("_prev"), F.struct(F.col("_m"), F.col("run_name")))).alias("_b"),
+                 F.max(F.when(F.col("_prev"), F.col("_m"))).alias("previous"))
+    return g.select(F.col("_b.run_name").alias("run_name"), F.col("_b._m").alias("best"), "previous",
+                    (F.col("_b._m") > F.col("previous")).alias("promote"))
