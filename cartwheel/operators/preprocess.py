@@ -80,8 +80,9 @@ def ml_preprocessor(numeric: Sequence[str], categorical: Sequence[str], *, scale
     """D3: pyspark.ml stages — index categoricals (alphabetical, unseen kept as an extra index),
     one-hot with unseen → zero vector, standardise numerics, assemble.
 
-    Booleans and codes are indexed as text; numeric columns are scaled with
-    population SD to match the exact form (StandardScaler uses sample SD).
+    Booleans and codes are indexed as text.  ``StandardScaler`` uses the sample SD
+    (the exact population-SD form is ``standardize``); for model inputs the factor
+    √((n−1)/n) is immaterial.
     """
     from pyspark.ml.feature import StandardScaler
 
@@ -96,7 +97,9 @@ def ml_preprocessor(numeric: Sequence[str], categorical: Sequence[str], *, scale
     cat_features = idx_out
     if categorical and one_hot:
         oh_out = [f"{c}__oh" for c in categorical]
-        stages.append(OneHotEncoder(inputCols=idx_out, outputCols=oh_out, dropLast=True, handleInvalid="keep"))
+        # The indexer puts unseen values at index n (its extra "unknown" label); dropLast drops
+        # exactly that slot, so unseen categories encode as all zeros at unchanged width.
+        stages.append(OneHotEncoder(inputCols=idx_out, outputCols=oh_out, dropLast=True, handleInvalid="error"))
         cat_features = oh_out
     num_features: list[str] = list(numeric)
     if numeric and scale:
