@@ -54,3 +54,20 @@ def test_alarm_stream_matches_batch(spark, tmpdir_path):
     b = {(r["period_start"], r["errors"]) for r in batch.collect()}
     assert s <= b
     assert len(b) - len(s) <= 3
+
+
+def test_micro_batch_scoring_with_pipeline_model(spark):
+    from pyspark.sql import functions as F
+
+    from cartwheel.operators import train as T
+    from cartwheel.plans.feature_queries import split_sessions
+    from cartwheel.schema import FEATURE_COLUMNS
+
+    s = split_sessions(spark, SF_SMALL)
+    train = T.with_training_columns(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "train"))
+    cand = T.production_candidates(forest_trees=5, forest_depth=3)[2]
+    model = T.fit_candidate(cand, train)
+    reqs = C.request_bodies(load_sessions(spark, SF_SMALL))
+    ok, bad = SS.score_batch_with_model(reqs, model, FEATURE_COLUMNS, 0.5, "rf-v1")
+    assert ok.count() + bad.count() == reqs.count()
+    assert ok.filter(~F.col("purchase_probability").between(0, 1)).count() == 0
