@@ -19,7 +19,6 @@ from cartwheel.functions.expr import parse_bool
 from cartwheel.schema import (
     CODE_COLUMNS,
     COUNT_COLUMNS,
-    CONTINUOUS_COLUMNS,
     DURATION_COLUMNS,
     EXPECTED_COLUMNS,
     FEATURE_COLUMNS,
@@ -351,8 +350,6 @@ def dataset_vs_request_rules() -> dict[str, tuple[str, ...]]:
     }
 
 
-_ = CONTINUOUS_COLUMNS  # re-exported for callers
-
 
 def unknown_categories(raw: DataFrame, domains: dict[str, Sequence[str]] = DOMAINS) -> DataFrame:
     """(column, value) of category values outside the domain — distinct values

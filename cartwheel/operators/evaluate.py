@@ -162,31 +162,49 @@ def reliability_curve(scored: DataFrame, *, groups: Sequence[str] = (), score: s
     ), added)
 
 
-def grid_index(score: Column, steps: int = 100) -> Column:
-    """Number of thresholds i/steps (1 ≤ i < steps) that are ≤ score — exact at the boundaries."""
-    k = F.least(F.greatest(F.floor(score * steps), F.lit(0)), F.lit(steps - 1)).cast("int")
-    up = F.when((k < steps - 1) & ((k + 1) / F.lit(float(steps)) <= score), k + 1).otherwise(k)
-    return F.when((up >= 1) & (up / F.lit(float(steps)) > score), up - 1).otherwise(up)
+# The cost threshold grid is linspace(0.01, 0.99, 99) — t_m = m·step + 0.01 with
+# step = (0.99 − 0.01) / 98, last point exactly 0.99 (25 of these doubles differ from m/100).
+GRID_START, GRID_STOP, GRID_NUM = 0.01, 0.99, 99
+
+
+def grid_threshold(m: Column, start: float = GRID_START, stop: float = GRID_STOP, num: int = GRID_NUM) -> Column:
+    """The m-th grid threshold (0-based), computed with the same double operations as linspace."""
+    step = (stop - start) / (num - 1)
+    return F.when(m >= num - 1, F.lit(stop)).otherwise(m.cast("double") * F.lit(step) + F.lit(start))
+
+
+def grid_index(score: Column, start: float = GRID_START, stop: float = GRID_STOP, num: int = GRID_NUM) -> Column:
+    """Number of grid thresholds ≤ score (0…num), exact at the boundaries: an arithmetic guess
+    corrected against the thresholds themselves."""
+    step = (stop - start) / (num - 1)
+    j = F.least(F.greatest(F.floor((score - F.lit(start)) / F.lit(step)), F.lit(-1)), F.lit(num - 1)).cast("int")
+    for _ in range(2):
+        j = F.when((j < num - 1) & (grid_threshold(j + 1, start, stop, num) <= score), j + 1).otherwise(j)
+    for _ in range(2):
+        j = F.when((j >= 0) & (grid_threshold(j, start, stop, num) > score), j - 1).otherwise(j)
+    return j + 1
 
 
 def cost_curve(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "score", label: str = "label",
-               ratios: Sequence[float] = (1, 3, 5, 10), cost_fp: float = 1.0, steps: int = 100) -> DataFrame:
-    """H9: cost_fn·FN + cost_fp·FP at thresholds 1/steps … (steps−1)/steps for each cost ratio.
+               ratios: Sequence[float] = (1, 3, 5, 10), cost_fp: float = 1.0) -> DataFrame:
+    """H9: cost_fn·FN + cost_fp·FP at each grid threshold for each cost ratio.
 
-    Scores are bucketed to the grid index (≤ steps rows per group), then
+    Scores are bucketed to the grid index (≤ 100 rows per group), then
     cumulative sums run over that dense table — never a rows × thresholds product.
+    Output: i (1-based grid position), threshold, fn, fp, tp, cost_ratio, cost.
     """
     scored, groups, added = _grouped(scored, groups)
     y = F.col(label).cast("int")
-    b = scored.groupBy(*groups, grid_index(F.col(score), steps).alias("idx")).agg(
+    b = scored.groupBy(*groups, grid_index(F.col(score)).alias("idx")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     tot = b.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    dense = tot.select(*groups, "P", "N", F.explode(F.sequence(F.lit(0), F.lit(steps - 2))).alias("idx"))
+    dense = tot.select(*groups, "P", "N", F.explode(F.sequence(F.lit(0), F.lit(GRID_NUM - 1))).alias("idx"))
     d = dense.join(b, [*groups, "idx"], "left").fillna(0, ["pos", "neg"])
     w = Window.partitionBy(*groups).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    c = d.select(*groups, "P", "N", (F.col("idx") + 1).alias("i"),
+    # threshold m: FN = positives with fewer than m+1 thresholds ≤ score; FP = the other negatives
+    c = d.select(*groups, "P", "N", (F.col("idx") + 1).alias("i"), grid_threshold(F.col("idx")).alias("threshold"),
                  F.sum("pos").over(w).alias("fn"), F.sum("neg").over(w).alias("neg_below"))
-    c = c.select(*groups, "i", (F.col("i") / F.lit(float(steps))).alias("threshold"), "fn",
+    c = c.select(*groups, "i", "threshold", "fn",
                  (F.col("N") - F.col("neg_below")).alias("fp"), (F.col("P") - F.col("fn")).alias("tp"))
     r = c.select("*", F.explode(F.array(*[F.lit(float(x)) for x in ratios])).alias("cost_ratio"))
     return _ungroup(r.withColumn("cost", F.col("cost_ratio") * F.col("fn") + F.lit(cost_fp) * F.col("fp")), added)
@@ -198,7 +216,7 @@ def cost_thresholds(curve: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
         F.min(F.struct("cost", "i", "tp", "fp", "fn")).alias("_b"))
     tp, fp, fn = F.col("_b.tp"), F.col("_b.fp"), F.col("_b.fn")
     return best.select(
-        *groups, "cost_ratio", F.round(F.col("_b.i") / 100.0, 3).alias("threshold"),
+        *groups, "cost_ratio", F.round(grid_threshold(F.col("_b.i") - 1), 3).alias("threshold"),
         F.col("_b.cost").alias("cost"),
         r6(F.when(tp + fp == 0, 0.0).otherwise(tp / (tp + fp))).alias("precision"),
         r6(F.when(tp + fn == 0, 0.0).otherwise(tp / (tp + fn))).alias("recall"),

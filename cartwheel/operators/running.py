@@ -28,14 +28,24 @@ def quantile_bucket(df: DataFrame, column: str, n_buckets: int, *, descending: b
     a larger value gets a smaller id so ids ascend along a DESC order.
     """
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(v for v in df.approxQuantile(column, probs, rel_error) if v is not None))
+    cuts = sorted(set(float(v) for v in df.approxQuantile(column, probs, rel_error) if v is not None))
     if not cuts:
         return F.lit(0)
-    col = F.col(column)
-    cut_arr = F.array(*[F.lit(float(c)) for c in cuts])
-    if descending:
-        return F.size(F.filter(cut_arr, lambda c: c > col))
-    return F.size(F.filter(cut_arr, lambda c: c <= col))
+    at_or_below = count_at_or_below(F.col(column), cuts)
+    return (F.lit(len(cuts)) - at_or_below) if descending else at_or_below
+
+
+def count_at_or_below(x: Column, cuts: list[float]) -> Column:
+    """Number of sorted cut points ≤ x, as a binary-search CASE tree (depth log2 n, no lambda)."""
+
+    def rec(lo: int, hi: int) -> Column:
+        # invariant: cuts[lo-1] <= x (or lo == 0) and x < cuts[hi] (or hi == n)
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x >= F.lit(cuts[mid]), rec(mid + 1, hi)).otherwise(rec(lo, mid))
+
+    return rec(0, len(cuts))
 
 
 def hex_prefix_bucket(hex_col: Column, chars: int = 2) -> Column:

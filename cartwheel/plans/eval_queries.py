@@ -135,7 +135,8 @@ def _cost_curve(spark, sf):
     return c.select("threshold", "cost_ratio", "fn", "fp", "cost")
 
 
-_COST_CTE = """grid AS (SELECT CAST(i AS DOUBLE) / 100 AS threshold, i FROM range(1, 100) t(i)),
+_COST_CTE = """grid AS (SELECT CASE WHEN i = 99 THEN 0.99e0 ELSE CAST(i - 1 AS DOUBLE) * 0.01e0 + 0.01e0 END AS threshold, i
+             FROM range(1, 100) t(i)),
 cc AS (SELECT g.threshold, g.i, CAST(r.ratio AS DOUBLE) AS cost_ratio,
               count(*) FILTER (WHERE s.label AND s.score < g.threshold) AS fn,
               count(*) FILTER (WHERE NOT s.label AND s.score >= g.threshold) AS fp,
@@ -149,7 +150,7 @@ SQL["cost_curve"] = sql("""SELECT threshold, cost_ratio, CAST(fn AS BIGINT) AS f
 SPARK["cost_thresholds"] = lambda spark, sf: H.cost_thresholds(
     H.cost_curve(scored_sessions(spark, sf), score="score", label="label", ratios=COST_RATIOS))
 SQL["cost_thresholds"] = sql("""
-SELECT cost_ratio, round(i / 100e0, 3) AS threshold, cost,
+SELECT cost_ratio, round(threshold, 3) AS threshold, cost,
   round(CASE WHEN tp + fp = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 6) AS precision,
   round(CASE WHEN tp + fn = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END, 6) AS recall,
   round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0e0 ELSE 2e0 * tp / (2 * tp + fp + fn) END, 6) AS f1

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.functions.digest import content_address, row_fingerprint
-from cartwheel.functions.expr import r6
 from cartwheel.operators import evaluate as H
 from cartwheel.operators import monitor as MON
 from cartwheel.operators import ranking as K
@@ -158,4 +157,3 @@ SELECT user_id, session_date, sha256({_FP_SQL}) AS sha256, md5({_FP_SQL}) AS md5
        'files/md5/' || substr(md5({_FP_SQL}), 1, 2) || '/' || substr(md5({_FP_SQL}), 3, 30) AS content_key
 FROM sessions""")
 
-_ = r6

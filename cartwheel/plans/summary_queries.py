@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartwheel.functions.expr import r6
 from cartwheel.operators import contract as C
 from cartwheel.operators import evaluate as H
 from cartwheel.operators import quality as Q
@@ -13,7 +12,7 @@ from cartwheel.operators.joins import align_reports
 from cartwheel.plans import contract_queries as CQ
 from cartwheel.plans import ops_queries as OQ
 from cartwheel.plans import quality_queries as QQ
-from cartwheel.plans.eval_queries import SCORED_CTE, _CHECK_CTE, _curve_ctes, scored_sessions
+from cartwheel.plans.eval_queries import SCORED_CTE, _curve_ctes, scored_sessions
 from cartwheel.plans.feature_queries import SPLIT_CTE, split_sessions
 from cartwheel.schema import MONTH_ORDER, VISITOR_TYPES
 from cartwheel.sources.sessions import load_sessions, with_sessions
@@ -170,11 +169,13 @@ def _aligned_sql():
              FROM tpts WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
     tcurve AS (SELECT sum(neg * (2 * ctp - pos)) / (2e0 * max(P) * max(N)) AS roc_auc,
                       sum(pos * CAST(ctp AS DOUBLE) / (ctp + cfp)) / max(P) AS pr_auc FROM tcum),
-    cst AS (SELECT i, fn, fp, P - fn AS tp, 5e0 * fn + fp AS cost FROM (
-        SELECT g.i, count(*) FILTER (WHERE s.label AND s.score < g.i / 100e0) AS fn,
-               count(*) FILTER (WHERE NOT s.label AND s.score >= g.i / 100e0) AS fp,
+    grid AS (SELECT CASE WHEN i = 99 THEN 0.99e0 ELSE CAST(i - 1 AS DOUBLE) * 0.01e0 + 0.01e0 END AS t, i
+             FROM range(1, 100) g(i)),
+    cst AS (SELECT i, t, fn, fp, P - fn AS tp, 5e0 * fn + fp AS cost FROM (
+        SELECT g.i, g.t, count(*) FILTER (WHERE s.label AND s.score < g.t) AS fn,
+               count(*) FILTER (WHERE NOT s.label AND s.score >= g.t) AS fp,
                count(*) FILTER (WHERE s.label) AS P
-        FROM range(1, 100) g(i), scored s WHERE s.split = 'test' GROUP BY g.i) x)"""
+        FROM grid g, scored s WHERE s.split = 'test' GROUP BY g.i, g.t) x)"""
     r = lambda e: f"round({e}, 6)"
     body = f"""
 SELECT 'validation' AS report, {", ".join(_REC)} FROM rec
@@ -183,7 +184,7 @@ UNION ALL SELECT 'test', {r('t')}, {r('roc_auc')}, {r('pr_auc')},
   {r('CASE WHEN tp + fn = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END')},
   {r('CASE WHEN 2 * tp + fp + fn = 0 THEN 0e0 ELSE 2e0 * tp / (2 * tp + fp + fn) END')}, {r('brier')},
   CAST(tn AS BIGINT), CAST(fp AS BIGINT), CAST(fn AS BIGINT), CAST(tp AS BIGINT) FROM tst, tcurve
-UNION ALL SELECT 'cost_5_to_1', round(i / 100e0, 3), NULL, NULL,
+UNION ALL SELECT 'cost_5_to_1', round(t, 3), NULL, NULL,
   {r('CASE WHEN tp + fp = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END')},
   {r('CASE WHEN tp + fn = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END')},
   {r('CASE WHEN 2 * tp + fp + fn = 0 THEN 0e0 ELSE 2e0 * tp / (2 * tp + fp + fn) END')}, NULL, NULL, NULL, NULL, NULL
@@ -192,4 +193,3 @@ FROM (SELECT * FROM cst ORDER BY cost, i LIMIT 1) c"""
 
 
 SQL["aligned_reports"] = _aligned_sql()
-_ = (r6, _CHECK_CTE)

@@ -75,11 +75,16 @@ def test_constant_scores_predict_all_positive(spark):
 def test_cost_curve_matches_product_form(spark):
     rnd = random.Random(5)
     labels = [rnd.random() < 0.4 for _ in range(120)]
-    scores = [rnd.choice([0.0, 0.01, 0.29, 0.3, 0.57, 0.99, 1.0, round(rnd.random(), 3)]) for _ in range(120)]
+    scores = [rnd.choice([0.0, 0.01, 0.29, 0.3, 0.57, 0.58, 0.99, 1.0, 0.29000000000000004,
+                          round(rnd.random(), 3)]) for _ in range(120)]
     c = H.cost_curve(scored(spark, labels, scores), ratios=(3,)).collect()
     got = {r["i"]: (r["fn"], r["fp"]) for r in c}
+    import numpy as np
+
+    grid = np.linspace(0.01, 0.99, 99)
+    assert [r["threshold"] for r in sorted(c, key=lambda r: r["i"])] == list(grid)
     for i in range(1, 100):
-        t = i / 100.0
+        t = float(grid[i - 1])
         fn = sum(1 for y, s in zip(labels, scores) if y and s < t)
         fp = sum(1 for y, s in zip(labels, scores) if not y and s >= t)
         assert got[i] == (fn, fp), i
