@@ -188,3 +188,24 @@ SELECT label, sessions, round(n / (2e0 * sessions), 6) AS balanced_weight,
 FROM (SELECT lower(CAST(Revenue AS VARCHAR)) AS label, count(*) AS sessions,
              sum(count(*)) OVER () AS n, sum(CASE WHEN Revenue THEN count(*) ELSE 0 END) OVER () AS pos
       FROM train GROUP BY Revenue) c""")
+
+
+def _model_inputs(spark, sf):
+    """C1 + C2: model inputs without PageValues in canonical order, keys kept; the label split off."""
+    s = load_sessions(spark, sf)
+    x, _y = FE.split_features_target(s, keys=KEY_COLUMNS, include_page_values=False)
+    return x
+
+
+SPARK["model_inputs_without_page_values"] = _model_inputs
+SQL["model_inputs_without_page_values"] = with_sessions(
+    "SELECT user_id, session_date, " + ", ".join(FE.model_feature_columns(include_page_values=False))
+    + " FROM sessions")
+
+_CAT_TEXT = ("Month", "OperatingSystems", "Browser", "Region", "TrafficType", "VisitorType", "Weekend")
+SPARK["categorical_as_text"] = lambda spark, sf: FE.as_strings(
+    load_sessions(spark, sf).select(*KEY_COLUMNS, *_CAT_TEXT), _CAT_TEXT)
+SQL["categorical_as_text"] = with_sessions(
+    "SELECT user_id, session_date, " + ", ".join(
+        f"CASE WHEN {c} THEN 'true' ELSE 'false' END AS {c}" if c == "Weekend" else f"CAST({c} AS VARCHAR) AS {c}"
+        for c in _CAT_TEXT) + " FROM sessions")
