@@ -41,14 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only when it is unset (local runs and tests).
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
     sc.setCheckpointDir(configured)
-    return sc._jsc.sc().getCheckpointDir().get()
+    return sc.getCheckpointDir()
 
 
 def materialize(df, name: str):
