@@ -173,16 +173,22 @@ def grid_threshold(m: Column, start: float = GRID_START, stop: float = GRID_STOP
     return F.when(m >= num - 1, F.lit(stop)).otherwise(m.cast("double") * F.lit(step) + F.lit(start))
 
 
-def grid_index(score: Column, start: float = GRID_START, stop: float = GRID_STOP, num: int = GRID_NUM) -> Column:
-    """Number of grid thresholds ≤ score (0…num), exact at the boundaries: an arithmetic guess
-    corrected against the thresholds themselves."""
+def with_grid_index(df: DataFrame, score: str, name: str = "idx", start: float = GRID_START,
+                    stop: float = GRID_STOP, num: int = GRID_NUM) -> DataFrame:
+    """Add ``name`` = number of grid thresholds ≤ score (0…num), exact at the boundaries: an
+    arithmetic guess, then corrections against the thresholds themselves.  Each correction is
+    its own projection so the guess is computed once (no nested copies of the expression)."""
     step = (stop - start) / (num - 1)
-    j = F.least(F.greatest(F.floor((score - F.lit(start)) / F.lit(step)), F.lit(-1)), F.lit(num - 1)).cast("int")
+    x = F.col(score)
+    out = df.withColumn(name, F.least(F.greatest(F.floor((x - F.lit(start)) / F.lit(step)), F.lit(-1)),
+                                      F.lit(num - 1)).cast("int"))
+    j = F.col(name)
     for _ in range(2):
-        j = F.when((j < num - 1) & (grid_threshold(j + 1, start, stop, num) <= score), j + 1).otherwise(j)
+        out = out.withColumn(name, F.when((j < num - 1) & (grid_threshold(j + 1, start, stop, num) <= x), j + 1)
+                             .otherwise(j))
     for _ in range(2):
-        j = F.when((j >= 0) & (grid_threshold(j, start, stop, num) > score), j - 1).otherwise(j)
-    return j + 1
+        out = out.withColumn(name, F.when((j >= 0) & (grid_threshold(j, start, stop, num) > x), j - 1).otherwise(j))
+    return out.withColumn(name, j + 1)
 
 
 def cost_curve(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "score", label: str = "label",
@@ -195,7 +201,7 @@ def cost_curve(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "s
     """
     scored, groups, added = _grouped(scored, groups)
     y = F.col(label).cast("int")
-    b = scored.groupBy(*groups, grid_index(F.col(score)).alias("idx")).agg(
+    b = with_grid_index(scored, score, "idx").groupBy(*groups, "idx").agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     tot = b.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     dense = tot.select(*groups, "P", "N", F.explode(F.sequence(F.lit(0), F.lit(GRID_NUM - 1))).alias("idx"))

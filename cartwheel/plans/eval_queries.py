@@ -9,7 +9,7 @@ from cartwheel.operators import evaluate as H
 from cartwheel.operators import split as G
 from cartwheel.plans.feature_queries import SPLIT_CTE, split_sessions
 from cartwheel.schema import KEY_COLUMNS
-from cartwheel.sources.sessions import with_sessions
+from cartwheel.sources.sessions import load_sessions, with_sessions
 
 SPARK = {}
 SQL = {}
@@ -17,20 +17,29 @@ SCORE_COLUMNS = ("score", "score_b", "score_c")
 COST_RATIOS = (1, 3, 5, 10)
 
 
-def scored_sessions(spark, sf):
-    """Sessions with three closed-form scores: PageValues-based, ExitRates-based and the train prior."""
-    s = split_sessions(spark, sf)
-    prior = s.filter(F.col("split") == "train").agg(F.avg(F.col("Revenue").cast("double")).alias("score_c"))
-    # the prior is one number fitted on train (a model parameter)
-    p = prior.first()["score_c"]
+def scored_sessions(spark, sf, *, split: bool = True, prior: bool = True):
+    """Sessions with three closed-form scores: PageValues-based, ExitRates-based and the train prior.
+
+    ``split=False`` skips the split (queries over all rows); ``prior=False`` skips the prior
+    (``score_c``), which is one number fitted on the train split.
+    """
+    s = split_sessions(spark, sf) if (split or prior) else load_sessions(spark, sf)
+    extra = []
+    if prior:
+        p = s.filter(F.col("split") == "train").agg(F.avg(F.col("Revenue").cast("double")).alias("p")).first()["p"]
+        extra.append(F.lit(p).alias("score_c"))
     return s.select(
-        *KEY_COLUMNS, "split", "Revenue", "VisitorType", F.col("Revenue").alias("label"),
+        *KEY_COLUMNS, *(["split"] if (split or prior) else []), "Revenue", "VisitorType",
+        F.col("Revenue").alias("label"),
         F.round(F.col("PageValues") / (F.col("PageValues") + 20.0), 4).alias("score"),
-        F.round(1.0 - F.col("ExitRates") * 5.0, 4).alias("score_b"),
-        F.lit(p).alias("score_c"),
+        F.round(1.0 - F.col("ExitRates") * 5.0, 4).alias("score_b"), *extra,
     )
 
 
+def _score_only(spark, sf):
+    return scored_sessions(spark, sf, split=False, prior=False)
+
+
 def _long(spark, sf, split=None):
     s = scored_sessions(spark, sf)
     if split:
@@ -90,7 +99,7 @@ _REC_COLS = ("threshold", "roc_auc", "pr_auc", "precision", "recall", "f1", "bri
 
 
 def _pr_curve(spark, sf):
-    pts = H.pr_points(scored_sessions(spark, sf), score="score", label="label")
+    pts = H.pr_points(_score_only(spark, sf), score="score", label="label")
     return pts.select("score", "tp", "fp", r6(F.col("precision")).alias("precision"),
                       r6(F.col("recall")).alias("recall"), r6(F.col("f1")).alias("f1"))
 
@@ -101,19 +110,19 @@ SQL["pr_curve"] = sql("""SELECT score, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGI
                       _curve_ctes())
 
 SPARK["f1_threshold"] = lambda spark, sf: H.f1_threshold(
-    H.pr_points(scored_sessions(spark, sf), score="score", label="label")).select(
+    H.pr_points(_score_only(spark, sf), score="score", label="label")).select(
     "threshold", r6(F.col("best_f1")).alias("best_f1"))
 SQL["f1_threshold"] = sql("SELECT threshold, round(best_f1, 6) AS best_f1 FROM best WHERE run_name = 'score'",
                           _curve_ctes())
 
-SPARK["metric_record"] = lambda spark, sf: H.metric_record(scored_sessions(spark, sf), score="score", label="label")
+SPARK["metric_record"] = lambda spark, sf: H.metric_record(_score_only(spark, sf), score="score", label="label")
 SQL["metric_record"] = sql("SELECT " + ", ".join(_REC_COLS) + " FROM rec WHERE run_name = 'score'", _curve_ctes())
 
 SPARK["grouped_metrics"] = lambda spark, sf: H.metric_record(_long(spark, sf), groups=["run_name"])
 SQL["grouped_metrics"] = sql("SELECT run_name, " + ", ".join(_REC_COLS) + " FROM rec", _curve_ctes())
 
 SPARK["reliability_curve"] = lambda spark, sf: H.reliability_curve(
-    _long(spark, sf).filter(F.col("run_name") != "score_c"), groups=["run_name"])
+    H.long_scores(_score_only(spark, sf), KEY_COLUMNS, ("score", "score_b"), "label"), groups=["run_name"])
 SQL["reliability_curve"] = sql("""
 SELECT l.run_name, (CASE WHEN score > e1 THEN 1 ELSE 0 END + CASE WHEN score > e2 THEN 1 ELSE 0 END
   + CASE WHEN score > e3 THEN 1 ELSE 0 END + CASE WHEN score > e4 THEN 1 ELSE 0 END
@@ -131,7 +140,7 @@ GROUP BY 1, 2""")
 
 
 def _cost_curve(spark, sf):
-    c = H.cost_curve(scored_sessions(spark, sf), score="score", label="label", ratios=COST_RATIOS)
+    c = H.cost_curve(_score_only(spark, sf), score="score", label="label", ratios=COST_RATIOS)
     return c.select("threshold", "cost_ratio", "fn", "fp", "cost")
 
 
@@ -148,7 +157,7 @@ SQL["cost_curve"] = sql("""SELECT threshold, cost_ratio, CAST(fn AS BIGINT) AS f
   cost_ratio * fn + 1e0 * fp AS cost FROM cc""", _COST_CTE)
 
 SPARK["cost_thresholds"] = lambda spark, sf: H.cost_thresholds(
-    H.cost_curve(scored_sessions(spark, sf), score="score", label="label", ratios=COST_RATIOS))
+    H.cost_curve(_score_only(spark, sf), score="score", label="label", ratios=COST_RATIOS))
 SQL["cost_thresholds"] = sql("""
 SELECT cost_ratio, round(threshold, 3) AS threshold, cost,
   round(CASE WHEN tp + fp = 0 THEN 0e0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 6) AS precision,
@@ -160,7 +169,7 @@ WHERE r = 1""", _COST_CTE)
 
 
 def _fold_f1(spark, sf):
-    s = scored_sessions(spark, sf).filter(F.col("split") == "train").drop("split")
+    s = scored_sessions(spark, sf, prior=False).filter(F.col("split") == "train").drop("split")
     folded = G.fold_ids(s)
     return H.fold_f1(folded, score="score", label="label")
 
@@ -179,7 +188,7 @@ SELECT round(avg(f1), 6) AS mean_f1, count(*) AS folds FROM (
 
 
 def _blend(spark, sf):
-    s = H.blend(scored_sessions(spark, sf), "score", "score_b", name="blend")
+    s = H.blend(_score_only(spark, sf), "score", "score_b", name="blend")
     return H.metric_record(s, score="blend", label="label")
 
 
@@ -229,7 +238,7 @@ WHERE c.brier_score < b.brier_score""", _CHECK_CTE, _curve_ctes("clong"))
 
 
 def _lift(spark, sf):
-    s = scored_sessions(spark, sf)
+    s = _score_only(spark, sf)
     base = s.agg(F.avg(F.col("label").cast("double")).alias("base_rate"))
     return H.lift(s, base).select(*KEY_COLUMNS, "score", r6(F.col("base_rate")).alias("base_rate"), "lift")
 
