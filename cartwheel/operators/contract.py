@@ -257,13 +257,16 @@ def request_violations(requests: DataFrame, *, id_column: str = "request_id", bo
     names = F.create_map(*[x for f in FEATURE_COLUMNS for x in (F.lit(f), F.lit(f), F.lit(snake_name(f)), F.lit(f))])
     parsed = requests.select(F.col(id_column), F.from_json(F.col(body), "map<string,variant>").alias("_m"))
     pairs = parsed.select(id_column, "_m", F.explode_outer("_m").alias("key", "val"))
-    wire = F.try_element_at(names, F.col("key"))
-    val = F.col("val")
-    kind = _json_kind(val)
-    num = F.try_variant_get(val, "$", "double")
-    text = F.try_variant_get(val, "$", "string")
-    if coerce:
-        num = F.coalesce(num, text.try_cast("double"))
+    # Stage the per-value facts (wire name, JSON kind, number, text) as columns: the rule
+    # expression below references them many times, and as columns they are evaluated once.
+    num0 = F.try_variant_get(F.col("val"), "$", "double")
+    text0 = F.try_variant_get(F.col("val"), "$", "string")
+    pairs = pairs.select(
+        id_column, F.col("_m").isNull().alias("_bad_json"), "key",
+        F.try_element_at(names, F.col("key")).alias("_wire"), _json_kind(F.col("val")).alias("_kind"),
+        (F.coalesce(num0, text0.try_cast("double")) if coerce else num0).alias("_num"), text0.alias("_text"),
+    )
+    wire, kind, num, text = F.col("_wire"), F.col("_kind"), F.col("_num"), F.col("_text")
     finite = ~F.isnan(num) & (F.abs(num) != F.lit(float("inf")))
     if coerce:
         int_ok = num.isNotNull() & (num % 1 == 0) & (kind != "bool")
@@ -271,24 +274,26 @@ def request_violations(requests: DataFrame, *, id_column: str = "request_id", bo
         bool_ok = (kind == "bool") | F.lower(text).isin("true", "false")
     else:
         int_ok, float_ok, bool_ok = kind == "int", kind.isin("int", "float"), kind == "bool"
-    rule = F.lit(None).cast("string")
-    for f in FEATURE_COLUMNS:
-        is_f = wire == f
-        if f in (*INT_FIELDS, *CODE_FIELDS):
-            lo = 1 if f in CODE_FIELDS else 0
-            r = F.when(~int_ok, "type").when(num < lo, "range")
-        elif f in (*FLOAT_FIELDS, *RATE_FIELDS):
-            bad_range = (num < 0) | (num > 1) if f in RATE_FIELDS else (num < 0)
-            r = F.when(~float_ok, "type").when(~finite, "not_finite").when(bad_range, "range")
-        elif f in BOOL_FIELDS:
-            r = F.when(~bool_ok, "type")
-        else:
-            r = F.when(kind != "string", "type").when(~text.isin(*ENUM_FIELDS[f]), "enum")
-        rule = F.when(is_f, r).otherwise(rule)
+    # One branch per field class (looked up from the wire name), not one per field.
+    classes = {**{f: "count" for f in INT_FIELDS}, **{f: "code" for f in CODE_FIELDS},
+               **{f: "amount" for f in FLOAT_FIELDS}, **{f: "rate" for f in RATE_FIELDS},
+               **{f: "bool" for f in BOOL_FIELDS}, **{f: "enum" for f in ENUM_FIELDS}}
+    cls = F.try_element_at(F.create_map(*[x for f, c in classes.items() for x in (F.lit(f), F.lit(c))]), wire)
+    domain = F.try_element_at(F.create_map(*[x for f, vals in ENUM_FIELDS.items()
+                                             for x in (F.lit(f), F.array(*[F.lit(v) for v in vals]))]), wire)
+    rule = (
+        F.when(cls.isin("count", "code"),
+               F.when(~int_ok, "type").when(num < F.when(cls == "code", 1).otherwise(0), "range"))
+        .when(cls.isin("amount", "rate"),
+              F.when(~float_ok, "type").when(~finite, "not_finite")
+              .when((num < 0) | ((cls == "rate") & (num > 1)), "range"))
+        .when(cls == "bool", F.when(~bool_ok, "type"))
+        .when(cls == "enum", F.when(kind != "string", "type").when(~F.array_contains(domain, text), "enum"))
+    )
     per_key = pairs.select(
         id_column,
-        F.when(F.col("_m").isNull(), "body").otherwise(F.coalesce(wire, F.col("key"))).alias("field"),
-        F.when(F.col("_m").isNull(), "invalid_json").when(wire.isNull(), "extra").otherwise(rule).alias("rule"),
+        F.when(F.col("_bad_json"), "body").otherwise(F.coalesce(wire, F.col("key"))).alias("field"),
+        F.when(F.col("_bad_json"), "invalid_json").when(wire.isNull(), "extra").otherwise(rule).alias("rule"),
     ).filter(F.col("rule").isNotNull())
     present = F.transform(F.map_keys("_m"), lambda k: F.coalesce(F.try_element_at(names, k), k))
     missing = parsed.filter(F.col("_m").isNotNull()).select(
