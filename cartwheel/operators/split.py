@@ -39,8 +39,17 @@ def _quota(frac: float) -> Column:
 
 
 def stratified_split(df: DataFrame, *, seed: int = 42, train: float = 0.6, validation: float = 0.2,
-                     label: str = LABEL, key_columns: Sequence[str] = KEY_COLUMNS) -> DataFrame:
-    """G1: add ``split`` ∈ {train, validation, test}; per-class quotas round(frac·n_class)."""
+                     label: str = LABEL, key_columns: Sequence[str] = KEY_COLUMNS, mode: str = "exact") -> DataFrame:
+    """G1: add ``split`` ∈ {train, validation, test}.
+
+    ``mode="exact"``: per-class quotas round(frac·n_class) over the md5 order (distributed
+    ranks).  ``mode="hash"``: a row goes by its own hash fraction — no ranking, no shuffle,
+    stratified and sized in expectation only; the same rows for the same seed.
+    """
+    if mode == "hash":
+        u = F.conv(F.substring(order_hash(seed, key_columns), 1, 8), 16, 10).cast("double") / float(16 ** 8)
+        return df.withColumn("split", F.when(u < train, "train").when(u < train + validation, "validation")
+                             .otherwise("test"))
     r = ranked_within_class(df, seed, label, key_columns)
     split = (
         F.when(F.col("rn") <= _quota(train), "train")

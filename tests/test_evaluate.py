@@ -95,3 +95,15 @@ def test_reliability_bins_are_quantile_right_closed(spark):
     scores = [i / 10 for i in range(10)]
     bins = H.reliability_curve(scored(spark, labels, scores), n_bins=5).collect()
     assert sum(r["rows"] for r in bins) == 10 and len(bins) == 5
+
+
+def test_roc_auc_equals_spark_evaluator_without_binning(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rnd = random.Random(11)
+    labels = [rnd.random() < 0.35 for _ in range(300)]
+    scores = [round(rnd.random() * 0.5 + (0.3 if y else 0.0), 2) for y in labels]
+    df = scored(spark, labels, scores)
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="y", numBins=0)
+    spark_auc = ev.evaluate(df.withColumn("y", F.col("label").cast("double")))
+    assert H.metric_record(df).first()["roc_auc"] == pytest.approx(spark_auc, abs=1e-6)

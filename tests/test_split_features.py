@@ -40,3 +40,15 @@ def test_safe_ratios_and_unknown_codes(spark):
     codes = {r[0] for r in e.select("traffic_type_grouped").distinct().collect()}
     assert codes == {"1", "-1"}
     assert {r[0] for r in e.select("is_weekend_returning").distinct().collect()} <= {"True", "False"}
+
+
+def test_hash_mode_split_is_map_only_and_close(spark):
+    s = load_sessions(spark, SF_MID)
+    h = G.stratified_split(s, mode="hash")
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number" not in plan and "_bucket" not in plan
+    n = s.count()
+    counts = {r["split"]: r["n"] for r in h.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert abs(counts["train"] / n - 0.6) < 0.03 and abs(counts["test"] / n - 0.2) < 0.03
+    again = G.stratified_split(s.repartition(5), mode="hash").select(*KEY_COLUMNS, "split")
+    assert h.select(*KEY_COLUMNS, "split").exceptAll(again).count() == 0
