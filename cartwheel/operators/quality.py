@@ -187,7 +187,7 @@ def share_comparison(df: DataFrame, key: str, left: str, right: str,
     a = _shares(g, key, weights[left], f"share_{left}")
     b = _shares(g, key, weights[right], f"share_{right}")
     out = a.join(b, key, "left")
-    if isinstance(df.schema[key].dataType.simpleString(), str) and df.schema[key].dataType.simpleString() == "boolean":
+    if dict(df.dtypes)[key] == "boolean":
         out = out.withColumn(key, bool_key(F.col(key)))
     return out
 
