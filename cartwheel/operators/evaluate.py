@@ -155,7 +155,8 @@ def reliability_curve(scored: DataFrame, *, groups: Sequence[str] = (), score: s
     edges = wide.select(*groups, F.array(*[F.col(k) for k in qs]).alias("_e"))
     j = _attach(scored, edges, groups, added)  # one row of edges per group
     s = F.col(score)
-    b = F.size(F.filter(F.col("_e"), lambda e: e < s)).alias("bin")
+    # bin = number of inner edges strictly below the score (plain comparisons, no lambda)
+    b = sum((F.col("_e")[k] < s).cast("int") for k in range(n_bins - 1)).alias("bin")
     return _ungroup(j.groupBy(*groups, b).agg(
         r6(F.avg(s)).alias("mean_predicted"), r6(F.avg(F.col(label).cast("double"))).alias("fraction_positive"),
         F.count(F.lit(1)).alias("rows"),
