@@ -44,7 +44,7 @@ def sessions_from_events(events: DataFrame) -> DataFrame:
         F.to_date("ts").alias("d"),
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"),  # malformed props → NULL, not a failed job
     )
     s = e.groupBy("user_id", "d").agg(
         F.count(F.lit(1)).alias("n"),

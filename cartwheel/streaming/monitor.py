@@ -17,11 +17,13 @@ LOG_SCHEMA = ("request_id string, ts timestamp, route string, method string, sta
 def alarm_frame(logs: DataFrame, period: str = "300 seconds", watermark: str = "10 minutes",
                 min_errors: int = 1) -> DataFrame:
     w = F.window("ts", period)
+    # Errors are counted inside the aggregation (not filtered first): a filter would be pushed
+    # below the watermark and the watermark would then advance only with error rows, so quiet
+    # periods would never close.  State is one row per open 300-second window.
     return (
         logs.withWatermark("ts", watermark)
-        .filter(F.col("status") >= 500)
         .groupBy(w.alias("w"))
-        .agg(F.count(F.lit(1)).alias("errors"))
+        .agg(F.count_if(F.col("status") >= 500).alias("errors"))
         .filter(F.col("errors") >= min_errors)
         .select(F.col("w.start").alias("period_start"), F.col("w.end").alias("period_end"), "errors")
     )

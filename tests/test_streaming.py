@@ -71,3 +71,32 @@ def test_micro_batch_scoring_with_pipeline_model(spark):
     ok, bad = SS.score_batch_with_model(reqs, model, FEATURE_COLUMNS, 0.5, "rf-v1")
     assert ok.count() + bad.count() == reqs.count()
     assert ok.filter(~F.col("purchase_probability").between(0, 1)).count() == 0
+
+
+def test_alarm_stream_drops_data_behind_the_watermark(spark, tmpdir_path):
+    import datetime as dt
+
+    from pyspark.sql import Row
+
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+
+    def rows(specs):
+        return spark.createDataFrame(
+            [Row(request_id=str(i), ts=t0 + dt.timedelta(seconds=sec), route="/v1/predict", method="POST",
+                 status=status, duration_ms=1.0, model_version="v") for i, (sec, status) in enumerate(specs)],
+            SM.LOG_SCHEMA)
+
+    logs, out, ck = f"{tmpdir_path}/logs", f"{tmpdir_path}/alarm", f"{tmpdir_path}/ck"
+    # batch 1: errors at 0:01 and 0:07, then traffic up to 1:00 (watermark moves to 0:50)
+    rows([(60, 500), (420, 500), (3600, 200)]).write.mode("append").json(logs)
+    SM.start_alarm_stream(spark, logs, out, ck).awaitTermination(300)
+    # a second trigger lets the advanced watermark evict the closed periods
+    rows([(3700, 200)]).write.mode("append").json(logs)
+    SM.start_alarm_stream(spark, logs, out, ck).awaitTermination(300)
+    first = sorted((r["period_start"], r["errors"]) for r in spark.read.parquet(out).collect())
+    assert first == [(t0, 1), (t0 + dt.timedelta(seconds=300), 1)]
+    # batch 3: a late error inside the first period, far behind the watermark, is dropped
+    rows([(30, 500), (7300, 200)]).write.mode("append").json(logs)
+    SM.start_alarm_stream(spark, logs, out, ck).awaitTermination(300)
+    again = sorted((r["period_start"], r["errors"]) for r in spark.read.parquet(out).collect())
+    assert again == first
