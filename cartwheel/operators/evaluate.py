@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.expr import r6
-from cartwheel.operators.running import quantile_bucket, running_sums
+from cartwheel.operators.running import bucket_count, quantile_bucket, running_sums
 
 N_BUCKETS = 16
 _G = "_all"
@@ -63,7 +63,7 @@ def pr_points(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "sc
     scored, groups, added = _grouped(scored, groups)
     pts = _counts(scored, groups, score, label)
     # bucket count grows with the cluster's shuffle width (cut points: one approxQuantile pass)
-    nb = n_buckets or max(N_BUCKETS, 2 * int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    nb = n_buckets or bucket_count(scored, N_BUCKETS)
     cum = running_sums(pts, bucket=quantile_bucket(pts, "score", nb, descending=True, rel_error=1.0 / (4 * nb)),
                        order=[F.desc("score")], sums=["pos", "neg"], partition_by=groups)
     cum = cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")

@@ -21,11 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators.running import quantile_bucket, running_sums
+from cartwheel.operators.running import bucket_count, quantile_bucket, running_sums
 
 
 def _n_buckets(df: DataFrame) -> int:
-    return max(16, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return bucket_count(df)
 
 
 def exact_quantiles(long: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float],

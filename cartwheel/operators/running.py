@@ -18,6 +18,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _B = "_bucket"
+# Upper bound on quantile buckets: keeps the bucket-id CASE tree (≈ 2 nodes per cut point)
+# well inside generated-code limits; each bucket's window partition sorts with spill.
+MAX_BUCKETS = 1024
+
+
+def bucket_count(df: DataFrame, minimum: int = 16) -> int:
+    """Quantile buckets for a running sum: twice the shuffle width, between 16 and MAX_BUCKETS."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(minimum, min(MAX_BUCKETS, 2 * width))
 
 
 def quantile_bucket(df: DataFrame, column: str, n_buckets: int, *, descending: bool = False,
