@@ -61,16 +61,24 @@ def _write(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def start_scoring_stream(spark: SparkSession, source_dir: str, accepted_dir: str, rejected_dir: str,
-                         checkpoint_dir: str, scorer: Scorer | None, threshold: float, version: str,
-                         *, available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the scoring query; returns the ``StreamingQuery``."""
+                         checkpoint_dir: str, scorer, threshold: float, version: str,
+                         *, available_now: bool = True, max_files_per_trigger: int | None = None,
+                         feature_names=FEATURE_COLUMNS):
+    """Start the scoring query; returns the ``StreamingQuery``.
+
+    ``scorer``: a fitted ``PipelineModel`` (scored on ``feature_names``), a Column scorer
+    (typed features → probability Column), or None (no model: every request rejected).
+    """
     reader = spark.readStream.schema(REQUEST_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        accepted, rejected = score_batch(batch, scorer, threshold, version)
+        if scorer is not None and hasattr(scorer, "transform"):
+            accepted, rejected = score_batch_with_model(batch, scorer, feature_names, threshold, version)
+        else:
+            accepted, rejected = score_batch(batch, scorer, threshold, version)
         _write(accepted, accepted_dir, batch_id)
         _write(rejected, rejected_dir, batch_id)
 

@@ -100,3 +100,21 @@ def test_alarm_stream_drops_data_behind_the_watermark(spark, tmpdir_path):
     SM.start_alarm_stream(spark, logs, out, ck).awaitTermination(300)
     again = sorted((r["period_start"], r["errors"]) for r in spark.read.parquet(out).collect())
     assert again == first
+
+
+def test_scoring_stream_with_pipeline_model(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from cartwheel.operators import train as T
+    from cartwheel.plans.feature_queries import split_sessions
+
+    s = split_sessions(spark, SF_SMALL)
+    train = T.with_training_columns(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "train"))
+    model = T.fit_candidate(T.production_candidates(forest_trees=5, forest_depth=3)[2], train)
+    reqs = C.request_bodies(load_sessions(spark, SF_SMALL))
+    reqs.write.json(f"{tmpdir_path}/in")
+    q = SS.start_scoring_stream(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/ok", f"{tmpdir_path}/bad",
+                                f"{tmpdir_path}/ck", model, 0.5, "rf-v1")
+    q.awaitTermination(300)
+    ok, bad = spark.read.parquet(f"{tmpdir_path}/ok"), spark.read.parquet(f"{tmpdir_path}/bad")
+    assert ok.count() + bad.count() == reqs.count() and ok.count() > 0
