@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.operators import contract as C
+from cartwheel.operators.contract import snake_name
 from cartwheel.operators import evaluate as H
 from cartwheel.operators import quality as Q
 from cartwheel.operators.joins import align_reports
@@ -31,7 +32,11 @@ def _eda(spark, sf):
                                              for x in (F.lit(c), F.col(c).cast("double"))])).alias("stat", "value")),
         Q.missing_counts(s).select(F.lit("missing_values").alias("section"), F.col("column").alias("key"),
                                    F.lit("missing").alias("stat"), F.col("missing").cast("double").alias("value")),
-        Q.conversion_by_context(s).select(F.concat(F.lit("conversion_by_"), F.col("section")).alias("section"),
+        Q.conversion_by_context(s).select(
+            F.concat(F.lit("conversion_by_"),
+                     F.try_element_at(F.create_map(*[x for k in Q.CONVERSION_KEYS
+                                                     for x in (F.lit(k), F.lit(snake_name(k)))]),
+                                      F.col("section"))).alias("section"),
                                           "key", F.lit("rate").alias("stat"),
                                           F.col("conversion_rate").alias("value")),
         Q.signal_means_by_label(s).select(F.lit("relationship_by_revenue").alias("section"),
@@ -88,7 +93,8 @@ def _eda_sql():
     body = f"""
 SELECT 'summary' AS section, '' AS key, stat, value FROM ({summ}) u
 UNION ALL SELECT 'missing_values', "column", 'missing', CAST(missing AS DOUBLE) FROM ({miss}) m
-UNION ALL SELECT 'conversion_by_' || section, key, 'rate', conversion_rate FROM ({conv}) c
+UNION ALL SELECT 'conversion_by_' || CASE section {" ".join(f"WHEN '{k}' THEN '{snake_name(k)}'" for k in Q.CONVERSION_KEYS)} END,
+  key, 'rate', conversion_rate FROM ({conv}) c
 UNION ALL SELECT 'relationship_by_revenue', "column" || '.' || label, 'mean', mean FROM ({sig_sel}) s
 UNION ALL SELECT 'numeric_distributions', "column", stat, value FROM (
   SELECT "column", CAST(count AS DOUBLE) AS count, mean, std, min, p25, p50, p75, max FROM ({desc_sel}) d0
