@@ -118,3 +118,14 @@ def test_scoring_stream_with_pipeline_model(spark, tmpdir_path):
     q.awaitTermination(300)
     ok, bad = spark.read.parquet(f"{tmpdir_path}/ok"), spark.read.parquet(f"{tmpdir_path}/bad")
     assert ok.count() + bad.count() == reqs.count() and ok.count() > 0
+
+
+def test_request_log_line_fields(spark):
+    import json
+
+    log = MON.access_log_from_events(read_table(spark, SF_SMALL, "events"))
+    lines = [json.loads(r["line"]) for r in MON.log_lines(log).limit(50).collect()]
+    assert lines and all(set(x) == {"duration_ms", "method", "model_version", "request_id", "route", "status"}
+                         for x in lines)
+    assert all(x["duration_ms"] >= 0 and x["status"] in (200, 500) for x in lines)
+    assert {x["route"] for x in lines} <= {"/health", "/v1/model/metadata", "/v1/predict"}
