@@ -288,23 +288,31 @@ def threshold_segments(df: DataFrame, column: str, threshold: float, label: str
 
 
 def equal_width_histogram(df: DataFrame, columns: Sequence[str] = HISTOGRAM_COLUMNS, bins: int = 30) -> DataFrame:
-    """equal-width bins between min and max per column (last bin closed).
+    """equal-width bins between min and max per column (last bin closed), assigned like
+    numpy's uniform-bin histogram: arithmetic index, then corrected against the edges
+    ``linspace(min, max, bins + 1)`` (edge k = k·step + min, last edge = max).
 
-    Min/max per column come from one aggregation and are joined back by column
-    name (one row per column, so the broadcast is bounded by the column count).
+    Min/max per column come from one aggregation and are joined back by column name
+    (one row per column, so the broadcast is bounded by the column count).
     """
     long = unpivot(df, [], columns, "column", "value")
     rng = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-    ).cast("int")
-    counted = long.join(F.broadcast(rng), "column").groupBy("column", b.alias("bin"), "lo", "hi").agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    lo, hi, x = F.col("lo"), F.col("hi"), F.col("value")
+    step = (hi - lo) / bins
+
+    def edge(k):
+        return F.when(k >= bins, hi).otherwise(k.cast("double") * step + lo)
+
+    j = long.join(F.broadcast(rng), "column")
+    j = j.withColumn("bin", F.when(hi == lo, F.lit(0)).otherwise(
+        F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))).cast("int"))
+    b = F.col("bin")
+    j = j.withColumn("bin", F.when((hi != lo) & (x < edge(b)), b - 1).otherwise(b))
+    j = j.withColumn("bin", F.when((hi != lo) & (b != bins - 1) & (x >= edge(b + 1)), b + 1).otherwise(b))
+    counted = j.groupBy("column", "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
     return counted.select(
-        "column", "bin", r6(F.col("lo") + F.col("bin") * width).alias("bin_start"),
-        r6(F.col("lo") + (F.col("bin") + 1) * width).alias("bin_end"), "count",
+        "column", "bin", r6(edge(F.col("bin"))).alias("bin_start"), r6(edge(F.col("bin") + 1)).alias("bin_end"),
+        "count",
     )
 
 

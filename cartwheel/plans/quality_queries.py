@@ -216,15 +216,23 @@ FROM sessions GROUP BY 1"""),
 
 _HIST_LONG = "long AS (" + _long_union(Q.HISTOGRAM_COLUMNS,
                                        "SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value") + ")"
+def _edge(k):
+    return f"(CASE WHEN {k} >= 30 THEN hi ELSE CAST({k} AS DOUBLE) * ((hi - lo) / 30) + lo END)"
+
+
 _register(
     "histogram_30_bins",
     lambda spark, sf: Q.equal_width_histogram(load_sessions(spark, sf)),
-    with_sessions("""
-SELECT "column", bin, round(lo + bin * (hi - lo) / 30, 6) AS bin_start,
-       round(lo + (bin + 1) * (hi - lo) / 30, 6) AS bin_end, count(*) AS count
-FROM (SELECT l."column", r.lo, r.hi,
-             CAST(CASE WHEN r.hi = r.lo THEN 0 ELSE least(floor((l.value - r.lo) / (r.hi - r.lo) * 30), 29) END AS INT) AS bin
-      FROM long l JOIN (SELECT "column", min(value) AS lo, max(value) AS hi FROM long GROUP BY 1) r USING ("column")) t
+    with_sessions(f"""
+SELECT "column", bin, round({_edge('bin')}, 6) AS bin_start, round({_edge('bin + 1')}, 6) AS bin_end,
+       count(*) AS count
+FROM (SELECT *, CASE WHEN hi <> lo AND b1 <> 29 AND value >= {_edge('b1 + 1')} THEN b1 + 1 ELSE b1 END AS bin
+      FROM (SELECT *, CASE WHEN hi <> lo AND value < {_edge('b0')} THEN b0 - 1 ELSE b0 END AS b1
+            FROM (SELECT l."column", l.value, r.lo, r.hi,
+                         CAST(CASE WHEN r.hi = r.lo THEN 0
+                                   ELSE least(floor((l.value - r.lo) / (r.hi - r.lo) * 30), 29) END AS INT) AS b0
+                  FROM long l JOIN (SELECT "column", min(value) AS lo, max(value) AS hi FROM long GROUP BY 1) r
+                  USING ("column")) t0) t1) t2
 GROUP BY "column", bin, lo, hi""", _HIST_LONG),
 )
 

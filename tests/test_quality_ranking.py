@@ -58,3 +58,17 @@ def test_value_counts_order(spark):
     df = spark.createDataFrame([(x,) for x in [1, 2, 2, 3, 3, 3]], "TrafficType long")
     r = Q.value_counts(df, "TrafficType").collect()
     assert [x["value"] for x in r] == [3, 2, 1] and r[0]["share"] == 0.5
+
+
+def test_histogram_matches_numpy(spark):
+    import numpy as np
+
+    from cartwheel.sources.sessions import load_sessions
+    from tests.conftest import SF_MID
+
+    s = load_sessions(spark, SF_MID)
+    got = {(r["column"], r["bin"]): r["count"] for r in Q.equal_width_histogram(s).collect()}
+    pdf = s.select(*Q.HISTOGRAM_COLUMNS).toPandas()
+    for c in Q.HISTOGRAM_COLUMNS:
+        counts, _ = np.histogram(pdf[c].to_numpy(), bins=30)
+        assert [got.get((c, k), 0) for k in range(30)] == list(counts), c
