@@ -57,7 +57,7 @@ def one_hot_long(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], k
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     """Per class n, balanced weight n/(2·n_c) and positive weight negatives/positives."""
     counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("sessions"))
-    # ``counts`` has one row per class (two); the totals are folded in with a window over it.
+    # ``counts`` has one row per class (two rows): a window over it is a two-row single partition.
     j = counts.select("*", F.sum("sessions").over(Window.partitionBy()).alias("n"),
                       F.sum(F.when(F.col(label), F.col("sessions")).otherwise(0)).over(Window.partitionBy()).alias("pos"))
     return j.select(

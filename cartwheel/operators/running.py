@@ -81,6 +81,9 @@ def running_sums(
     w_local = Window.partitionBy(*pcols, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = base.select("*", *[F.sum(c).over(w_local).alias(f"_{c}_loc") for c in sums])
     totals = base.groupBy(*pcols, _B).agg(*[F.sum(c).alias(f"_{c}_tot") for c in sums])
+    # Prefix sum over bucket totals: one row per (group, bucket), i.e. ≤ #buckets rows per group
+    # (1,024 quantile buckets or 65,536 hash buckets), so this window's partitions stay small even
+    # when there is no group column and Spark runs it as a single partition.
     w_off = Window.partitionBy(*pcols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *pcols, _B, *[F.coalesce(F.sum(f"_{c}_tot").over(w_off), F.lit(0)).alias(f"_{c}_off") for c in sums]
