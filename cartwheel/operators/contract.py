@@ -248,8 +248,8 @@ def request_violations(requests: DataFrame, *, id_column: str = "request_id", bo
                        coerce: bool = False) -> DataFrame:
     """B14 (strict) / B15 (coerce=True): one row per (request id, field, rule) for bad requests.
 
-    Parsing uses VARIANT (``try_parse_json``) so JSON types stay visible;
-    unparsable text gives rule ``invalid_json`` on field ``body``.
+    Bodies are parsed with ``from_json`` into MAP<STRING, VARIANT>, so JSON types stay
+    visible; text that is not a JSON object gives rule ``invalid_json`` on field ``body``.
     """
     # Long form: one row per (request, JSON key) from ``from_json`` into MAP<STRING, VARIANT>
     # (VARIANT keeps the JSON type: 2 → BIGINT, 2.0 → DECIMAL, "2" → STRING).  Each value
@@ -257,8 +257,8 @@ def request_violations(requests: DataFrame, *, id_column: str = "request_id", bo
     names = F.create_map(*[x for f in FEATURE_COLUMNS for x in (F.lit(f), F.lit(f), F.lit(snake_name(f)), F.lit(f))])
     parsed = requests.select(F.col(id_column), F.from_json(F.col(body), "map<string,variant>").alias("_m"))
     pairs = parsed.select(id_column, "_m", F.explode_outer("_m").alias("key", "val"))
-    # Stage the per-value facts (wire name, JSON kind, number, text) as columns: the rule
-    # expression below references them many times, and as columns they are evaluated once.
+    # Per-value facts (wire name, JSON kind, number, text) as columns; the rule below branches
+    # once per field class, so each fact appears only a few times in the final expression.
     num0 = F.try_variant_get(F.col("val"), "$", "double")
     text0 = F.try_variant_get(F.col("val"), "$", "string")
     pairs = pairs.select(
