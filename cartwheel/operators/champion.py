@@ -29,11 +29,17 @@ class TrainingOutcome:
     validation: DataFrame
     test_metrics: dict
     manifest: dict
+    promoted: bool = True
 
 
 def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_trees: int = 20,
                    forest_depth: int = 8, model_version: str = "local", experiment: str = "champion",
-                   log=lambda msg: None) -> TrainingOutcome:
+                   previous_artifact: str | None = None, log=lambda msg: None) -> TrainingOutcome:
+    """Train, select and publish a champion.
+
+    With ``previous_artifact`` the new champion must beat the previous champion's validation F1
+    (K7); otherwise the test split stays untouched and nothing is published.
+    """
     raw = sessions.select(*KEY_COLUMNS, *[F.col(c).cast("string").alias(c) for c in EXPECTED_COLUMNS])
     # The validated table feeds the split and every fit: it is written once as Parquet under
     # the shared checkpoint folder (cuts lineage, survives executor loss, keeps plans small).
@@ -55,6 +61,12 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
     runs = T.runs_from_records(res.records, cands).persist()
     best = K.champion(runs).first()
     name, threshold = best["run_name"], float(best["threshold"])
+    if previous_artifact is not None:
+        prev = artifacts.read_manifest(runs.sparkSession, previous_artifact)
+        previous_f1 = (prev.get("validation_metrics") or {}).get("f1")
+        if previous_f1 is not None and not best["f1"] > previous_f1:
+            split.unpersist()
+            return TrainingOutcome(name, threshold, runs, {}, prev, promoted=False)
     cand = next(c for c in cands if c.name == name)
     test_scores = T.score_candidate(cand, res.models[name], test)
     test_rec = H.metric_record(test_scores, score="score", label="label", threshold=threshold).first().asDict()

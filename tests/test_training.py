@@ -24,3 +24,14 @@ def test_champion_on_separable_sessions(spark, tmpdir_path):
 
 def manifest_features(out):
     return out.manifest["feature_names"]
+
+
+def test_promotion_gate_keeps_test_untouched(spark, tmpdir_path):
+    s = load_sessions(spark, SF_SMALL)
+    first = train_champion(s, f"{tmpdir_path}/a", forest_trees=5, forest_depth=3)
+    again = train_champion(s, f"{tmpdir_path}/b", forest_trees=5, forest_depth=3,
+                           previous_artifact=f"{tmpdir_path}/a/artifact")
+    # same data, same seed: the new champion does not beat the previous one
+    assert first.promoted and not again.promoted and again.test_metrics == {}
+    import os
+    assert not os.path.exists(f"{tmpdir_path}/b/artifact")
