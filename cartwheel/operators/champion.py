@@ -61,6 +61,11 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
     runs = T.runs_from_records(res.records, cands).persist()
     best = K.champion(runs).first()
     name, threshold = best["run_name"], float(best["threshold"])
+    # every candidate run is logged (validation metrics), promoted or not
+    records = runlog.run_records(runs, experiment, metric_columns=("f1", "pr_auc", "roc_auc", "precision", "recall",
+                                                                   "threshold", "brier_score"),
+                                 param_columns=("family", "model", "feature_set"))
+    runlog.append_runs(runlog.prefixed(records, "validation_"), f"{out_dir}/runs")
     if previous_artifact is not None:
         prev = artifacts.read_manifest(runs.sparkSession, previous_artifact)
         previous_f1 = (prev.get("validation_metrics") or {}).get("f1")
@@ -77,10 +82,15 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
     test_long = reports.record_to_long(
         H.metric_record(test_scores, score="score", label="label", threshold=threshold), "test")
     reports.write_report(val_long.unionByName(test_long), f"{out_dir}/metrics")
-    records = runlog.run_records(runs, experiment, metric_columns=("f1", "pr_auc", "roc_auc", "precision", "recall",
-                                                                   "threshold", "brier_score"),
-                                 param_columns=("family", "model", "feature_set"))
-    runlog.append_runs(runlog.prefixed(records, "validation_"), f"{out_dir}/runs")
+    # the champion run: test metrics of the selected candidate (the seventh run)
+    champ = H.metric_record(test_scores, score="score", label="label", threshold=threshold).select(
+        F.lit("champion").alias("run_name"), F.lit("champion").alias("family"), F.lit(name).alias("model"),
+        F.lit(cand.feature_set).alias("feature_set"), *[F.col(c) for c in ("f1", "pr_auc", "roc_auc", "precision",
+                                                                              "recall", "threshold", "brier_score")])
+    champ_rec = runlog.run_records(champ, experiment, metric_columns=("f1", "pr_auc", "roc_auc", "precision",
+                                                                      "recall", "threshold", "brier_score"),
+                                   param_columns=("family", "model", "feature_set"))
+    runlog.append_runs(runlog.prefixed(champ_rec, "test_"), f"{out_dir}/runs")
     log("reports")
     manifest = {}
     model = res.models[name]

@@ -17,7 +17,10 @@ def test_champion_on_separable_sessions(spark, tmpdir_path):
     out = train_champion(sep, tmpdir_path, forest_trees=10, forest_depth=4)
     assert not out.champion.startswith("dummy")
     assert out.test_metrics["f1"] >= 0.8
-    assert spark.read.parquet(f"{tmpdir_path}/runs").count() == 6
+    runs = spark.read.parquet(f"{tmpdir_path}/runs")
+    assert runs.count() == 7  # six candidates + the champion run
+    champ = runs.filter("run_name = 'champion'").first()
+    assert champ["params"]["model"] == out.champion and "test_f1" in champ["metrics"]
     model, manifest = artifacts.load_artifact(spark, f"{tmpdir_path}/artifact", manifest_features(out))
     assert manifest["champion"] == out.champion
 
@@ -35,3 +38,4 @@ def test_promotion_gate_keeps_test_untouched(spark, tmpdir_path):
     assert first.promoted and not again.promoted and again.test_metrics == {}
     import os
     assert not os.path.exists(f"{tmpdir_path}/b/artifact")
+    assert spark.read.parquet(f"{tmpdir_path}/b/runs").count() == 6  # candidates logged, no champion run
