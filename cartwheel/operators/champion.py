@@ -18,7 +18,7 @@ from cartwheel.operators import ranking as K
 from cartwheel.operators import split as G
 from cartwheel.operators import train as T
 from cartwheel.operators.features import model_feature_columns
-from cartwheel.schema import EXPECTED_COLUMNS, KEY_COLUMNS
+from cartwheel.schema import EXPECTED_COLUMNS, KEY_COLUMNS, LABEL
 from cartwheel.sources import artifacts, reports, runlog
 
 
@@ -46,6 +46,9 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
     valid = C.validate(raw, strict=True, key_columns=KEY_COLUMNS, materialize=True).valid
     log("validated")
     split = G.stratified_split(valid, seed=seed).persist()
+    facts = split.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(LABEL).cast("int")).alias("positives")).first()
+    dataset = {"rows": facts["rows"], "positives": facts["positives"],
+               "positive_rate": facts["positives"] / facts["rows"]}
     train = split.filter(F.col("split") == "train")
     n_train = train.count()
     train = T.with_training_columns(train, train)
@@ -98,7 +101,8 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
         features = model_feature_columns(include_page_values="without" not in name)
         manifest = artifacts.write_artifact(model, f"{out_dir}/artifact", feature_names=features,
                                             threshold=threshold, model_version=model_version, champion=name,
-                                            metrics={k: best[k] for k in ("f1", "pr_auc", "roc_auc")})
+                                            metrics={k: best[k] for k in ("f1", "pr_auc", "roc_auc")},
+                                            dataset=dataset)
     log("artifact")
     split.unpersist()
     return TrainingOutcome(name, threshold, runs, test_rec, manifest)

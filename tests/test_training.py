@@ -23,6 +23,7 @@ def test_champion_on_separable_sessions(spark, tmpdir_path):
     assert champ["params"]["model"] == out.champion and "test_f1" in champ["metrics"]
     model, manifest = artifacts.load_artifact(spark, f"{tmpdir_path}/artifact", manifest_features(out))
     assert manifest["champion"] == out.champion
+    assert manifest["dataset"]["rows"] == s.count() and 0 < manifest["dataset"]["positive_rate"] < 1
 
 
 def manifest_features(out):
