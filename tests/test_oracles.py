@@ -30,7 +30,8 @@ def con():
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only <= {"production_candidates_validation", "engineered_sweep_validation", "calibrated_scores_check"}
+    assert rows_only <= {"production_candidates_validation", "engineered_sweep_validation", "calibrated_scores_check",
+                         "stacking_validation", "cv_search_validation", "focal_refit_validation"}
 
 
 @pytest.mark.parametrize("name", NAMES)

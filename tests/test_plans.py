@@ -8,7 +8,8 @@ import __spark_entry__ as E
 from cartwheel.sources.sessions import load_sessions
 from tests.conftest import SF_SMALL
 
-FIT = {"production_candidates_validation", "engineered_sweep_validation", "calibrated_scores_check"}
+FIT = {"production_candidates_validation", "engineered_sweep_validation", "calibrated_scores_check",
+       "stacking_validation", "cv_search_validation", "focal_refit_validation"}
 NAMES = sorted(set(E.queries()) - FIT)
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
