@@ -52,3 +52,15 @@ def test_hash_mode_split_is_map_only_and_close(spark):
     assert abs(counts["train"] / n - 0.6) < 0.03 and abs(counts["test"] / n - 0.2) < 0.03
     again = G.stratified_split(s.repartition(5), mode="hash").select(*KEY_COLUMNS, "split")
     assert h.select(*KEY_COLUMNS, "split").exceptAll(again).count() == 0
+
+
+def test_join_small_checks_size_and_falls_back(spark):
+    from cartwheel.operators.joins import join_small
+
+    s = load_sessions(spark, SF_MID).select("user_id", "TrafficType")
+    dim = spark.createDataFrame([(1, "a"), (2, "b")], "TrafficType long, tag string")
+    small = join_small(s, dim, "TrafficType", "left")
+    big = join_small(s, dim, "TrafficType", "left", max_rows=1)  # above the limit: no broadcast hint
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+    assert small.exceptAll(big).count() == 0 and big.count() == s.count()
