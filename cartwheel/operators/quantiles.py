@@ -10,8 +10,8 @@ Here instead:
 3. rank targets per (group, q): position (n−1)·q and its floor / ceil —
    a table of #groups × #probabilities rows, broadcast;
 4. each target finds the distinct value whose count range covers its rank
-   (equi-join on the group + range condition), then interpolates
-   ``(hi − pos)·v_lo + (pos − lo)·v_hi`` exactly as Spark's ``percentile``.
+   (equi-join on the group + range condition), then interpolates linearly the
+   way numpy's ``percentile`` does (exact for tied neighbours).
 """
 
 from __future__ import annotations
@@ -54,8 +54,12 @@ def exact_quantiles(long: DataFrame, groups: Sequence[str], value: str, probs: S
     lo = pick("_lo", "_v_lo")
     hi = pick("_hi", "_v_hi")
     j = targets.join(lo, [*g, name]).join(hi, [*g, name])
-    val = F.when(F.col("_lo") == F.col("_hi"), F.col("_v_lo")).otherwise(
-        (F.col("_hi") - F.col("_pos")) * F.col("_v_lo") + (F.col("_pos") - F.col("_lo")) * F.col("_v_hi"))
+    # numpy's linear interpolation (the reference's pandas / numpy percentile): with
+    # t = pos − lo, a + (b − a)·t for t < 0.5 and b − (b − a)·(1 − t) otherwise — exact when a == b
+    # (ties), where the form (hi − pos)·a + (pos − lo)·b can miss a by one ulp.
+    a, b = F.col("_v_lo"), F.col("_v_hi")
+    t = F.col("_pos") - F.col("_lo")
+    val = F.when(a == b, a).when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
     return j.select(*g, name, val.alias(value))
 
 

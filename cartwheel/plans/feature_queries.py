@@ -104,12 +104,12 @@ def _sr(num, den):
 SPARK["engineered_features"] = _engineered
 SQL["engineered_features"] = sql(f"""
 SELECT user_id, session_date,
-  round(td, 6) AS total_duration, tp AS total_pageviews,
-  round({_sr('td', 'tp')}, 6) AS avg_duration_per_page,
-  round({_sr('Administrative_Duration', 'td')}, 6) AS admin_duration_share,
-  round({_sr('ProductRelated_Duration', 'td')}, 6) AS product_duration_share,
-  round(ExitRates - BounceRates, 6) AS bounce_exit_gap,
-  round(ProductRelated_Duration * (1 - ExitRates), 6) AS engagement_score,
+  td AS total_duration, tp AS total_pageviews,
+  {_sr('td', 'tp')} AS avg_duration_per_page,
+  {_sr('Administrative_Duration', 'td')} AS admin_duration_share,
+  {_sr('ProductRelated_Duration', 'td')} AS product_duration_share,
+  ExitRates - BounceRates AS bounce_exit_gap,
+  ProductRelated_Duration * (1 - ExitRates) AS engagement_score,
   round(ln(1 + PageValues), 6) AS page_values_log,
   round(ln(1 + ProductRelated_Duration), 6) AS product_related_duration_log,
   CAST(SpecialDay > 0 AS INT) AS has_special_day,
