@@ -2,15 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.session import materialize
 
-__all__ = ["documents", "materialize", "slices", "table"]
+__all__ = ["documents", "mapped", "materialize", "ship", "slices", "table"]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's source files to the executors once per application, so that tasks can import it
+    wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        folder = tempfile.mkdtemp(prefix="cartwheel-ship-")
+        shutil.copytree(os.path.join(root, "cartwheel"), os.path.join(folder, "cartwheel"),
+                        ignore=shutil.ignore_patterns("__pycache__", "*.pyc"))
+        sc.addPyFile(shutil.make_archive(os.path.join(folder, "cartwheel-src"), "zip", folder, "cartwheel"))
+        _shipped.add(sc.applicationId)
+
+
+def mapped(df: DataFrame, f: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with the package at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(f, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +51,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
     so that the arrays made from a run stay small whatever the batch size is."""
     for batch in batches:
         n, start = batch.num_rows, 0
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         total = 0
         for i, size in enumerate(sizes):
             if i > start and total + size > most:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cartwheel.llm import secrets, warc
+from cartwheel.llm import langid, secrets, warc
 
-MODULES = (warc, secrets)
+MODULES = (langid, warc, secrets)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
