@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.session import materialize
 
-__all__ = ["documents", "mapped", "materialize", "ship", "slices", "table"]
+__all__ = ["documents", "mapped", "materialize", "partitions", "range_bounds", "ship", "slices", "table"]
 _shipped: set[str] = set()
 
 
@@ -60,3 +60,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             total += size
         if start < n:
             yield batch.slice(start, n - start)
+
+
+def range_bounds(df: DataFrame, column: str, parts: int) -> list[int]:
+    """At most ``parts - 1`` cut points that split the non-null values of a long column about evenly.
+
+    Only the column is read; the cut points are a quantile sketch of all its values.  They decide where
+    rows are worked on, never the result.
+    """
+    probs = [i / parts for i in range(1, parts)]
+    if not probs:
+        return []
+    found = df.select(column).stat.approxQuantile(column, probs, min(0.01, 0.25 / parts))
+    return sorted({int(x) for x in found})
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cartwheel.llm import bpe_trie, langid, secrets, warc
+from cartwheel.llm import bpe_trie, langid, packing, secrets, tokenfile, warc
 
-MODULES = (bpe_trie, langid, warc, secrets)
+MODULES = (packing, tokenfile, langid, warc, secrets, bpe_trie)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
