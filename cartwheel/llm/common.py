@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,9 +14,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.session import materialize
+from cartwheel.session import ensure_checkpoint_dir
 
-__all__ = ["documents", "mapped", "materialize", "partitions", "range_bounds", "ship", "slices", "table"]
+__all__ = ["discard", "documents", "mapped", "materialize", "partitions", "range_bounds", "ship", "slices", "table"]
 _shipped: set[str] = set()
 
 
@@ -37,6 +39,29 @@ def mapped(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(f, schema)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written as Parquet in the cluster's shared folder and read again: lineage ends here, and a lost
+    executor costs at most a read.  Shuffle files of the plan just written are released."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cartwheel-llm/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # Spark's cleaner drops shuffles whose plans are garbage
+    return spark.read.schema(schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing will read again."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            if "/cartwheel-llm/" in folder:
+                path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
