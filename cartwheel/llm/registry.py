@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cartwheel.llm import bpe_trie, fingerprint, langid, near, packing, quality, secrets, tokenfile, warc
+from cartwheel.llm import bpe_trie, fingerprint, langid, near, packing, quality, secrets, suffix, tokenfile, warc
 
-MODULES = (near, quality, fingerprint, packing, tokenfile, langid, warc, secrets, bpe_trie)
+MODULES = (suffix, near, quality, fingerprint, packing, tokenfile, langid, warc, secrets, bpe_trie)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
