@@ -222,15 +222,16 @@ def fit(train: DataFrame) -> Model | None:
     return Model(out)
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` (key columns and text) without its text, plus lang_pred, score, entropy (nats per character),
-    margin (to the second language) and n_letters (scored characters).
+def predict(docs: DataFrame, model: Model | None, keep_text: bool = False, prefix: str = "") -> DataFrame:
+    """``docs`` (text and any other columns) without its text, plus lang_pred, score, entropy (nats per character),
+    margin (to the second language) and n_letters (scored characters), their names after ``prefix``.
 
     A null text or one without a letter is 'und' with score 0, entropy null and 0 characters, as is
     everything if there is no model.  Equal scores go to the first language by name.
     """
     schema = docs.schema
-    keys = [f for f in schema.fields if f.name != "text"]
+    keys = [f for f in schema.fields if keep_text or f.name != "text"]
+    added = [prefix + c for c in ("lang_pred", "score", "entropy", "margin", "n_letters")]
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,25 +279,29 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 + [pa.array([langs[i] if ok else "und" for i, ok in zip(best, found, strict=True)], pa.string()),
                    pa.array(np.where(found, 1 / share, 0.0)),
                    pa.array(low, mask=~found), pa.array(np.where(np.isfinite(other), other, 0.0), mask=~found), pa.array(sizes)],
-                [f.name for f in keys] + ["lang_pred", "score", "entropy", "margin", "n_letters"])
+                [f.name for f in keys] + added)
 
     ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keys]
-                    + ["lang_pred string", "score double", "entropy double", "margin double", "n_letters long"])
+                    + [f"`{c}` {t}" for c, t in zip(added, ("string", "double", "double", "double", "long"), strict=True)])
     return mapped(docs, run, ddl)
 
 
-def with_rejection(scored: DataFrame, train: Column) -> DataFrame:
+def limits(scored: DataFrame, train: Column) -> DataFrame:
+    """__lang, __mean, __spread: entropies of the ``train`` rows of at least STEADY characters, by predicted language."""
+    long = scored.where(train & (F.col("n_letters") >= STEADY))
+    return long.groupBy(F.col("lang_pred").alias("__lang")).agg(F.avg("entropy").alias("__mean"), F.stddev_pop("entropy").alias("__spread"))
+
+
+def with_rejection(scored: DataFrame, found: DataFrame, prefix: str = "") -> DataFrame:
     """``scored`` plus rejected: no letter, or an entropy beyond the limit of the predicted language.
 
-    The limit is mean + DEVIATIONS · spread · sqrt(1 + STEADY / characters) over the ``train`` rows of at
-    least STEADY characters that were predicted as that language; without such rows nothing is rejected for
-    its entropy.
+    The limit is mean + DEVIATIONS · spread · sqrt(1 + STEADY / characters); a language without ``limits`` rejects
+    nothing for its entropy.
     """
-    long = scored.where(train & (F.col("n_letters") >= STEADY))
-    limits = long.groupBy("lang_pred").agg(F.avg("entropy").alias("__mean"), F.stddev_pop("entropy").alias("__spread"))
-    joined = scored.join(limits, "lang_pred", "left")  # one row per language: AQE broadcasts by measured size
-    limit = F.col("__mean") + DEVIATIONS * F.greatest(F.col("__spread"), F.lit(0.02)) * F.sqrt(1 + STEADY / F.col("n_letters"))
-    return joined.withColumn("rejected", F.coalesce(F.col("entropy") > limit, F.col("n_letters") == 0)).drop("__mean", "__spread")
+    joined = scored.join(found, F.col(f"{prefix}lang_pred") == F.col("__lang"), "left")  # a row per language: AQE broadcasts by measured size
+    n, entropy = F.col(f"{prefix}n_letters"), F.col(f"{prefix}entropy")
+    limit = F.col("__mean") + DEVIATIONS * F.greatest(F.col("__spread"), F.lit(0.02)) * F.sqrt(1 + STEADY / n)
+    return joined.withColumn(f"{prefix}rejected", F.when(n == 0, True).otherwise(F.coalesce(entropy > limit, F.lit(False)))).drop("__lang", "__mean", "__spread")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -305,11 +310,27 @@ def held_out(doc_id: Column) -> Column:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, rejected and further figures for every row of ``docs`` (doc_id, text, lang)."""
+    """doc_id, held_out, lang_pred, score, rejected and further figures for every row of ``docs`` (doc_id, text, lang).
+
+    Repeated rows are counted and scored as often as they occur; an empty table gives an empty one.
+    """
+    return _identified(docs)[0]
+
+
+def _identified(docs: DataFrame) -> tuple[DataFrame, Model | None, DataFrame]:
     model = fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     scored = materialize(predict(rows, model), "languages")
-    return with_rejection(scored, ~F.col("held_out"))
+    found = limits(scored, ~F.col("held_out"))
+    return with_rejection(scored, found), model, found
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang and any other columns) that are not rejected, each judged by its text.
+    Column names that begin with two underscores are this operator's own."""
+    _, model, found = _identified(docs.select("doc_id", "text", "lang"))
+    judged = with_rejection(predict(docs, model, keep_text=True, prefix="__"), found, prefix="__")
+    return judged.where(~F.col("__rejected")).select(*docs.columns)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -311,9 +311,9 @@ def links(texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, key, class_id, class_size, n_links for every row of ``docs`` (doc_id, text).
+    """doc_id, key, class_key, class_id, class_size, n_links for every row of ``docs`` (doc_id, text).
 
-    ``key`` identifies a text's words; texts that differ in white space only are equal, as are null, empty
+    ``key`` identifies a text's words, ``class_key`` a class; texts that differ in white space only are equal, as are null, empty
     and blank ones.  ``class_id`` is the least doc_id of the class (null if none of its rows has an id);
     ``n_links`` counts the verified links of the text to other texts.  A text of fewer than five words is one shingle.
     Repeated rows are in one class, an empty table gives an empty one.
@@ -332,8 +332,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ends = edges.select(F.col("a").alias("key")).unionByName(edges.select(F.col("b").alias("key"))).groupBy("key").agg(F.count("*").alias("n_links"))
     ids = ids.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     classes = ids.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    by_key = ids.join(classes, "root").join(ends, "key", "left").select("key", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return rows.select("doc_id", "key").join(by_key, "key").select("doc_id", "key", "class_id", "class_size", "n_links")
+    by_key = ids.join(classes, "root").join(ends, "key", "left").select(
+        "key", "root", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return rows.select("doc_id", "key").join(by_key, "key").select("doc_id", "key", F.col("root").alias("class_key"), "class_id", "class_size", "n_links")
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, the key of its text's words as in ``near_duplicates``."""
+    fields = docs.schema.fields
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [xxhash.xxh3_128_digest(b" ".join((t or "").encode("utf-8", "replace").split())) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], [*[f.name for f in fields], "__key"])
+
+    return mapped(docs, run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["__key binary"]))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The row of ``docs`` (doc_id, text and any other columns) that stays of each class of near-duplicates: that of
+    the least doc_id, a row without id only if none has one; of rows with equal id and words any one."""
+    found = materialize(near_duplicates(docs.select("doc_id", "text")), "near-found")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    stays = found.groupBy("class_key").agg(F.min(rank).alias("s")).select(F.col("s.doc_id").alias("__id"), F.col("s.key").alias("__stays"))
+    keyed = with_key(docs)
+    kept = keyed.join(stays, (F.col("__key") == F.col("__stays")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates(["__key", "doc_id"]).drop("__key")
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
