@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.llm.common import documents, mapped, slices
-from cartwheel.llm.tokens import Pieces, byte_symbols, vocabulary_path
+from cartwheel.llm.tokens import Pieces, byte_symbols, split_words, vocabulary_path
 
 #: Distinct words a Python worker keeps, pieces of words, and checked pairs of tokens.
 WORDS_KEPT, PIECES_KEPT, PAIRS_KEPT = 400_000, 500_000, 2_000_000
@@ -148,9 +148,9 @@ class TrieBpe:
             if not ids:
                 self.empty.add(w)
 
-    def encode(self, texts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """For each text its ids (little-endian unsigned 32 bits) and what they decode to."""
-        words = [t.split() for t in texts]
+        words = [split_words(t) for t in texts]
         fresh = {w for ws in words for w in ws if w not in self.ids}
         if len(self.ids) + len(fresh) > WORDS_KEPT:
             self.ids.clear(), self.texts.clear(), self.empty.clear()
@@ -194,7 +194,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
         for b in slices(batches):
-            ids, texts = zip(*bpe.encode([(t or "").encode("utf-8", "replace") for t in b.column("text").to_pylist()]), strict=True)
+            ids, texts = zip(*bpe.encode(b.column("text").to_pylist()), strict=True)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())],
                                              ["doc_id", "ids", "decoded"])
 
@@ -207,7 +207,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         bpe = coder(path)
         for b in slices(batches):
             n, ids_sha, text_sha = [], [], []
-            for ids, text in bpe.encode([(t or "").encode("utf-8", "replace") for t in b.column("text").to_pylist()]):
+            for ids, text in bpe.encode(b.column("text").to_pylist()):
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(text).hexdigest())

@@ -30,8 +30,10 @@ MAX_LANGUAGES = 100
 CHARACTERS = 5000
 #: Distinct words whose scores a task keeps, and counts before they are cut into n-grams.
 WORDS_KEPT = 400_000
-#: Rejection: deviations over the mean, and the length at which a text's own noise equals the documents' spread.
-DEVIATIONS, STEADY = 8.0, 200.0
+#: Rejection: deviations over the mean, the length at which a text's own noise equals the documents' spread,
+#: the training rows that a limit needs, and the least spread (nats per character): a passage in another known
+#: language must not make a text unknown, while unknown scripts and random letters lie several nats higher.
+DEVIATIONS, STEADY, LEAST_ROWS, LEAST_SPREAD = 8.0, 200.0, 30, 0.2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLANKS = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 
@@ -289,7 +291,7 @@ def predict(docs: DataFrame, model: Model | None, keep_text: bool = False, prefi
 def limits(scored: DataFrame, train: Column) -> DataFrame:
     """__lang, __mean, __spread: entropies of the ``train`` rows of at least STEADY characters, by predicted language."""
     long = scored.where(train & (F.col("n_letters") >= STEADY))
-    return long.groupBy(F.col("lang_pred").alias("__lang")).agg(F.avg("entropy").alias("__mean"), F.stddev_pop("entropy").alias("__spread"))
+    return long.groupBy(F.col("lang_pred").alias("__lang")).agg(F.avg("entropy").alias("__mean"), F.stddev_pop("entropy").alias("__spread"), F.count("*").alias("__n")).where(F.col("__n") >= LEAST_ROWS).drop("__n")
 
 
 def with_rejection(scored: DataFrame, found: DataFrame, prefix: str = "") -> DataFrame:
@@ -300,7 +302,7 @@ def with_rejection(scored: DataFrame, found: DataFrame, prefix: str = "") -> Dat
     """
     joined = scored.join(found, F.col(f"{prefix}lang_pred") == F.col("__lang"), "left")  # a row per language: AQE broadcasts by measured size
     n, entropy = F.col(f"{prefix}n_letters"), F.col(f"{prefix}entropy")
-    limit = F.col("__mean") + DEVIATIONS * F.greatest(F.col("__spread"), F.lit(0.02)) * F.sqrt(1 + STEADY / n)
+    limit = F.col("__mean") + DEVIATIONS * F.greatest(F.col("__spread"), F.lit(LEAST_SPREAD)) * F.sqrt(1 + STEADY / n)
     return joined.withColumn(f"{prefix}rejected", F.when(n == 0, True).otherwise(F.coalesce(entropy > limit, F.lit(False)))).drop("__lang", "__mean", "__spread")
 
 

@@ -12,6 +12,7 @@ are opened by its longest units.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import documents, mapped, materialize, partitions, slices
+from cartwheel.llm.common import documents, mapped, materialize, slices
 from cartwheel.llm.tokens import encoder, vocabulary_path
 
 CAPACITY = 2048
@@ -58,8 +59,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id
         loose = unit  # number of the bundle that is being filled
         unit += 1
         for b in slices(batches):
-            texts = [(t or "").encode("utf-8", "replace") for t in b.column("text").to_pylist()]
-            for key, ids in zip(b.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
+            for key, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist()), strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
@@ -170,7 +170,6 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     A sequence is numbered by the unit that opens it; offsets leave no holes.  Ties in length are broken by
     unit, an empty table gives an empty one.
     """
-    spark = units.sparkSession
     units = units.select("unit", F.col("length").cast("long").alias("length"))
     placed = [units.where(F.col("length") == capacity).select("unit", F.col("unit").alias("sequence"), F.lit(0).cast("long").alias("offset"))]
     waiting = units.where(F.col("length") < capacity)
@@ -182,7 +181,7 @@ def pack(units: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         opened = materialize(opened, "packing-opened")
         placed.append(opened.select("unit", F.col("unit").alias("sequence"), F.lit(0).cast("long").alias("offset")))
         gaps = opened.select(F.col("unit").alias("sequence"), (capacity - F.col("length")).alias("gap"))
-        pairs, waiting = _fill(spark, rest, gaps, capacity)
+        pairs, waiting = _fill(rest, gaps, sum(r.n for r in sizes), capacity)
         placed += pairs
     out = placed[0]
     for p in placed[1:]:
@@ -212,16 +211,33 @@ def _opened(waiting: DataFrame, sizes: dict[int, int], capacity: int) -> tuple[D
     return waiting.where(chosen), waiting.where(~chosen)
 
 
-def _fill(spark: SparkSession, waiting: DataFrame, gaps: DataFrame, capacity: int) -> tuple[list[DataFrame], DataFrame]:
-    """Rounds until no waiting unit fits a gap: tables of placements, and the units left."""
+def _matched(runs: list[tuple[str, int, int, int, int]]):
+    """Number the rows left by the pairs of ``_across`` that they belong to: equal numbers are a pair."""
+    table: dict[tuple[str, int], list[tuple[int, int, int]]] = {}
+    for kind, part, first, n, base in runs:
+        table.setdefault((kind, part), []).append((first, n, base))
+    table = {k: sorted(v) for k, v in table.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for kind, part, rank in zip(*[b.column(c).to_pylist() for c in ("kind", "part", "rank")], strict=True):
+                own = table.get((kind, part), [])
+                at = bisect_right(own, (rank, 1 << 62, 0)) - 1
+                out.append(own[at][2] + rank - own[at][0] if at >= 0 and rank < own[at][0] + own[at][1] else None)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], [*b.schema.names, "match"])
+
+    return run
+
+
+def _fill(waiting: DataFrame, gaps: DataFrame, rows: int, capacity: int) -> tuple[list[DataFrame], DataFrame]:
+    """Rounds until no waiting unit fits a gap: tables of placements, and the units left.  ``rows``: units waiting."""
     placed = []
-    limit = partitions(spark)
-    rows = None
     while True:
         state = (waiting.select(F.col("length").alias("size"), F.col("unit").alias("id"), F.lit(False).alias("gap"))
                  .unionByName(gaps.select(F.col("gap").alias("size"), F.col("sequence").alias("id"), F.lit(True).alias("gap"))))
-        n = limit if rows is None else max(1, -(-rows // RANGE_ROWS))
-        ranged = state.repartitionByRange(n, "size", "gap", "id")
+        n = -(-rows // RANGE_ROWS)
+        ranged = state.repartitionByRange(n, "size", "gap", "id") if n > 1 else state.coalesce(1)
         done = materialize(mapped(ranged, _round, _ROUND), "packing-round")
         counts: dict[int, list[int]] = {}
         swept = 0
@@ -231,32 +247,25 @@ def _fill(spark: SparkSession, waiting: DataFrame, gaps: DataFrame, capacity: in
                 counts.setdefault(r.part, [0, 0])[r.kind == "gap"] = r.n
         runs = _across({k: (u, g) for k, (u, g) in counts.items()})
         pairs = done.where("kind = 'pair'").select("unit", "length", "sequence", "gap")
-        left_units, left_gaps = done.where("kind = 'unit'"), done.where("kind = 'gap'")
+        left = mapped(done.where("kind <> 'pair'"), _matched(runs), _ROUND + ", match long")
+        rest = left.where("match is null")
         if runs:
-            met = spark.createDataFrame(runs, "kind string, part int, first long, n long, base long")  # two rows a range
-            met = done.where("kind <> 'pair'").join(F.broadcast(met), ["kind", "part"], "left").where(
-                (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))
-            ).withColumn("match", F.col("base") + F.col("rank") - F.col("first"))
+            met = left.where("match is not null")
             matched = met.where("kind = 'unit'").select("match", "unit", "length").join(
                 met.where("kind = 'gap'").select("match", "sequence", "gap"), "match").drop("match")
-            used = spark.createDataFrame([(k, p, max(f + n for kk, pp, f, n, _ in runs if (kk, pp) == (k, p)))
-                                          for k, p in {(r[0], r[1]) for r in runs}], "kind string, part int, used long")
-            left = done.where("kind <> 'pair'").join(F.broadcast(used), ["kind", "part"], "left").where(
-                F.col("rank") >= F.coalesce("used", F.lit(0)))
-            left_units, left_gaps = left.where("kind = 'unit'"), left.where("kind = 'gap'")
             pairs = materialize(pairs.unionByName(matched), "packing-pairs")
         if not swept and not runs:
-            return placed, left_units.select("unit", "length")
+            return placed, rest.where("kind = 'unit'").select("unit", "length")
         placed.append(pairs.select("unit", "sequence", (capacity - F.col("gap")).alias("offset")))
-        waiting = left_units.select("unit", "length")
+        waiting = rest.where("kind = 'unit'").select("unit", "length")
         # a gap may have taken several units of its range: what is left is after the last of them
         shrunk = pairs.groupBy("sequence").agg(F.min(F.col("gap") - F.col("length")).alias("gap"))
-        gaps = shrunk.unionByName(left_gaps.select("sequence", "gap"))
+        gaps = shrunk.unionByName(rest.where("kind = 'gap'").select("sequence", "gap"))
         left_now = waiting.agg(F.count("*").alias("n"), F.min("length").alias("least")).first()
         if not left_now.n:
             return placed, waiting
         gaps = gaps.where(F.col("gap") >= left_now.least)
-        rows = 2 * left_now.n
+        rows = left_now.n
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

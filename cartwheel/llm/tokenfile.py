@@ -94,7 +94,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID,
         enc = encoder(vocabulary)
         end = np.array([end_id], dtype="<u4").tobytes()
         for b in slices(batches):
-            ids = [x + end for x in enc.encode([(t or "").encode("utf-8", "replace") for t in b.column("text").to_pylist()])]
+            ids = [x + end for x in enc.encode(b.column("text").to_pylist())]
             keys = b.column("doc_id")
             known = np.asarray(keys.is_valid())
             part = np.searchsorted(bounds, np.asarray(keys.fill_null(0)), side="left")

@@ -4,11 +4,14 @@ The vocabulary file ``word_bpe_49k.json`` drops white space before it merges, an
 across it.  A text's ids are therefore the ids of its white-space-separated words, one after the other;
 each distinct word is encoded by the tokenizers library once and kept.  Splitting is done at ASCII white
 space only (all of which the tokenizer drops), so unusual characters stay inside a word and are the
-library's business.
+library's business.  Texts within Latin-1 are put to lower case first, as the tokenizer does character by
+character, so that fewer words are distinct.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import public_tokenizers
 import regex
@@ -16,7 +19,7 @@ from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct words, and distinct pieces of words, that a Python worker keeps; all are forgotten when there would be more.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 900_000
 _CHUNK = 20_000
 
 
@@ -24,6 +27,18 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def split_words(text: str | None) -> list[bytes]:
+    """The text's words as UTF-8, in lower case where that is safe before special tokens are looked for."""
+    if not text:
+        return []
+    if "<|" not in text and (text.isascii() or not _BEYOND.search(text)):
+        text = text.lower()
+    return text.encode("utf-8", "replace").split()
+
+
+_BEYOND = re.compile("[^\0-\xff]")
+
+
 class Pieces:
     """Cuts words as a vocabulary file's normaliser and pre-tokenizer do, into pieces of the byte-level
     alphabet, with the ids of special tokens in their places."""
@@ -49,14 +64,19 @@ class Pieces:
 
     def __call__(self, word: str) -> list[str | int]:
         """The same; words of printable Latin-1 without special tokens need only the file's split pattern."""
-        if "<|" in word or not _SIMPLE.fullmatch(word):
-            return self.cut(word)
-        found = _SPLIT.findall(word.lower())
-        return found if word.isascii() else [p if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN) for p in found]
+        if "<|" not in word:
+            if word.isascii():
+                if word.isprintable():
+                    return _ASCII.findall(word.lower())
+            elif _SIMPLE.fullmatch(word):
+                return [p if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN) for p in _SPLIT.findall(word.lower())]
+        return self.cut(word)
 
 
-_SIMPLE = regex.compile(r"[!-~\xa1-\xff]+")
+_SIMPLE = re.compile(r"[!-~\xa1-\xff]+")
+#: The file's split pattern, and what is left of it in ASCII.
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
 def byte_symbols() -> dict[int, str]:
@@ -81,25 +101,26 @@ class WordEncoder:
         self.model.pre_tokenizer = None
         self.kept = kept
         self.words: dict[bytes, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str | int, bytes] = {}
 
     def _learn(self, fresh: set[bytes]) -> None:
-        cuts = {w: self.pieces(w.decode()) for w in fresh}
-        new = {p for ps in cuts.values() for p in ps if isinstance(p, str)}
+        cuts = [self.pieces(w.decode()) for w in fresh]
+        new = {p for ps in cuts for p in ps}
         if len(self.known) + len(new) > self.kept:
             self.known.clear()
-        new = [p for p in new if p not in self.known]
+        known = self.known
+        known.update((p, p.to_bytes(4, "little")) for p in new if isinstance(p, int))
+        new = [p for p in new if p not in known]
         for i in range(0, len(new), _CHUNK):
             part = new[i:i + _CHUNK]
             got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
             data = np.array(got.ids, dtype="<u4").tobytes()
-            cuts_at = (np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1)) * 4).tolist()
-            self.known.update((p, data[s:e]) for p, s, e in zip(part, cuts_at, cuts_at[1:], strict=False))
-        for w, ps in cuts.items():
-            self.words[w] = b"".join([self.known[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in ps])
+            at = (np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1)) * 4).tolist()
+            known.update((p, data[s:e]) for p, s, e in zip(part, at, at[1:], strict=False))
+        self.words.update((w, known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])) for w, ps in zip(fresh, cuts, strict=True))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        split = [split_words(t) for t in texts]
         fresh = {w for ws in split for w in ws if w not in self.words}
         if len(self.words) + len(fresh) > self.kept:
             self.words.clear()
