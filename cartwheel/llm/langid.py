@@ -321,10 +321,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def _identified(docs: DataFrame) -> tuple[DataFrame, Model | None, DataFrame]:
     model = fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("lang").alias("label"), "text")
     scored = materialize(predict(rows, model), "languages")
-    found = limits(scored, ~F.col("held_out"))
-    return with_rejection(scored, found), model, found
+    found = limits(scored, ~F.col("held_out") & (F.col("label") == F.col("lang_pred")))
+    return with_rejection(scored.drop("label"), found), model, found
 
 
 def accepted(docs: DataFrame) -> DataFrame:
