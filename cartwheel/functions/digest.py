@@ -8,9 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def row_fingerprint(columns: Sequence[str], sep: str = "|") -> Column:
-    """Text form of a row (columns as text joined by ``sep``) for hashing."""
-    return F.concat_ws(sep, *[F.col(c).cast("string") for c in columns])
+def row_fingerprint(columns: Sequence[str], sep: str = "|", doubles: Sequence[str] = ()) -> Column:
+    """Text form of a row (columns as text joined by ``sep``) for hashing; ``doubles`` with twelve decimals, so
+    that engines which print doubles differently agree."""
+    text = lambda c: F.col(c).cast("decimal(38,12)").cast("string") if c in doubles else F.col(c).cast("string")
+    return F.concat_ws(sep, *[text(c) for c in columns])
 
 
 def content_address(md5_hex: Column, prefix: str = "files/md5/") -> Column:

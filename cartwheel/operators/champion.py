@@ -17,7 +17,7 @@ from cartwheel.operators import evaluate as H
 from cartwheel.operators import ranking as K
 from cartwheel.operators import split as G
 from cartwheel.operators import train as T
-from cartwheel.operators.features import model_feature_columns
+from cartwheel.operators.features import columns_without
 from cartwheel.schema import EXPECTED_COLUMNS, KEY_COLUMNS, LABEL
 from cartwheel.sources import artifacts, reports, runlog
 
@@ -98,7 +98,7 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
     manifest = {}
     model = res.models[name]
     if not isinstance(model, float):
-        features = model_feature_columns(include_page_values="without" not in name)
+        features = columns_without(*(("PageValues",) if "without" in name else ()))
         manifest = artifacts.write_artifact(model, f"{out_dir}/artifact", feature_names=features,
                                             threshold=threshold, model_version=model_version, champion=name,
                                             metrics={k: best[k] for k in ("f1", "pr_auc", "roc_auc")},

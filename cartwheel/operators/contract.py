@@ -80,10 +80,11 @@ def annotate(raw: DataFrame, key_columns: Sequence[str] = ()) -> DataFrame:
             if c in RATE_COLUMNS:
                 checks.append(_violation(ok_num & ~num.between(0, 1), "range_0_1", c))
             if c in INTEGER_COLUMNS:
-                checks.append(_violation(ok_num & (num % 1 != 0), "integer", c))
+                # beyond BIGINT (1e30, inf) a number is no integer either
+                checks.append(_violation(ok_num & ((num % 1 != 0) | num.try_cast("bigint").isNull()), "integer", c))
             if c in CODE_COLUMNS:
                 checks.append(_violation(ok_num & (num < 1), "positive_code", c))
-            typed[c] = num.cast("bigint") if c in INTEGER_COLUMNS else num
+            typed[c] = num.try_cast("bigint") if c in INTEGER_COLUMNS else num
         else:
             missing = F.col(c).isNull()
             checks.append(_violation(missing, "null", c))
@@ -110,21 +111,30 @@ def split_valid(annotated: DataFrame, key_columns: Sequence[str] = ()) -> tuple[
 
 
 def rule_summary(annotated: DataFrame) -> DataFrame:
-    """Per (rule, column): rows breaking it, plus the sorted unknown values (B12) — one aggregation."""
+    """Per (rule, column): rows breaking it, and how many distinct unknown values there are (B12; the values
+    themselves are rows of ``unknown_categories``) — nothing here grows with the number of values."""
     v = annotated.select(F.explode("violations").alias("v"), *[F.col(f"raw_{c}") for c in DOMAINS])
     unknown_value = F.coalesce(*[F.when(F.col("v.column") == c, F.col(f"raw_{c}")) for c in DOMAINS])
     return v.groupBy(F.col("v.rule").alias("rule"), F.col("v.column").alias("column")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.array_join(F.sort_array(F.collect_set(F.when(F.col("v.rule") == "unknown_category", unknown_value))),
-                     ",").alias("values"),
+        F.count_distinct(F.when(F.col("v.rule") == "unknown_category", unknown_value)).alias("distinct_values"),
     )
 
 
+def dataset_rules(annotated: DataFrame) -> DataFrame:
+    """B3 / B13 as rows: (rule, found, broken) for 'empty' (rows) and 'two_classes' (distinct valid labels)."""
+    stats = annotated.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.col(LABEL)).alias("classes"))
+    row = lambda rule, found, broken: F.struct(F.lit(rule).alias("rule"), F.col(found).alias("found"), broken.alias("broken"))
+    return stats.select(F.inline(F.array(row("empty", "rows", F.col("rows") == 0),
+                                         row("two_classes", "classes", F.col("classes") != 2))))
+
+
 @dataclass
 class Validation:
     valid: DataFrame
     quarantine: DataFrame
     summary: DataFrame
+    dataset_rules: DataFrame
 
 
 def validate(raw: DataFrame, *, strict: bool = True, key_columns: Sequence[str] = (),
@@ -140,9 +150,9 @@ def validate(raw: DataFrame, *, strict: bool = True, key_columns: Sequence[str]
     """
     missing, unexpected = column_check([c for c in raw.columns if c not in key_columns])
     if missing:
-        raise ContractError(f"missing columns: {missing}")
+        raise ContractError(f"rule missing_columns: {missing}")
     if unexpected:
-        raise ContractError(f"unexpected columns: {unexpected}")
+        raise ContractError(f"rule unexpected_columns: {unexpected}")
     ann = annotate(raw, key_columns)
     valid, bad = split_valid(ann, key_columns)
     summary = rule_summary(ann)
@@ -152,32 +162,25 @@ def validate(raw: DataFrame, *, strict: bool = True, key_columns: Sequence[str]
             F.count_distinct(F.col(LABEL)).alias("classes"),
         ).first()
         if stats["rows"] == 0:
-            raise ContractError("dataset must contain at least one row")
+            raise ContractError("rule empty: the input has no rows")
         broken = {(r["rule"], r["column"]): r for r in summary.collect()}  # ≤ rules × columns rows
         for rule in RULE_ORDER:
             cols = sorted(c for (ru, c) in broken if ru == rule)
             if not cols:
                 continue
             if rule == "null":
-                raise ContractError(f"null values found in columns: {cols}")
-            c = cols[0] if rule != "unknown_category" else [c for c in ("Month", "VisitorType") if c in cols][0]
-            messages = {
-                "boolean": f"{c} contains a value that is not boolean",
-                "numeric": f"{c} must be numeric",
-                "non_negative": f"{c} must be non-negative",
-                "range_0_1": f"{c} must be between 0 and 1",
-                "integer": f"{c} must contain integers",
-                "positive_code": f"{c} must contain positive category codes",
-                "unknown_category": f"{c} contains unknown categories: {broken[(rule, c)]['values'].split(',')}",
-            }
-            raise ContractError(messages[rule])
+                raise ContractError(f"rule null broken in {cols}")
+            c = next((x for x in DOMAINS if x in cols), cols[0]) if rule == "unknown_category" else cols[0]
+            r = broken[(rule, c)]
+            values = f", {r['distinct_values']} distinct values" if rule == "unknown_category" else ""
+            raise ContractError(f"rule {rule} broken in {c}: {r['rows']} rows{values}")
         if stats["classes"] != 2:
-            raise ContractError("dataset must contain two target classes")
+            raise ContractError(f"rule two_classes: {LABEL} has {stats['classes']} distinct values")
     if materialize:
         from cartwheel.session import materialize as _write
 
         valid, bad = _write(valid, "valid_sessions"), _write(bad, "quarantine_sessions")
-    return Validation(valid, bad, summary)
+    return Validation(valid, bad, summary, dataset_rules(ann))
 
 
 # ---------------------------------------------------------------- fixtures
@@ -189,7 +192,8 @@ def dirty_sessions(sessions: DataFrame) -> DataFrame:
     Slot = (user_id * 31 + day) % 50, a pure function of the row key (no
     global row numbering).  Fixed fault values: Administrative '-1',
     BounceRates '1.1', Month 'Jan', VisitorType 'Robot', Browser '0',
-    ProductRelated '1.5', PageValues 'abc', Weekend 'yes', SpecialDay 'NaN',
+    ProductRelated '1.5', PageValues 'abc', Weekend 'yes', SpecialDay 'NaN', OperatingSystems '1e30',
+    TrafficType 'Infinity', Informational 'NaN', ProductRelated_Duration 'Infinity',
     Region NULL; booleans as mixed-case text with blanks.
     """
     slot = (F.col("user_id") * 31 + F.dayofmonth("session_date")) % 50
@@ -197,7 +201,9 @@ def dirty_sessions(sessions: DataFrame) -> DataFrame:
         "Administrative": (0, F.lit("-1")), "BounceRates": (1, F.lit("1.1")), "Month": (2, F.lit("Jan")),
         "VisitorType": (3, F.lit("Robot")), "Browser": (4, F.lit("0")), "ProductRelated": (5, F.lit("1.5")),
         "PageValues": (6, F.lit("abc")), "Weekend": (7, F.lit("yes")), "SpecialDay": (8, F.lit("NaN")),
-        "Region": (9, F.lit(None).cast("string")),
+        "Region": (9, F.lit(None).cast("string")), "OperatingSystems": (10, F.lit("1e30")),
+        "TrafficType": (11, F.lit("Infinity")), "Informational": (12, F.lit("NaN")),
+        "ProductRelated_Duration": (13, F.lit("Infinity")),
     }
     cols = []
     for c in EXPECTED_COLUMNS:

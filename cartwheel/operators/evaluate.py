@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.expr import r6
+from cartwheel.operators.joins import join_on
 from cartwheel.operators.running import bucket_count, quantile_bucket, running_sums
 
 N_BUCKETS = 16
@@ -42,13 +43,14 @@ def _ungroup(df: DataFrame, added: bool) -> DataFrame:
 
 
 def _attach(df: DataFrame, small: DataFrame, groups: Sequence[str], added: bool) -> DataFrame:
-    """Attach a table with one row per group.  Grouped: broadcast hash join on the group keys
-    (bounded by the number of groups).  Ungrouped: the single row is a handful of numbers —
-    pulled once and attached as literals, so no join at all."""
+    """Attach a table with one row per group.  Grouped: a NULL-safe join on the group keys (AQE broadcasts the
+    group table by its measured size).  Ungrouped: the single row is a handful of numbers — pulled once and
+    attached as literals, NULL where the input is empty, so no join at all."""
     if added:
         row = small.first()
-        return df.select("*", *[F.lit(row[c]).alias(c) for c in small.columns if c not in groups])
-    return df.join(F.broadcast(small), list(groups))
+        return df.select("*", *[F.lit(row[f.name] if row else None).cast(f.dataType).alias(f.name)
+                                for f in small.schema if f.name not in groups])
+    return join_on(df, small, groups, "inner")
 
 
 def _counts(scored: DataFrame, groups: Sequence[str], score: str, label: str) -> DataFrame:
@@ -80,18 +82,26 @@ def pr_points(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "sc
 def f1_threshold(points: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """H2: per group the F1-optimal threshold; ties go to the lowest threshold.
 
-    (The 0.5 fallback of an empty curve cannot happen for a non-empty group.)
-    ``max_by`` over a struct ordering avoids a window: pick max (f1, -score).
+    A struct ordering avoids a window: pick max (f1, -score).  An empty curve has no row here;
+    ``fitted_threshold`` gives its fallback.
     """
     best = points.groupBy(*groups).agg(
         F.max(F.struct(F.col("f1"), (-F.col("score")).alias("neg_score"))).alias("_b"))
     return best.select(*groups, (-F.col("_b.neg_score")).alias("threshold"), F.col("_b.f1").alias("best_f1"))
 
 
+def fitted_threshold(points: DataFrame) -> float:
+    """H2 of one curve as a number; 0.5 for an empty one."""
+    best = f1_threshold(points).first()
+    return 0.5 if best is None or best["threshold"] is None else float(best["threshold"])
+
+
 def curve_summary(points: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
-    """H3 + H4: ROC-AUC and average precision per group from the point table."""
-    auc = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos"))) / (2.0 * F.first("P") * F.first("N"))
-    ap = F.sum(F.col("pos") * F.col("precision")) / F.first("P")
+    """H3 + H4: ROC-AUC and average precision per group from the point table; NULL where a group lacks the
+    class that the metric divides by.  Products of counts are doubles: P · N leaves BIGINT at 5e9 rows."""
+    d = lambda c: F.col(c).cast("double")
+    auc = F.try_divide(F.sum(d("neg") * (2 * d("tp") - d("pos"))), 2.0 * F.first(d("P")) * F.first(d("N")))
+    ap = F.try_divide(F.sum(d("pos") * F.col("precision")), F.first(d("P")))
     return points.groupBy(*groups).agg(auc.alias("roc_auc"), ap.alias("pr_auc"))
 
 
@@ -104,10 +114,10 @@ def at_threshold(scored: DataFrame, thresholds: DataFrame | float, *, groups: Se
     if isinstance(thresholds, (int, float)):
         base = scored.withColumn("threshold", F.lit(float(thresholds)))
     elif not groups or groups == [_G]:
-        base = scored.withColumn("threshold", F.lit(float(thresholds.first()["threshold"])))
+        row = thresholds.first()
+        base = scored.withColumn("threshold", F.lit(float(row["threshold"]) if row else 0.5))
     else:
-        # one row per group (candidate runs): bounded broadcast
-        base = scored.join(F.broadcast(thresholds.select(*groups, "threshold")), list(groups))
+        base = join_on(scored, thresholds.select(*groups, "threshold"), groups, "inner")
     pred = F.col(score) >= F.col("threshold")
     y = F.col(label)
     agg = base.groupBy(*groups, "threshold").agg(
@@ -129,7 +139,8 @@ def metric_record(scored: DataFrame, *, groups: Sequence[str] = (), score: str =
     pts = pr_points(scored, groups=groups, score=score, label=label)
     th = f1_threshold(pts, groups) if threshold is None else threshold
     if added and isinstance(th, DataFrame):
-        th = float(th.first()["threshold"])  # one number: the fitted threshold
+        row = th.first()
+        th = 0.5 if row is None or row["threshold"] is None else float(row["threshold"])  # one number
     at = at_threshold(scored, th, groups=groups, score=score, label=label)
     curve = curve_summary(pts, groups)
     j = _attach(at, curve, groups, added)
@@ -263,4 +274,4 @@ def calibration_gate(records: DataFrame, base: str, candidates: Sequence[str], n
 def lift(scored: DataFrame, base_rate: DataFrame, score: str = "score") -> DataFrame:
     """Base rate (from data, one row) and lift = score / base_rate per row."""
     rate = float(base_rate.first()["base_rate"])  # one number computed by Spark from the data
-    return scored.withColumn("base_rate", F.lit(rate)).withColumn("lift", r6(F.col(score) / F.col("base_rate")))
+    return scored.withColumn("base_rate", F.lit(rate)).withColumn("lift", r6(F.try_divide(F.col(score), F.col("base_rate"))))

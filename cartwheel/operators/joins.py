@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, and the comparison-table joins."""
+"""Join helpers: NULL-safe keyed joins, and the comparison-table joins."""
 
 from __future__ import annotations
 
@@ -7,21 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is checked to be at most this.
-BROADCAST_MAX_ROWS = 1_000_000
 
+def join_on(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
+    """Keyed join (E5) in which a NULL key equals a NULL key; the keys appear once, from the left.
 
-def join_small(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join with ``right`` broadcast only after checking its size.
-
-    ``right`` is counted first (one small job); above ``max_rows`` the plain
-    join is used and Spark/AQE pick a shuffle join (AQE still splits skewed
-    partitions).  ``right`` should be a dimension-like table (one row per key).
+    No hint: AQE broadcasts a side by its measured size and splits skewed partitions otherwise.
     """
-    n = right.count()
-    side = F.broadcast(right) if n <= max_rows else right
-    return left.join(side, on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def align_reports(reports: Sequence[DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.expr import r6
+from cartwheel.operators.joins import join_on
 
 ALARM_PERIOD = "300 seconds"
 
@@ -62,6 +63,5 @@ def route_latency(log: DataFrame, *, exact: bool = True, accuracy: int = 10000)
     from cartwheel.operators.quantiles import exact_quantiles
 
     q = exact_quantiles(log.select("route", "status", "duration_ms"), ["route", "status"], "duration_ms", [0.95])
-    # one row per (route, status)
-    return base.join(F.broadcast(q.select("route", "status", r6(F.col("duration_ms")).alias("p95_ms"))),
-                     ["route", "status"])
+    # one row per (route, status), NULL routes among them; p95 is NULL where no duration is known
+    return join_on(base, q.select("route", "status", r6(F.col("duration_ms")).alias("p95_ms")), ["route", "status"])

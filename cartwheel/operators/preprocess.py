@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.expr import r6, unpivot
-from cartwheel.operators.joins import join_small
+from cartwheel.operators.joins import join_on
 from cartwheel.schema import LABEL
 
 
@@ -51,7 +51,7 @@ def one_hot_long(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], k
     is a size-checked broadcast (one row per category value).
     """
     long = unpivot(df, list(keys), columns, "column", "category", cast="string")
-    return join_small(long, dictionary, ["column", "category"], "inner").select(*keys, "column", "category", "slot")
+    return join_on(long, dictionary, ["column", "category"], "inner").select(*keys, "column", "category", "slot")
 
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:

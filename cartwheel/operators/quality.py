@@ -18,7 +18,7 @@ from cartwheel.functions.expr import bool_key, is_missing, r6, unpivot
 from cartwheel.operators.quantiles import quantile_columns
 from cartwheel.schema import EXPECTED_COLUMNS, LABEL, NUMERIC_DESCRIBE_COLUMNS
 
-# The seven columns compared for duplicate sessions (FIXTURES.md §2).
+# The seven columns of the duplicate fixture (FIXTURES.md §2); by default all columns are compared.
 DUPLICATE_COLUMNS = (
     "Administrative", "Informational", "ProductRelated", "Month", "VisitorType", "Weekend", "Revenue",
 )
@@ -103,7 +103,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_DESCRIBE_CO
                                                 accuracy).alias("_q")]))
     if exact:
         q = quantile_columns(long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-        base = base.join(F.broadcast(q), "column")  # one row per described column
+        base = base.join(q, "column", "left")  # one row per described column; an all-NULL one has no quantiles
     else:
         base = base.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))])
     return base.select("column", "count", "mean", "std", "min", r6(F.col("p25")).alias("p25"),
@@ -130,7 +130,7 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
 
 
-def duplicate_groups(df: DataFrame, columns: Sequence[str] = DUPLICATE_COLUMNS,
+def duplicate_groups(df: DataFrame, columns: Sequence[str] = EXPECTED_COLUMNS,
                      metrics: Sequence[str] = ()) -> DataFrame:
     """One row per distinct combination of ``columns``: n and per-metric sums.
 
@@ -142,7 +142,7 @@ def duplicate_groups(df: DataFrame, columns: Sequence[str] = DUPLICATE_COLUMNS,
     )
 
 
-def duplicate_report(df: DataFrame, columns: Sequence[str] = DUPLICATE_COLUMNS) -> DataFrame:
+def duplicate_report(df: DataFrame, columns: Sequence[str] = EXPECTED_COLUMNS) -> DataFrame:
     """Rows, extra copies, rows in duplicate groups, rows after de-duplication."""
     g = duplicate_groups(df, columns)
     return g.agg(
@@ -171,7 +171,7 @@ def _shares(g: DataFrame, key: str, weight, name: str) -> DataFrame:
 
 
 def share_comparison(df: DataFrame, key: str, left: str, right: str,
-                     columns: Sequence[str] = DUPLICATE_COLUMNS) -> DataFrame:
+                     columns: Sequence[str] = EXPECTED_COLUMNS) -> DataFrame:
     """Value shares of ``key`` in two row sets joined left on the key.
 
     Row sets: 'all' (every row), 'dup' (rows in duplicate groups), 'dedup'
@@ -192,7 +192,7 @@ def share_comparison(df: DataFrame, key: str, left: str, right: str,
     return out
 
 
-def duplicate_activity_means(df: DataFrame, columns: Sequence[str] = DUPLICATE_COLUMNS,
+def duplicate_activity_means(df: DataFrame, columns: Sequence[str] = EXPECTED_COLUMNS,
                              metrics: Sequence[str] = ACTIVITY_COLUMNS) -> DataFrame:
     """Mean of each metric over duplicate rows and over the rest, joined on metric."""
     g = duplicate_groups(df, columns, metrics)

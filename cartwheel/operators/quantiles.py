@@ -8,10 +8,10 @@ Here instead:
 2. cumulative counts along the value order with ``running.running_sums``
    (value-range buckets from approximate cut points, offsets joined back);
 3. rank targets per (group, q): position (n−1)·q and its floor / ceil —
-   a table of #groups × #probabilities rows, broadcast;
-4. each target finds the distinct value whose count range covers its rank
-   (equi-join on the group + range condition), then interpolates linearly the
-   way numpy's ``percentile`` does (exact for tied neighbours).
+   a table of #groups × #probabilities rows;
+4. one NULL-safe join on the group with a range condition finds the distinct values whose count ranges
+   cover the floor and the ceiling, then interpolates linearly the way numpy's ``percentile`` does
+   (exact for tied neighbours).
 """
 
 from __future__ import annotations
@@ -42,18 +42,14 @@ def exact_quantiles(long: DataFrame, groups: Sequence[str], value: str, probs: S
     targets = n.select(*g, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias(name))
     targets = targets.select(*g, name, ((F.col("_n") - 1) * F.col(name)).alias("_pos"))
     targets = targets.select("*", F.floor("_pos").alias("_lo"), F.ceil("_pos").alias("_hi"))
-    # targets: #groups × #probs rows — a bounded broadcast
-    def pick(rank_col: str, out: str) -> DataFrame:
-        t = F.broadcast(targets.select(*[F.col(c).alias(f"_t_{c}") for c in g], F.col(name).alias("_t_q"),
-                                       F.col(rank_col).alias("_t_rank")))
-        cond = [*[F.col(c) == F.col(f"_t_{c}") for c in g], F.col("_lo_rank") <= F.col("_t_rank"),
-                F.col("_t_rank") < F.col("_hi_rank")]
-        return cum.join(t, cond).select(*[F.col(f"_t_{c}").alias(c) for c in g], F.col("_t_q").alias(name),
-                                        F.col("_v").alias(out))
-
-    lo = pick("_lo", "_v_lo")
-    hi = pick("_hi", "_v_hi")
-    j = targets.join(lo, [*g, name]).join(hi, [*g, name])
+    t = targets.select(*[F.col(c).alias(f"_t_{c}") for c in g], name, "_pos", "_lo", "_hi")
+    covers = lambda rank: (F.col("_lo_rank") <= F.col(rank)) & (F.col(rank) < F.col("_hi_rank"))
+    cond = covers("_lo") | covers("_hi")
+    for c in g:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    met = cum.join(t if g else F.broadcast(t), cond)  # without groups: one row per probability
+    j = met.groupBy(*[F.col(f"_t_{c}").alias(c) for c in g], name, "_pos", "_lo").agg(
+        F.max(F.when(covers("_lo"), F.col("_v"))).alias("_v_lo"), F.max(F.when(covers("_hi"), F.col("_v"))).alias("_v_hi"))
     # numpy's linear interpolation (the reference's pandas / numpy percentile): with
     # t = pos − lo, a + (b − a)·t for t < 0.5 and b − (b − a)·(1 − t) otherwise — exact when a == b
     # (ties), where the form (hi − pos)·a + (pos − lo)·b can miss a by one ulp.

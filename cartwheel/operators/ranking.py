@@ -27,8 +27,9 @@ def champion(runs: DataFrame, metric: str = "f1") -> DataFrame:
     """K2: first run by (−metric, −pr_auc (default 0), name).  Raises on an empty table / missing metric."""
     if metric not in runs.columns:
         raise ValueError(f"metric {metric!r} is missing")
-    best = runs.orderBy(*champion_order(metric)).limit(1)
-    return best
+    if runs.isEmpty():
+        raise ValueError("no candidate runs")
+    return runs.orderBy(*champion_order(metric)).limit(1)
 
 
 def top_k(runs: DataFrame, k: int, metric: str = "f1") -> DataFrame:
@@ -44,13 +45,14 @@ def best_per_family(runs: DataFrame, metric: str = "f1", exclude_families: tuple
 
 
 def promotion_gate(runs: DataFrame, previous_f1: DataFrame, metric: str = "f1") -> DataFrame:
-    """K7: best current run vs. the previous champion's validation metric (one-row table ``previous_f1``
-    with column ``previous``); ``promote`` is true only when strictly better."""
+    """K7: best current run (by K2's order) vs. the previous champion's validation metric (one-row table
+    ``previous_f1`` with column ``previous``); ``promote`` is true only when strictly better."""
     # stack current runs and the previous value, then one aggregation — no join needed
-    both = runs.select("run_name", F.col(metric).alias("_m"), F.lit(False).alias("_prev")).unionByName(
+    rank = F.struct((-F.col(metric)).alias("m"), (-F.coalesce(F.col("pr_auc"), F.lit(0.0))).alias("p"), F.col("run_name"))
+    both = runs.select("run_name", F.col(metric).alias("_m"), rank.alias("_rank"), F.lit(False).alias("_prev")).unionByName(
         previous_f1.select(F.lit(None).cast("string").alias("run_name"), F.col("previous").alias("_m"),
-                           F.lit(True).alias("_prev")))
-    g = both.agg(F.max(F.when(~F.col("_prev"), F.struct(F.col("_m"), F.col("run_name")))).alias("_b"),
+                           F.lit(True).alias("_prev")), allowMissingColumns=True)
+    g = both.agg(F.min_by(F.struct("_m", "run_name"), F.when(~F.col("_prev"), F.col("_rank"))).alias("_b"),
                  F.max(F.when(F.col("_prev"), F.col("_m"))).alias("previous"))
     return g.select(F.col("_b.run_name").alias("run_name"), F.col("_b._m").alias("best"), "previous",
                     (F.col("_b._m") > F.col("previous")).alias("promote"))

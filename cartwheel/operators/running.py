@@ -17,16 +17,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.operators.joins import join_on
+
 _B = "_bucket"
-# Upper bound on quantile buckets: keeps the bucket-id CASE tree (≈ 2 nodes per cut point)
-# well inside generated-code limits; each bucket's window partition sorts with spill.
-MAX_BUCKETS = 1024
 
 
 def bucket_count(df: DataFrame, minimum: int = 16) -> int:
-    """Quantile buckets for a running sum: twice the shuffle width, between 16 and MAX_BUCKETS."""
+    """Quantile buckets for a running sum: twice the shuffle width, 16 at least."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(minimum, min(MAX_BUCKETS, 2 * width))
+    return max(minimum, 2 * width)
 
 
 def quantile_bucket(df: DataFrame, column: str, n_buckets: int, *, descending: bool = False,
@@ -45,16 +44,13 @@ def quantile_bucket(df: DataFrame, column: str, n_buckets: int, *, descending: b
 
 
 def count_at_or_below(x: Column, cuts: list[float]) -> Column:
-    """Number of sorted cut points ≤ x, as a binary-search CASE tree (depth log2 n, no lambda)."""
-
-    def rec(lo: int, hi: int) -> Column:
-        # invariant: cuts[lo-1] <= x (or lo == 0) and x < cuts[hi] (or hi == n)
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x >= F.lit(cuts[mid]), rec(mid + 1, hi)).otherwise(rec(lo, mid))
-
-    return rec(0, len(cuts))
+    """Number of sorted cut points ≤ x: a binary search over one array literal, in steps of falling powers
+    of two, so that expression size does not grow with the number of cut points."""
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    table = F.lit([*cuts])
+    # found so far + step is taken if that many cut points are ≤ x
+    return F.aggregate(F.lit(steps), F.lit(0), lambda found, step: F.when(
+        (found + step <= len(cuts)) & (F.get(table, found + step - 1) <= x), found + step).otherwise(found))
 
 
 def hex_prefix_bucket(hex_col: Column, chars: int = 2) -> Column:
@@ -82,13 +78,13 @@ def running_sums(
     local = base.select("*", *[F.sum(c).over(w_local).alias(f"_{c}_loc") for c in sums])
     totals = base.groupBy(*pcols, _B).agg(*[F.sum(c).alias(f"_{c}_tot") for c in sums])
     # Prefix sum over bucket totals: one row per (group, bucket), i.e. ≤ #buckets rows per group
-    # (1,024 quantile buckets or 65,536 hash buckets), so this window's partitions stay small even
+    # (twice the shuffle width, or 65,536 hash buckets), so this window's partitions stay small even
     # when there is no group column and Spark runs it as a single partition.
     w_off = Window.partitionBy(*pcols).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *pcols, _B, *[F.coalesce(F.sum(f"_{c}_tot").over(w_off), F.lit(0)).alias(f"_{c}_off") for c in sums]
     )
-    joined = local.join(offsets, [*pcols, _B], "inner")
+    joined = join_on(local, offsets, [*pcols, _B], "inner")  # a NULL group keeps its rows
     out = joined.select(
         *df.columns, *[(F.col(f"_{c}_loc") + F.col(f"_{c}_off")).alias(f"{c}{suffix}") for c in sums]
     )

@@ -25,6 +25,7 @@ def _valid(spark, sf):
 SPARK["contract_violations"] = lambda spark, sf: C.violations_long(_annotated(spark, sf), KEYS)
 SPARK["contract_rule_summary"] = lambda spark, sf: C.rule_summary(_annotated(spark, sf))
 SPARK["contract_valid_rows"] = _valid
+SPARK["contract_dataset_rules"] = lambda spark, sf: C.dataset_rules(_annotated(spark, sf))
 SPARK["request_violations"] = lambda spark, sf: C.request_violations(C.request_bodies(load_sessions(spark, sf)))
 SPARK["request_violations_coerce"] = lambda spark, sf: C.request_violations(
     C.request_bodies(load_sessions(spark, sf)), coerce=True)
@@ -34,7 +35,8 @@ SPARK["request_violations_coerce"] = lambda spark, sf: C.request_violations(
 _FAULTS = {"Administrative": (0, "'-1'"), "BounceRates": (1, "'1.1'"), "Month": (2, "'Jan'"),
            "VisitorType": (3, "'Robot'"), "Browser": (4, "'0'"), "ProductRelated": (5, "'1.5'"),
            "PageValues": (6, "'abc'"), "Weekend": (7, "'yes'"), "SpecialDay": (8, "'NaN'"),
-           "Region": (9, "CAST(NULL AS VARCHAR)")}
+           "Region": (9, "CAST(NULL AS VARCHAR)"), "OperatingSystems": (10, "'1e30'"), "TrafficType": (11, "'Infinity'"),
+           "Informational": (12, "'NaN'"), "ProductRelated_Duration": (13, "'Infinity'")}
 
 
 def _dirty_cte():
@@ -80,7 +82,7 @@ def _checks():
             if c in RATE_COLUMNS:
                 out.append((c, "range_0_1", f"{ok} AND NOT ({_num(c)} BETWEEN 0 AND 1)"))
             if c in INTEGER_COLUMNS:
-                out.append((c, "integer", f"{ok} AND {_num(c)} % 1 <> 0"))
+                out.append((c, "integer", f"{ok} AND ({_num(c)} % 1 <> 0 OR TRY_CAST({_num(c)} AS BIGINT) IS NULL)"))
             if c in CODE_COLUMNS:
                 out.append((c, "positive_code", f"{ok} AND {_num(c)} < 1"))
         else:
@@ -100,15 +102,22 @@ SQL["contract_violations"] = with_sessions(
     'SELECT user_id, session_date, "column", rule FROM viol', _dirty_cte(), _VIOL)
 SQL["contract_rule_summary"] = with_sessions(
     """SELECT rule, "column", count(*) AS rows,
-       coalesce(array_to_string(list_sort(list_distinct(list(raw_value) FILTER (WHERE rule = 'unknown_category'))), ','), '') AS "values"
+       count(DISTINCT raw_value) FILTER (WHERE rule = 'unknown_category') AS distinct_values
 FROM viol GROUP BY rule, "column\"""", _dirty_cte(), _VIOL)
 
 
+SQL["contract_dataset_rules"] = with_sessions(
+    f"""SELECT 'empty' AS rule, count(*) AS found, count(*) = 0 AS broken FROM dirty
+UNION ALL
+SELECT 'two_classes', count(DISTINCT label), count(DISTINCT label) <> 2
+FROM (SELECT CASE upper(trim({LABEL})) WHEN 'TRUE' THEN true WHEN 'FALSE' THEN false END AS label FROM dirty) t""", _dirty_cte())
+
+
 def _typed(c):
     if c in ("Weekend", LABEL):
         return f"(upper(trim({c})) = 'TRUE') AS {c}"
     if c in INTEGER_COLUMNS:
-        return f"CAST({_num(c)} AS BIGINT) AS {c}"
+        return f"TRY_CAST({_num(c)} AS BIGINT) AS {c}"
     if c in NUMERIC_INPUT_COLUMNS:
         return f"{_num(c)} AS {c}"
     return c

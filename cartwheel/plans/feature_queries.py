@@ -199,7 +199,7 @@ def _model_inputs(spark, sf):
 
 SPARK["model_inputs_without_page_values"] = _model_inputs
 SQL["model_inputs_without_page_values"] = with_sessions(
-    "SELECT user_id, session_date, " + ", ".join(FE.model_feature_columns(include_page_values=False))
+    "SELECT user_id, session_date, " + ", ".join(FE.columns_without("PageValues"))
     + " FROM sessions")
 
 _CAT_TEXT = ("Month", "OperatingSystems", "Browser", "Region", "TrafficType", "VisitorType", "Weekend")

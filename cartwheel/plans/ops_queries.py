@@ -11,7 +11,7 @@ from cartwheel.operators import ranking as K
 from cartwheel.operators import scoring as N
 from cartwheel.plans.eval_queries import SCORE_COLUMNS, SCORED_CTE, _curve_ctes, scored_sessions
 from cartwheel.plans.feature_queries import SPLIT_CTE
-from cartwheel.schema import KEY_COLUMNS
+from cartwheel.schema import EXPECTED_COLUMNS, KEY_COLUMNS, SESSION_SCHEMA
 from cartwheel.sources import runlog
 from cartwheel.sources.sessions import load_sessions, with_sessions
 from cartwheel.sources.tables import read_table
@@ -74,7 +74,7 @@ def _gate(spark, sf):
 
 SPARK["promotion_gate"] = _gate
 SQL["promotion_gate"] = rsql("""SELECT b.run_name, b.f1 AS best, p.previous, b.f1 > p.previous AS promote
-FROM (SELECT run_name, f1 FROM runs WHERE family <> 'score_c' ORDER BY f1 DESC, run_name DESC LIMIT 1) b,
+FROM (SELECT run_name, f1 FROM runs WHERE family <> 'score_c' ORDER BY f1 DESC, coalesce(pr_auc, 0) DESC, run_name LIMIT 1) b,
      (SELECT max(f1) AS previous FROM runs WHERE family = 'score_c') p""")
 
 
@@ -134,24 +134,32 @@ SQL["route_latency"] = f"""WITH {_LOG}
 SELECT route, status, count(*) AS requests, round(avg(duration_ms), 6) AS mean_ms,
        round(quantile_cont(duration_ms, 0.95), 6) AS p95_ms FROM alog GROUP BY route, status"""
 
+SPARK["route_latency_null_route"] = lambda spark, sf: MON.route_latency(
+    _log(spark, sf).withColumn("route", F.when(F.col("route") != "/health", F.col("route"))))
+SQL["route_latency_null_route"] = f"""WITH {_LOG}
+SELECT nullif(route, '/health') AS route, status, count(*) AS requests, round(avg(duration_ms), 6) AS mean_ms,
+       round(quantile_cont(duration_ms, 0.95), 6) AS p95_ms FROM alog GROUP BY nullif(route, '/health'), status"""
+
 SPARK["request_log_lines"] = lambda spark, sf: MON.log_lines(_log(spark, sf))
 SQL["request_log_lines"] = f"""WITH {_LOG}
 SELECT request_id, CAST(to_json({{'duration_ms': round(duration_ms, 3), 'method': method,
   'model_version': model_version, 'request_id': coalesce(request_id, 'unknown'), 'route': route,
   'status': status}}) AS VARCHAR) AS line FROM alog"""
 
-_FP_COLS = ("user_id", "session_date", "Month", "VisitorType", "TrafficType")
+_FP_COLS = (*KEY_COLUMNS, *EXPECTED_COLUMNS)
+_FP_DOUBLES = tuple(c for c in EXPECTED_COLUMNS if SESSION_SCHEMA[c].dataType.simpleString() == "double")
 
 
 def _digests(spark, sf):
     s = load_sessions(spark, sf)
-    fp = row_fingerprint(_FP_COLS)
+    fp = row_fingerprint(_FP_COLS, doubles=_FP_DOUBLES)
     return s.select(*KEY_COLUMNS, F.sha2(fp, 256).alias("sha256"), F.md5(fp).alias("md5"),
                     content_address(F.md5(fp)).alias("content_key"))
 
 
 SPARK["row_digests"] = _digests
-_FP_SQL = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in _FP_COLS)
+_FP_SQL = " || '|' || ".join(
+    f"CAST(CAST({c} AS DECIMAL(38, 12)) AS VARCHAR)" if c in _FP_DOUBLES else f"CAST({c} AS VARCHAR)" for c in _FP_COLS)
 SQL["row_digests"] = with_sessions(f"""
 SELECT user_id, session_date, sha256({_FP_SQL}) AS sha256, md5({_FP_SQL}) AS md5,
        'files/md5/' || substr(md5({_FP_SQL}), 1, 2) || '/' || substr(md5({_FP_SQL}), 3, 30) AS content_key

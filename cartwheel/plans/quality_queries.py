@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cartwheel.operators import quality as Q
-from cartwheel.schema import MONTH_ORDER
+from cartwheel.schema import EXPECTED_COLUMNS, MONTH_ORDER
 from cartwheel.sources.sessions import load_sessions, with_sessions
 
 # Parameters of the registered queries.
@@ -106,7 +106,7 @@ _register(
 
 _register(
     "duplicate_report",
-    lambda spark, sf: Q.duplicate_report(load_sessions(spark, sf)),
+    lambda spark, sf: Q.duplicate_report(load_sessions(spark, sf), Q.DUPLICATE_COLUMNS),
     with_sessions(f"""
 SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS extra_copies,
        CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS rows_in_groups,
@@ -114,6 +114,22 @@ SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS extra_copie
 FROM (SELECT count(*) AS n FROM sessions GROUP BY {_DUP7}) g"""),
 )
 
+_register(
+    "duplicate_report_full_row",
+    lambda spark, sf: Q.duplicate_report(load_sessions(spark, sf)),
+    with_sessions(f"""
+SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS extra_copies,
+       CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS rows_in_groups,
+       CAST(count(*) AS BIGINT) AS rows_deduplicated
+FROM (SELECT count(*) AS n FROM sessions GROUP BY {_ALL18}) g"""),
+)
+
+_register(
+    "deduplicated_rows",
+    lambda spark, sf: Q.drop_duplicate_rows(load_sessions(spark, sf).select(*EXPECTED_COLUMNS)),
+    with_sessions(f"SELECT DISTINCT {_ALL18} FROM sessions"),
+)
+
 _GROUPS = f"g AS (SELECT {_DUP7}, count(*) AS n, " + ", ".join(
     f"sum(CAST({m} AS DOUBLE)) AS sum_{m}" for m in Q.ACTIVITY_COLUMNS) + f" FROM sessions GROUP BY {_DUP7})"
 
@@ -139,13 +155,13 @@ for _name, _key, _l, _r in (
 ):
     _register(
         _name,
-        (lambda key, l, r: lambda spark, sf: Q.share_comparison(load_sessions(spark, sf), key, l, r))(_key, _l, _r),
+        (lambda key, l, r: lambda spark, sf: Q.share_comparison(load_sessions(spark, sf), key, l, r, Q.DUPLICATE_COLUMNS))(_key, _l, _r),
         _share_sql(_key, _W[_l], _W[_r], _l, _r, lower=(_key == "Revenue")),
     )
 
 _register(
     "duplicate_activity_means",
-    lambda spark, sf: Q.duplicate_activity_means(load_sessions(spark, sf)),
+    lambda spark, sf: Q.duplicate_activity_means(load_sessions(spark, sf), Q.DUPLICATE_COLUMNS),
     with_sessions(
         """
 SELECT d.metric, round(d.v, 6) AS mean_duplicates, round(r.v, 6) AS mean_rest

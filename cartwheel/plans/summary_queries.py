@@ -15,7 +15,7 @@ from cartwheel.plans import ops_queries as OQ
 from cartwheel.plans import quality_queries as QQ
 from cartwheel.plans.eval_queries import SCORED_CTE, _curve_ctes, scored_sessions
 from cartwheel.plans.feature_queries import SPLIT_CTE, split_sessions
-from cartwheel.schema import MONTH_ORDER, VISITOR_TYPES
+from cartwheel.schema import EXPECTED_COLUMNS, MONTH_ORDER, SESSION_SCHEMA, VISITOR_TYPES
 from cartwheel.sources.sessions import load_sessions, with_sessions
 
 SPARK = {}
@@ -43,6 +43,9 @@ def _eda(spark, sf):
                                           F.concat_ws(".", "column", "label").alias("key"),
                                           F.lit("mean").alias("stat"), F.col("mean").alias("value")),
     ]
+    parts.append(Q.column_types(s).select(
+        F.concat(F.lit("dtypes."), "type").alias("section"), F.col("column").alias("key"), F.lit("columns").alias("stat"),
+        F.lit(1.0).alias("value")))
     d = Q.describe_numeric(s)
     stats = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
     parts.append(d.select(F.lit("numeric_distributions").alias("section"), F.col("column").alias("key"),
@@ -98,7 +101,8 @@ UNION ALL SELECT 'conversion_by_' || CASE section {" ".join(f"WHEN '{k}' THEN '{
 UNION ALL SELECT 'relationship_by_revenue', "column" || '.' || label, 'mean', mean FROM ({sig_sel}) s
 UNION ALL SELECT 'numeric_distributions', "column", stat, value FROM (
   SELECT "column", CAST(count AS DOUBLE) AS count, mean, std, min, p25, p50, p75, max FROM ({desc_sel}) d0
-) d UNPIVOT (value FOR stat IN (count, mean, std, min, p25, p50, p75, max))"""
+) d UNPIVOT (value FOR stat IN (count, mean, std, min, p25, p50, p75, max))
+""" + "\n".join(f"UNION ALL SELECT 'dtypes.{SESSION_SCHEMA[c].dataType.simpleString()}', '{c}', 'columns', 1.0" for c in EXPECTED_COLUMNS)
     return with_sessions(body, *ctes)
 
 

@@ -36,23 +36,35 @@ def typed_requests(requests: DataFrame) -> DataFrame:
     return base.select("request_id", *cols)
 
 
+_ROW = "__row"
+
+
+def _verdicts(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows without a violation, rejected rows with reasons): every row gets its own verdict, whatever its
+    request_id is.  ``batch`` carries ``_ROW``, a number of its own per row."""
+    v = request_violations(batch, id_column=_ROW)
+    reasons = v.groupBy(_ROW).agg(  # one row's violations: as many as it has fields
+        F.sort_array(F.collect_list(F.concat_ws(":", "field", "rule"))).alias("reasons"))
+    rejected = batch.join(reasons, _ROW, "inner").select("request_id", "body", "reasons")
+    return batch.join(reasons, _ROW, "left_anti"), rejected
+
+
+def numbered(batch: DataFrame) -> DataFrame:
+    return batch.withColumn(_ROW, F.monotonically_increasing_id())
+
+
 def score_batch(batch: DataFrame, scorer: Scorer | None, threshold: float, version: str) -> tuple[DataFrame, DataFrame]:
     """(accepted scored rows, rejected rows with reasons) for one batch of requests."""
     if scorer is None:
         rejected = batch.select("request_id", "body", F.array(F.lit(UNAVAILABLE)).alias("reasons"))
         return batch.limit(0).select("request_id"), rejected
-    v = request_violations(batch)
-    # reasons per request: at most one entry per field, so the group is bounded
-    reasons = v.groupBy("request_id").agg(
-        F.sort_array(F.collect_list(F.concat_ws(":", "field", "rule"))).alias("reasons"))
-    rejected = batch.join(reasons, "request_id", "inner")
-    ok = batch.join(reasons, "request_id", "left_anti")
+    ok, rejected = _verdicts(batch if _ROW in batch.columns else numbered(batch))
     typed = typed_requests(ok)
     p = scorer(typed)
     accepted = typed.select(
         "request_id", (p >= F.lit(threshold)).alias("will_purchase"), p.alias("purchase_probability"),
         F.lit(threshold).alias("threshold"), F.lit(version).alias("model_version"))
-    return accepted, rejected.select("request_id", "body", "reasons")
+    return accepted, rejected
 
 
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
@@ -75,12 +87,16 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, accepted_dir: str
     stream = reader.json(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if scorer is not None and hasattr(scorer, "transform"):
-            accepted, rejected = score_batch_with_model(batch, scorer, feature_names, threshold, version)
-        else:
-            accepted, rejected = score_batch(batch, scorer, threshold, version)
-        _write(accepted, accepted_dir, batch_id)
-        _write(rejected, rejected_dir, batch_id)
+        batch = numbered(batch).persist()  # the same numbers for both sinks
+        try:
+            if scorer is not None and hasattr(scorer, "transform"):
+                accepted, rejected = score_batch_with_model(batch, scorer, feature_names, threshold, version)
+            else:
+                accepted, rejected = score_batch(batch, scorer, threshold, version)
+            _write(accepted, accepted_dir, batch_id)
+            _write(rejected, rejected_dir, batch_id)
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -97,11 +113,8 @@ def score_batch_with_model(batch: DataFrame, model, feature_names, threshold: fl
     """Model-based variant of ``score_batch`` (N2 with a saved PipelineModel)."""
     from pyspark.ml.functions import vector_to_array
 
-    v = request_violations(batch)
-    reasons = v.groupBy("request_id").agg(
-        F.sort_array(F.collect_list(F.concat_ws(":", "field", "rule"))).alias("reasons"))
-    rejected = batch.join(reasons, "request_id", "inner").select("request_id", "body", "reasons")
-    typed = typed_requests(batch.join(reasons, "request_id", "left_anti"))
+    ok, rejected = _verdicts(batch if _ROW in batch.columns else numbered(batch))
+    typed = typed_requests(ok)
     out = model.transform(typed.select("request_id", *feature_names))
     p = vector_to_array("probability")[1]
     accepted = out.select("request_id", (p >= F.lit(threshold)).alias("will_purchase"),

@@ -27,12 +27,12 @@ def test_artifact_round_trip_and_tamper(spark, tmpdir_path, tiny_model):
     m, man = artifacts.load_artifact(spark, path, ["a", "b"])
     assert man["threshold"] == 0.42 and man["model_version"] == "test-v1"
     assert m.transform(df).count() == 4
-    with pytest.raises(artifacts.ArtifactError, match="feature names"):
+    with pytest.raises(artifacts.ArtifactError, match="feature gate"):
         artifacts.load_artifact(spark, path, ["b", "a"])
     target = sorted(glob.glob(f"{path}/model/**/part-*", recursive=True))[0]
     with open(target, "ab") as fh:
         fh.write(b"tampered")
-    with pytest.raises(artifacts.ArtifactError, match="checksum"):
+    with pytest.raises(artifacts.ArtifactError, match="checksum gate"):
         artifacts.load_artifact(spark, path, ["a", "b"])
 
 
@@ -44,7 +44,7 @@ def test_schema_version_gate(spark, tmpdir_path, tiny_model):
     man.write.mode("overwrite").json(f"{path}/manifest2")
     os.rename(f"{path}/manifest", f"{path}/manifest_old")
     os.rename(f"{path}/manifest2", f"{path}/manifest")
-    with pytest.raises(artifacts.ArtifactError, match="schema version"):
+    with pytest.raises(artifacts.ArtifactError, match="schema gate"):
         artifacts.load_artifact(spark, path)
     assert N.health(artifacts.health_record(spark, path)).first()["status"] == "degraded"
 

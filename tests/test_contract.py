@@ -33,8 +33,8 @@ def test_valid_frame_is_typed(spark):
     assert dict(v.valid.dtypes)["Administrative"] == "bigint"
 
 
-@pytest.mark.parametrize("drop,extra,msg", [("Revenue", None, "missing columns"), ("Month", None, "missing columns"),
-                                            (None, "SessionId", "unexpected columns")])
+@pytest.mark.parametrize("drop,extra,msg", [("Revenue", None, "missing_columns"), ("Month", None, "missing_columns"),
+                                            (None, "SessionId", "unexpected_columns")])
 def test_missing_and_extra_columns(spark, drop, extra, msg):
     cols = [c for c in EXPECTED_COLUMNS if c != drop] + ([extra] if extra else [])
     rows = [dict(VALID_A, SessionId="x"), dict(VALID_B, SessionId="y")]
@@ -43,16 +43,16 @@ def test_missing_and_extra_columns(spark, drop, extra, msg):
 
 
 @pytest.mark.parametrize("column,value,msg", [
-    ("Administrative", "-1", "non-negative"),
-    ("BounceRates", "1.1", "between 0 and 1"),
-    ("SpecialDay", "-0.1", "between 0 and 1"),
-    ("Month", "Jan", "unknown categories"),
-    ("VisitorType", "Robot", "unknown categories"),
-    ("ProductRelated", "1.5", "integers"),
-    ("Browser", "0", "positive category codes"),
-    ("PageValues", "abc", "numeric"),
-    ("Weekend", "yes", "not boolean"),
-    ("Region", None, "null values"),
+    ("Administrative", "-1", "non_negative"),
+    ("BounceRates", "1.1", "range_0_1"),
+    ("SpecialDay", "-0.1", "range_0_1"),
+    ("Month", "Jan", "unknown_category broken in .* 1 distinct"),
+    ("VisitorType", "Robot", "unknown_category broken in .* 1 distinct"),
+    ("ProductRelated", "1.5", "integer broken in ProductRelated"),
+    ("Browser", "0", "positive_code"),
+    ("PageValues", "abc", "numeric broken"),
+    ("Weekend", "yes", "boolean"),
+    ("Region", None, "rule null"),
 ])
 def test_bad_values_raise_first_rule(spark, column, value, msg):
     with pytest.raises(C.ContractError, match=msg):
@@ -60,12 +60,12 @@ def test_bad_values_raise_first_rule(spark, column, value, msg):
 
 
 def test_single_class_raises(spark):
-    with pytest.raises(C.ContractError, match="two target classes"):
+    with pytest.raises(C.ContractError, match="two_classes"):
         C.validate(frame(spark, [VALID_A, dict(VALID_B, Revenue="FALSE")]), strict=True)
 
 
 def test_empty_raises(spark):
-    with pytest.raises(C.ContractError, match="at least one row"):
+    with pytest.raises(C.ContractError, match="rule empty"):
         C.validate(frame(spark, [VALID_A]).limit(0), strict=True)
 
 

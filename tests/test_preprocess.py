@@ -3,7 +3,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartwheel.operators import preprocess as P
-from cartwheel.operators.train import base_columns
+from cartwheel.operators.features import FEATURE_SETS
 from cartwheel.plans.feature_queries import split_sessions
 from tests.conftest import SF_SMALL
 
@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 def test_unknown_category_is_zero_vector_with_same_width(spark):
     s = split_sessions(spark, SF_SMALL)
     train = s.filter(F.col("split") == "train")
-    num, cat = base_columns(True)
+    num, cat = FEATURE_SETS["base_with_page_values"].values()
     model = Pipeline(stages=P.ml_preprocessor(num, cat)).fit(train)
     known = model.transform(train.limit(1)).select(vector_to_array("features").alias("v")).first()["v"]
     odd = train.limit(1).withColumn("OperatingSystems", F.lit(99)).withColumn("VisitorType", F.lit("Unknown_Visitor"))
@@ -22,7 +22,7 @@ def test_unknown_category_is_zero_vector_with_same_width(spark):
 
 
 def test_without_page_values_drops_the_column():
-    num, cat = base_columns(False)
+    num, cat = FEATURE_SETS["base_without_page_values"].values()
     assert "PageValues" not in num and len(num) == 9 and len(cat) == 7
 
 

@@ -27,7 +27,7 @@ def test_feature_sets_shapes():
     assert shapes == {"base_with_page_values": (10, 7), "base_without_page_values": (9, 7),
                       "engineered_full": (20, 10), "engineered_reduced": (20, 7),
                       "engineered_without_page_values": (18, 10)}
-    assert "PageValues" not in FE.model_feature_columns(include_page_values=False)
+    assert "PageValues" not in FE.columns_without("PageValues")
 
 
 def test_safe_ratios_and_unknown_codes(spark):
@@ -54,13 +54,9 @@ def test_hash_mode_split_is_map_only_and_close(spark):
     assert h.select(*KEY_COLUMNS, "split").exceptAll(again).count() == 0
 
 
-def test_join_small_checks_size_and_falls_back(spark):
-    from cartwheel.operators.joins import join_small
+def test_join_on_keeps_null_keys(spark):
+    from cartwheel.operators.joins import join_on
 
-    s = load_sessions(spark, SF_MID).select("user_id", "TrafficType")
-    dim = spark.createDataFrame([(1, "a"), (2, "b")], "TrafficType long, tag string")
-    small = join_small(s, dim, "TrafficType", "left")
-    big = join_small(s, dim, "TrafficType", "left", max_rows=1)  # above the limit: no broadcast hint
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
-    assert small.exceptAll(big).count() == 0 and big.count() == s.count()
+    a = spark.createDataFrame([(1, "x"), (None, "y")], "k int, a string")
+    b = spark.createDataFrame([(None, 9), (1, 7)], "k int, b int")
+    assert sorted((r.a, r.b) for r in join_on(a, b, "k", "inner").collect()) == [("x", 7), ("y", 9)]
