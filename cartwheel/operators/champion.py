@@ -34,7 +34,20 @@ class TrainingOutcome:
 
 def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_trees: int = 20,
                    forest_depth: int = 8, model_version: str = "local", experiment: str = "champion",
-                   previous_artifact: str | None = None, log=lambda msg: None) -> TrainingOutcome:
+                   previous_artifact: str | None = None, git_revision: str | None = None,
+                   log=lambda msg: None) -> TrainingOutcome:
+    """``_train`` with the run log told about a failure: a FAILED record names the error, which is raised again."""
+    try:
+        return _train(sessions, out_dir, seed=seed, forest_trees=forest_trees, forest_depth=forest_depth, model_version=model_version,
+                      experiment=experiment, previous_artifact=previous_artifact, git_revision=git_revision, log=log)
+    except Exception as error:
+        failed = sessions.sparkSession.createDataFrame([("champion", type(error).__name__)], "run_name string, error string")
+        runlog.append_runs(runlog.run_records(failed, experiment, metric_columns=(), param_columns=("error",), status="FAILED"), f"{out_dir}/runs")
+        raise
+
+
+def _train(sessions: DataFrame, out_dir: str, *, seed: int, forest_trees: int, forest_depth: int, model_version: str, experiment: str,
+           previous_artifact: str | None, git_revision: str | None, log) -> TrainingOutcome:
     """Train, select and publish a champion.
 
     With ``previous_artifact`` the new champion must beat the previous champion's validation F1
@@ -77,16 +90,19 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
             return TrainingOutcome(name, threshold, runs, {}, prev, promoted=False)
     cand = next(c for c in cands if c.name == name)
     test_scores = T.score_candidate(cand, res.models[name], test)
-    test_rec = H.metric_record(test_scores, score="score", label="label", threshold=threshold).first().asDict()
+    # the test split is scored once: everything below reads this one-row record
+    record = H.metric_record(test_scores, score="score", label="label", threshold=threshold)
+    row = record.first()
+    test_rec = row.asDict()
+    record = split.sparkSession.createDataFrame([row], record.schema)
     log("test")
     # reports and run log
     val_long = reports.record_to_long(runs.filter(F.col("run_name") == name).drop("run_name", "family", "model",
                                                                                     "feature_set"), "validation")
-    test_long = reports.record_to_long(
-        H.metric_record(test_scores, score="score", label="label", threshold=threshold), "test")
+    test_long = reports.record_to_long(record, "test")
     reports.write_report(val_long.unionByName(test_long), f"{out_dir}/metrics")
     # the champion run: test metrics of the selected candidate (the seventh run)
-    champ = H.metric_record(test_scores, score="score", label="label", threshold=threshold).select(
+    champ = record.select(
         F.lit("champion").alias("run_name"), F.lit("champion").alias("family"), F.lit(name).alias("model"),
         F.lit(cand.feature_set).alias("feature_set"), *[F.col(c) for c in ("f1", "pr_auc", "roc_auc", "precision",
                                                                               "recall", "threshold", "brier_score")])
@@ -102,6 +118,8 @@ def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_
         manifest = artifacts.write_artifact(model, f"{out_dir}/artifact", feature_names=features,
                                             threshold=threshold, model_version=model_version, champion=name,
                                             metrics={k: best[k] for k in ("f1", "pr_auc", "roc_auc")},
+                                            test_metrics={k: v for k, v in test_rec.items() if isinstance(v, (int, float))},
+                                            include_page_values="without" not in name, git_revision=git_revision,
                                             dataset=dataset)
     log("artifact")
     split.unpersist()

@@ -21,8 +21,8 @@ def run_records(runs: DataFrame, experiment: str, *, metric_columns: Sequence[st
         raise ValueError(f"status must be one of {RUN_STATUSES}")
     params = F.map_from_arrays(F.array(*[F.lit(p) for p in param_columns]),
                                F.array(*[F.col(p).cast("string") for p in param_columns]))
-    metrics = F.map_from_arrays(F.array(*[F.lit(m) for m in metric_columns]),
-                                F.array(*[F.col(m).cast("double") for m in metric_columns]))
+    metrics = F.map_from_arrays(F.array(*[F.lit(m) for m in metric_columns]).cast("array<string>"),
+                                F.array(*[F.col(m).cast("double") for m in metric_columns]).cast("array<double>"))
     return runs.select(F.lit(experiment).alias("experiment"), "run_name", F.lit(status).alias("status"),
                        params.alias("params"), metrics.alias("metrics"))
 

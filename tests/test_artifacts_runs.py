@@ -29,7 +29,7 @@ def test_artifact_round_trip_and_tamper(spark, tmpdir_path, tiny_model):
     assert m.transform(df).count() == 4
     with pytest.raises(artifacts.ArtifactError, match="feature gate"):
         artifacts.load_artifact(spark, path, ["b", "a"])
-    target = sorted(glob.glob(f"{path}/model/**/part-*", recursive=True))[0]
+    target = sorted(glob.glob(f"{path}/model-*/**/part-*", recursive=True))[0]
     with open(target, "ab") as fh:
         fh.write(b"tampered")
     with pytest.raises(artifacts.ArtifactError, match="checksum gate"):

@@ -98,3 +98,14 @@ def test_stream_verdicts_belong_to_rows(spark):
     accepted, rejected = S.score_batch(batch, S.closed_form_scorer, 0.5, "v")
     assert sorted(str(r.request_id) for r in accepted.collect()) == ["None", "r1"]
     assert sorted((str(r.request_id), r.body) for r in rejected.collect()) == [("None", "bad"), ("r1", "bad")]
+
+
+def test_failed_training_is_logged(spark, tmp_path):
+    from cartwheel.operators.champion import train_champion
+    from cartwheel.sources import runlog
+
+    sessions = load_sessions(spark, "/root/testdata/sf0.001").withColumn("Revenue", F.lit(True))
+    with pytest.raises(C.ContractError):
+        train_champion(sessions, str(tmp_path))
+    runs = runlog.read_runs(spark, f"{tmp_path}/runs").collect()
+    assert [(r.status, r.params["error"]) for r in runs] == [("FAILED", "ContractError")]
