@@ -39,12 +39,23 @@ def mapped(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(f, schema)
 
 
+#: While a table is written: rows may hold large binaries, so batches are bounded by bytes rather than rows.
+_SMALL = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.parquet.columnarReaderBatchSize": "256"}
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df``, written as Parquet in the cluster's shared folder and read again: lineage ends here, and a lost
     executor costs at most a read.  Shuffle files of the plan just written are released."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cartwheel-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = {k: spark.conf.get(k) for k in _SMALL}
+    try:
+        for k, v in _SMALL.items():
+            spark.conf.set(k, v)
+        df.write.option("parquet.block.size", 32 << 20).parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
     schema = df.schema
     del df
     gc.collect()

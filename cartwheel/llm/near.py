@@ -34,7 +34,9 @@ BANDS, ROWS = 16, 4
 IDF_SPAN = 0.1
 #: Frequencies up to EXACT have a code each; beyond, a code covers an eighth of an octave.
 EXACT = 128
-_WORDS_KEPT = 600_000
+_WORDS_KEPT = 300_000
+#: Bytes of text whose shingles travel together.
+SLICE = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ROW = ("pid int, slice long, kind int, bucket int, a binary, b binary, c binary, doc_ids array<long>, keys binary, sizes array<int>")
 
@@ -91,7 +93,7 @@ def _frequencies(docs: DataFrame, bits: int) -> DataFrame:
         cut, number = Shingler(), TaskContext.get().partitionId() << 32
         schema = pa.schema([("pid", pa.int32()), ("slice", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()),
                             ("b", pa.binary()), ("c", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("keys", pa.binary()), ("sizes", pa.list_(pa.int32()))])
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             keys, sets, counts = zip(*[cut((t or "").encode("utf-8", "replace")) for t in batch.column("text").to_pylist()], strict=True)
             distinct, inverse, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
             edges = np.searchsorted(distinct >> shift, np.arange(buckets + 1, dtype=np.uint64)).tolist()

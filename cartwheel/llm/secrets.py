@@ -145,5 +145,36 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_listed("__base"), 256).alias("base_sha256"), _listed("__spans").alias("spans"))
 
 
+def _oracle() -> str:
+    """The same in DuckDB: matches and the texts between them give offsets; entropy of every window from its characters."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    kinds = [(rank, kind, *BASE[kind]) for rank, kind in enumerate(BASE)] + [(len(BASE), "run", CANDIDATE, 0, WINDOW)]
+    hits = " UNION ALL ".join(
+        f"SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least, regexp_extract_all(t, {quoted(rx)}, 0) AS m, "
+        f"regexp_extract_all(t, {quoted(rx)}, {group}) AS g, string_split_regex(t, {quoted(rx)}) AS p FROM d"
+        for rank, kind, rx, group, least in kinds)
+    limit = "CASE WHEN regexp_matches(hit, " + quoted(ALLOWED) + ") THEN NULL " + " ".join(
+        f"WHEN regexp_matches(hit, {quoted(rx)}) THEN {'NULL' if bits is None else bits}" for rx, bits in LIMITS) + " END"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+h AS ({hits}),
+e AS (SELECT doc_id, rank, kind, least, m[i] AS hit, g[i] AS part, length(p[i]) AS gap, i
+      FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM h WHERE len(m) > 0) x),
+s AS (SELECT *, gap + coalesce(sum(gap + length(hit)) OVER (PARTITION BY doc_id, rank ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM e),
+base AS (SELECT doc_id, rank, kind, CAST(start AS BIGINT) AS start, CAST(start + length(hit) AS BIGINT) AS stop FROM s WHERE kind <> 'run' AND length(part) >= least),
+w AS (SELECT doc_id, start, hit, {limit} AS bits, unnest(range(0, length(hit) - {WINDOW - 1})) AS k FROM s WHERE kind = 'run'),
+hot AS (SELECT doc_id, {len(BASE)} AS rank, 'entropy' AS kind, CAST(start + min(k) AS BIGINT) AS start, CAST(start + max(k) + {WINDOW} AS BIGINT) AS stop
+        FROM w WHERE list_aggregate(string_split(substr(hit, k + 1, {WINDOW}), ''), 'entropy') >= bits GROUP BY doc_id, w.start),
+b AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+             count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS listed
+      FROM base GROUP BY doc_id),
+a AS (SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS listed
+      FROM (SELECT * FROM base UNION ALL SELECT * FROM hot) u GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b.listed, '')) AS base_sha256, coalesce(a.listed, '') AS spans
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)
+"""
+
+
 QUERIES = {"op9_secrets": op9_secrets}
-ORACLES = {}
+ORACLES = {"op9_secrets": _oracle()}
