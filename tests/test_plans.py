@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from cartwheel.plans import registry as E
 from cartwheel.sources.sessions import load_sessions
 from tests.conftest import SF_SMALL
 
