@@ -117,6 +117,11 @@ def test_op7(spark):
     assert {"resolved", "no_prior", "validator_mismatch", "unverified"} >= {r.outcome for r in out.collect()}
 
 
+def test_op9_twin(spark):
+    names, want = duck(secrets.ORACLES["op9_secrets"], TINY)
+    assert sorted(map(tuple, secrets.op9_secrets(spark, TINY).select(*names).collect())) == sorted(want)
+
+
 def test_revisits_by_hand(spark):
     full, again = "response", "revisit"
     rows = [
