@@ -6,6 +6,7 @@ import gc
 import os
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.session import ensure_checkpoint_dir
 
-__all__ = ["discard", "documents", "mapped", "materialize", "partitions", "range_bounds", "ship", "slices", "table"]
+__all__ = ["discard", "documents", "mapped", "materialize", "partitions", "range_bounds", "release", "ship", "slices", "table"]
 _shipped: set[str] = set()
 
 
@@ -63,6 +64,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Wait until the driver has let go of finished plans, so that Spark's cleaner deletes their shuffle files: used
+    after steps whose shuffle is as large as the input."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.4)  # listeners hold a finished plan until its last event is handled
+        spark.sparkContext._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete materialised tables that nothing will read again."""
     for df in tables:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import discard, documents, mapped, materialize, partitions, slices
+from cartwheel.llm.common import discard, documents, mapped, materialize, partitions, release, slices
 from cartwheel.llm.components import components
 
 WORDS = 5
@@ -322,9 +322,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     bits = max(4, (partitions(docs.sparkSession) - 1).bit_length())
     codes = _frequencies(docs, min(bits, 16))
+    release(docs.sparkSession)
     n_docs = codes.where("kind = 1").agg(F.sum(F.size("doc_ids")).alias("n")).first().n or 0
     rows = _vectors(codes, n_docs, 1 << min(bits, 16))
     discard(codes)
+    release(docs.sparkSession)
     ids = rows.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
     vector = F.struct("hashes", "codes", "times", "alone")
     texts = rows.where("hashes is not null").groupBy("key").agg(F.any_value(vector).alias("v"), F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
