@@ -16,7 +16,6 @@ from cartwheel.llm import secrets, warc
 from tests.llm.conftest import AWKWARD, TINY
 
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
-NOT_ASCII = re.compile(r"(?i)[ſK]")
 
 
 def base(t):
