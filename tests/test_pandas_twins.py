@@ -48,10 +48,10 @@ def test_value_counts_duplicates_and_rates_match_pandas(sessions):
     assert all(got[k] == pytest.approx(v, abs=1e-6) for k, v in vc.items())
     summ = Q.dataset_summary(s).first()
     assert summ["duplicate_rows"] == int(pdf.duplicated().sum())
-    proj = list(Q.DUPLICATE_COLUMNS)
-    rep = Q.duplicate_report(s).first()
-    assert rep["extra_copies"] == int(pdf[proj].duplicated().sum())
-    assert rep["rows_in_groups"] == int(pdf[proj].duplicated(keep=False).sum())
+    for rep, proj in ((Q.duplicate_report(s).first(), list(Q.EXPECTED_COLUMNS)),
+                      (Q.duplicate_report(s, Q.DUPLICATE_COLUMNS).first(), list(Q.DUPLICATE_COLUMNS))):
+        assert rep["extra_copies"] == int(pdf[proj].duplicated().sum())
+        assert rep["rows_in_groups"] == int(pdf[proj].duplicated(keep=False).sum())
     conv = {(r["section"], r["key"]): r["conversion_rate"] for r in Q.conversion_by_context(s).collect()}
     for k, v in pdf.groupby("Month")["Revenue"].mean().items():
         assert conv[("Month", k)] == pytest.approx(v, abs=1e-6)
