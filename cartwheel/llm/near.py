@@ -285,7 +285,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float = SIMILARITY)
 
 def links(texts: DataFrame) -> DataFrame:
     """a, b: verified links that connect every class of near-duplicate ``texts`` (output of ``_signatures``)."""
-    members = texts.select("key", "weight", "shared", F.posexplode("bands").alias("band", "hash"))
+    members = texts.select("key", "weight", "shared", "bands", F.posexplode("bands").alias("band", "hash"))
     lead = F.struct((F.col("shared") / F.col("weight")).alias("common"), "weight", "key", "shared")
     groups = members.groupBy("band", "hash").agg(F.count("*").alias("size"), F.max(lead).alias("lead"), F.min("weight").alias("least")).where("size > 1")
     near = materialize(members.join(groups, ["band", "hash"]), "near-members")
@@ -302,12 +302,14 @@ def links(texts: DataFrame) -> DataFrame:
     known = known.withColumn("lead_key", F.col("lead.key")).join(to_lead, ["lead_key", "key"], "left")
     known = known.withColumn("far", F.when(F.col("key") == F.col("lead_key"), 0.0).otherwise(1 - F.col("similarity")))
     split = known.groupBy("band", "hash").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("band", "hash")
-    left = materialize(known.join(split, ["band", "hash"]).select("band", "hash", "key", "weight", "shared", "root", "far",
+    left = materialize(known.join(split, ["band", "hash"]).select("band", "hash", "bands", "key", "weight", "shared", "root", "far",
                                                                   (F.col("key") == F.col("lead_key")).alias("leads")), "near-left")
     x, y = left.alias("x"), left.alias("y")
+    # a pair that meets in several bands is taken in the first
+    first_band = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), F.lit(True)) == F.col("x.band") + 1
     apart = F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= 1 - SIMILARITY + 1e-6, F.lit(True))
     rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.hash") == F.col("y.hash")) & (F.col("x.key") < F.col("y.key"))
-                  & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y") & apart & ~F.col("x.leads") & ~F.col("y.leads"))
+                  & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y") & first_band & apart & ~F.col("x.leads") & ~F.col("y.leads"))
     second = _verified(rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")), texts)
     return materialize(good.unionByName(second.where(F.col("similarity") >= slack).select("a", "b")), "near-all-links")
 
