@@ -6,8 +6,9 @@ uses continuation counts there.  The model is a sorted array of n-gram hashes pe
 log-probability per language; what an n-gram's language has not seen is filled in by interpolation, so most
 characters need one binary search for all languages together.
 
-A text gets the language of lowest cross-entropy per character.  Rejection is calibrated on the training
-rows: per language, mean and spread of the cross-entropy of documents give a limit that widens for short texts.
+A text gets the language of lowest cross-entropy per character.  Rejection is calibrated on held-back rows:
+each half of the training rows is scored by a model of the other half, and a high quantile of what its correctly
+labelled documents need over their language's mean, by language and length, is the limit.
 """
 
 from __future__ import annotations
@@ -30,10 +31,12 @@ MAX_LANGUAGES = 100
 CHARACTERS = 5000
 #: Distinct words whose scores a task keeps, and counts before they are cut into n-grams.
 WORDS_KEPT = 400_000
-#: Rejection: deviations over the mean, the length at which a text's own noise equals the documents' spread,
-#: the training rows that a limit needs, and the least spread (nats per character): a passage in another known
-#: language must not make a text unknown, while unknown scripts and random letters lie several nats higher.
-DEVIATIONS, STEADY, LEAST_ROWS, LEAST_SPREAD = 8.0, 200.0, 30, 0.2
+#: Rejection: the quantile of held-back excesses that is the limit, the rows that all languages and lengths together
+#: count as beside a language's own rows of one length, and the length at which a text's own noise equals the documents' spread.
+QUANTILE, PRIOR_ROWS, STEADY = 0.999, 1000, 200.0
+LEAST_ROWS = 30
+#: Excesses are counted in steps of 1 / CELLS nats; lengths by their power of two.
+CELLS, LENGTHS = 100, 40
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLANKS = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 
@@ -76,28 +79,35 @@ def _grams_of(counts: Counter) -> Iterator[tuple[str, int]]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: dict[str, Counter] = defaultdict(Counter)
+    seen: dict[tuple[str, int], Counter] = defaultdict(Counter)
 
     def flush():
-        rows = [(lang, g, n) for lang, c in seen.items() if c for g, n in _grams_of(c)]
+        rows = [(lang, half, g, n) for (lang, half), c in seen.items() if c for g, n in _grams_of(c)]
         seen.clear()
         for i in range(0, len(rows), 50_000):
-            lang, gram, n = zip(*rows[i:i + 50_000], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(gram), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+            lang, half, gram, n = zip(*rows[i:i + 50_000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(half, pa.int32()), pa.array(gram), pa.array(n, pa.int64())],
+                                             ["lang", "half", "gram", "n"])
 
     for b in slices(batches):
-        for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
-            seen[lang].update(words_of(text))
+        for text, lang, half in zip(*(b.column(c).to_pylist() for c in ("text", "lang", "half")), strict=True):
+            seen[lang, half].update(words_of(text))
         if sum(map(len, seen.values())) > WORDS_KEPT:
             yield from flush()
     yield from flush()
 
 
+def half_of(doc_id: Column) -> Column:
+    """0 or 1, the half of the training rows that a document is in."""
+    return (F.floor(F.crc32(doc_id.cast("string")) / 4) % 2).cast("int")
+
+
 def gram_counts(train: DataFrame) -> DataFrame:
-    """lang, gram, n over all rows with a text and a label."""
-    rows = train.select("text", "lang").where("text is not null and lang is not null")
-    return (mapped(rows, _count, "lang string, gram string, n long")
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    """lang, gram, n and n0, n1 (of each half) over all rows (doc_id, text, lang) with a text and a label."""
+    rows = train.select("text", "lang", half_of(F.col("doc_id")).alias("half")).where("text is not null and lang is not null")
+    part = lambda h: F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0))
+    return (mapped(rows, _count, "lang string, half int, gram string, n long")
+            .groupBy("lang", "gram").agg(F.sum("n").alias("n"), part(0).alias("n0"), part(1).alias("n1")))
 
 
 class Model:
@@ -185,8 +195,9 @@ class Model:
         return np.add.reduceat(out, starts, axis=0), np.diff(np.append(starts, len(own)))
 
 
-def fit(train: DataFrame) -> Model | None:
-    """The model of all labelled rows of ``train`` (text, lang); None if they hold no letter.
+def fit(train: DataFrame) -> tuple[Model | None, Model | None, Model | None]:
+    """The model of all labelled rows of ``train`` (doc_id, text, lang), the one without half 0 and the one without
+    half 1; None if their rows hold no letter.
 
     Labels beyond the ``MAX_LANGUAGES`` most frequent and n-grams rarer than a language's ``MAX_GRAMS`` most
     frequent ones are left out of the model: that bounds what driver and tasks hold.
@@ -207,21 +218,24 @@ def fit(train: DataFrame) -> Model | None:
                 break
             least[lang] = 2 ** lv
     if not least:
-        return None
+        return None, None, None
     keep = F.lit(False)
     for lang, n in least.items():
         keep = keep | ((F.col("lang") == lang) & (F.col("n") >= n))
     got = counts.where(keep).toArrow()
-    out = {}
+    out: tuple[dict, dict, dict] = ({}, {}, {})
     lang_of = np.array(got.column("lang").to_pylist(), dtype=object)
-    n_of = got.column("n").to_numpy()
     texts = got.column("gram").to_pylist()
     for lang in least:
         at = np.flatnonzero(lang_of == lang)
         at = at[sorted(range(len(at)), key=lambda i: texts[at[i]])]  # the same order in every run
         cps = np.frombuffer("".join(texts[i] for i in at).encode("utf-32-le"), dtype=np.uint32).reshape(-1, ORDER)
-        out[lang] = (cps, n_of[at])
-    return Model(out)
+        for counts_of, column in zip(out, ("n", "n1", "n0"), strict=True):
+            n = got.column(column).to_numpy()[at]
+            if n.any():
+                counts_of[lang] = (cps[n > 0], n[n > 0])
+    whole, *parts = (Model(x) if x else None for x in out)
+    return whole, *parts
 
 
 def predict(docs: DataFrame, model: Model | None, keep_text: bool = False, prefix: str = "") -> DataFrame:
@@ -288,22 +302,64 @@ def predict(docs: DataFrame, model: Model | None, keep_text: bool = False, prefi
     return mapped(docs, run, ddl)
 
 
-def limits(scored: DataFrame, train: Column) -> DataFrame:
-    """__lang, __mean, __spread: entropies of the ``train`` rows of at least STEADY characters, by predicted language."""
-    long = scored.where(train & (F.col("n_letters") >= STEADY))
-    return long.groupBy(F.col("lang_pred").alias("__lang")).agg(F.avg("entropy").alias("__mean"), F.stddev_pop("entropy").alias("__spread"), F.count("*").alias("__n")).where(F.col("__n") >= LEAST_ROWS).drop("__n")
+def held_back(train: DataFrame, without: tuple[Model | None, Model | None]) -> DataFrame:
+    """lang_pred, entropy and n_letters of the labelled rows of ``train`` (doc_id, text, lang) that the model without
+    their half (``without[half]``) gives their label."""
+    rows = train.select(F.col("lang").alias("label"), half_of(F.col("doc_id")).alias("half"), "text").where("text is not null and lang is not null")
+    scored = [predict(rows.where(F.col("half") == h).drop("half"), m) for h, m in enumerate(without)]
+    good = scored[0].unionByName(scored[1]).where("label = lang_pred and n_letters > 0")
+    return good.select("lang_pred", "entropy", "n_letters")
+
+
+def _quantile(own: np.ndarray, every: np.ndarray) -> int:
+    """Index of the cell that holds the QUANTILE of the counts ``own`` and of ``every``, scaled to PRIOR_ROWS rows."""
+    share = np.cumsum(own + every * (PRIOR_ROWS / every.sum()))
+    return int(np.searchsorted(share, QUANTILE * share[-1] * (1 - 1e-12)))
+
+
+def limits(back: DataFrame) -> DataFrame:
+    """__lang, __length (its power of two), __mean, __reach from ``held_back`` rows.
+
+    The excess of a row is (entropy - mean) / sqrt(1 + STEADY / characters); the mean is its language's, with one row
+    at the mean of all languages added.  The reach is a quantile of the excesses of the language's rows of this
+    length, beside which all rows count as PRIOR_ROWS: the more own rows, the less these matter.
+    """
+    spark, back = back.sparkSession, materialize(back, "held-back")
+    sums = back.groupBy("lang_pred").agg(F.sum("entropy").alias("s"), F.count("*").alias("n")).collect()  # a row per language
+    schema = "__lang string, __length long, __mean double, __reach double"
+    if not sums:
+        return spark.createDataFrame([], schema)
+    over_all = sum(r.s for r in sums) / sum(r.n for r in sums)
+    means = {r.lang_pred: round((r.s + over_all) / (r.n + 1), 6) for r in sums}
+    excess = (F.col("entropy") - F.col("mean")) / F.sqrt(1 + STEADY / F.col("n_letters"))
+    cell = F.ceil(F.greatest(F.least(excess, F.lit(20.0)), F.lit(-20.0)) * CELLS) + 20 * CELLS
+    of = spark.createDataFrame(list(means.items()), "lang_pred string, mean double")
+    counted = back.join(of, "lang_pred").groupBy("lang_pred", length_of(F.col("n_letters")).alias("length"), cell.alias("cell")).agg(F.count("*").alias("n"))
+    own: dict = defaultdict(lambda: np.zeros(40 * CELLS + 1))
+    every = np.zeros(40 * CELLS + 1)
+    for r in counted.collect():  # languages x lengths x cells at most
+        own[r.lang_pred, r.length][r.cell] += r.n
+        every[r.cell] += r.n
+    none = np.zeros_like(every)
+    reach = lambda lang, k: (_quantile(own.get((lang, k), none), every) - 20 * CELLS) / CELLS
+    enough = [r.lang_pred for r in sums if r.n >= LEAST_ROWS]
+    return spark.createDataFrame([(x, k, means[x], reach(x, k)) for x in enough for k in range(LENGTHS)], schema)
+
+
+def length_of(characters: Column) -> Column:
+    return F.least(F.floor(F.log2(characters)), F.lit(LENGTHS - 1)).cast("long")
 
 
 def with_rejection(scored: DataFrame, found: DataFrame, prefix: str = "") -> DataFrame:
     """``scored`` plus rejected: no letter, or an entropy beyond the limit of the predicted language.
 
-    The limit is mean + DEVIATIONS · spread · sqrt(1 + STEADY / characters); a language without ``limits`` rejects
+    The limit is mean + reach · sqrt(1 + STEADY / characters); a language without ``limits`` rejects
     nothing for its entropy.
     """
-    joined = scored.join(found, F.col(f"{prefix}lang_pred") == F.col("__lang"), "left")  # a row per language: AQE broadcasts by measured size
     n, entropy = F.col(f"{prefix}n_letters"), F.col(f"{prefix}entropy")
-    limit = F.col("__mean") + DEVIATIONS * F.greatest(F.col("__spread"), F.lit(LEAST_SPREAD)) * F.sqrt(1 + STEADY / n)
-    return joined.withColumn(f"{prefix}rejected", F.when(n == 0, True).otherwise(F.coalesce(entropy > limit, F.lit(False)))).drop("__lang", "__mean", "__spread")
+    joined = scored.join(found, (F.col(f"{prefix}lang_pred") == F.col("__lang")) & (length_of(n) == F.col("__length")), "left")  # few rows: AQE broadcasts by measured size
+    limit = F.col("__mean") + F.col("__reach") * F.sqrt(1 + STEADY / n)
+    return joined.withColumn(f"{prefix}rejected", F.when(n == 0, True).otherwise(F.coalesce(entropy > limit, F.lit(False)))).drop(*found.columns)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -316,21 +372,21 @@ def identify(docs: DataFrame) -> DataFrame:
 
     Repeated rows are counted and scored as often as they occur; an empty table gives an empty one.
     """
-    return _identified(docs)[0]
+    model, found = _calibrated(docs)
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return with_rejection(predict(rows, model), found)
 
 
-def _identified(docs: DataFrame) -> tuple[DataFrame, Model | None, DataFrame]:
-    model = fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("lang").alias("label"), "text")
-    scored = materialize(predict(rows, model), "languages")
-    found = limits(scored, ~F.col("held_out") & (F.col("label") == F.col("lang_pred")))
-    return with_rejection(scored.drop("label"), found), model, found
+def _calibrated(docs: DataFrame) -> tuple[Model | None, DataFrame]:
+    train = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    model, *without = fit(train)
+    return model, limits(held_back(train, tuple(without)))
 
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang and any other columns) that are not rejected, each judged by its text.
     Column names that begin with two underscores are this operator's own."""
-    _, model, found = _identified(docs.select("doc_id", "text", "lang"))
+    model, found = _calibrated(docs.select("doc_id", "text", "lang"))
     judged = with_rejection(predict(docs, model, keep_text=True, prefix="__"), found, prefix="__")
     return judged.where(~F.col("__rejected")).select(*docs.columns)
 
