@@ -34,7 +34,6 @@ WORDS_KEPT = 400_000
 #: Rejection: the quantile of held-back excesses that is the limit, the rows that all languages and lengths together
 #: count as beside a language's own rows of one length, and the length at which a text's own noise equals the documents' spread.
 QUANTILE, PRIOR_ROWS, STEADY = 0.999, 1000, 200.0
-LEAST_ROWS = 30
 #: Excesses are counted in steps of 1 / CELLS nats; lengths by their power of two.
 CELLS, LENGTHS = 100, 40
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -317,8 +316,9 @@ def _quantile(own: np.ndarray, every: np.ndarray) -> int:
     return int(np.searchsorted(share, QUANTILE * share[-1] * (1 - 1e-12)))
 
 
-def limits(back: DataFrame) -> DataFrame:
-    """__lang, __length (its power of two), __mean, __reach from ``held_back`` rows.
+def limits(back: DataFrame) -> tuple[DataFrame, float | None, float | None]:
+    """__lang, __length (its power of two), __mean, __reach from ``held_back`` rows; mean and reach of all languages
+    together, which hold for a label without such rows (None if there are no rows at all).
 
     The excess of a row is (entropy - mean) / sqrt(1 + STEADY / characters); the mean is its language's, with one row
     at the mean of all languages added.  The reach is a quantile of the excesses of the language's rows of this
@@ -328,7 +328,7 @@ def limits(back: DataFrame) -> DataFrame:
     sums = back.groupBy("lang_pred").agg(F.sum("entropy").alias("s"), F.count("*").alias("n")).collect()  # a row per language
     schema = "__lang string, __length long, __mean double, __reach double"
     if not sums:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema), None, None
     over_all = sum(r.s for r in sums) / sum(r.n for r in sums)
     means = {r.lang_pred: round((r.s + over_all) / (r.n + 1), 6) for r in sums}
     excess = (F.col("entropy") - F.col("mean")) / F.sqrt(1 + STEADY / F.col("n_letters"))
@@ -342,23 +342,24 @@ def limits(back: DataFrame) -> DataFrame:
         every[r.cell] += r.n
     none = np.zeros_like(every)
     reach = lambda lang, k: (_quantile(own.get((lang, k), none), every) - 20 * CELLS) / CELLS
-    enough = [r.lang_pred for r in sums if r.n >= LEAST_ROWS]
-    return spark.createDataFrame([(x, k, means[x], reach(x, k)) for x in enough for k in range(LENGTHS)], schema)
+    rows = [(x, k, means[x], reach(x, k)) for x in means for k in range(LENGTHS)]
+    return spark.createDataFrame(rows, schema), over_all, reach(None, 0)
 
 
 def length_of(characters: Column) -> Column:
     return F.least(F.floor(F.log2(characters)), F.lit(LENGTHS - 1)).cast("long")
 
 
-def with_rejection(scored: DataFrame, found: DataFrame, prefix: str = "") -> DataFrame:
+def with_rejection(scored: DataFrame, calibration: tuple[DataFrame, float | None, float | None], prefix: str = "") -> DataFrame:
     """``scored`` plus rejected: no letter, or an entropy beyond the limit of the predicted language.
 
-    The limit is mean + reach · sqrt(1 + STEADY / characters); a language without ``limits`` rejects
-    nothing for its entropy.
+    The limit is mean + reach · sqrt(1 + STEADY / characters), with mean and reach of all languages for a label that
+    has none.  Only where no label has a held-back row is nothing known to reject a text with letters by.
     """
+    found, mean, reach = calibration
     n, entropy = F.col(f"{prefix}n_letters"), F.col(f"{prefix}entropy")
     joined = scored.join(found, (F.col(f"{prefix}lang_pred") == F.col("__lang")) & (length_of(n) == F.col("__length")), "left")  # few rows: AQE broadcasts by measured size
-    limit = F.col("__mean") + F.col("__reach") * F.sqrt(1 + STEADY / n)
+    limit = F.coalesce("__mean", F.lit(mean)) + F.coalesce("__reach", F.lit(reach)) * F.sqrt(1 + STEADY / n)
     return joined.withColumn(f"{prefix}rejected", F.when(n == 0, True).otherwise(F.coalesce(entropy > limit, F.lit(False)))).drop(*found.columns)
 
 
@@ -377,7 +378,7 @@ def identify(docs: DataFrame) -> DataFrame:
     return with_rejection(predict(rows, model), found)
 
 
-def _calibrated(docs: DataFrame) -> tuple[Model | None, DataFrame]:
+def _calibrated(docs: DataFrame) -> tuple[Model | None, tuple[DataFrame, float | None, float | None]]:
     train = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     model, *without = fit(train)
     return model, limits(held_back(train, tuple(without)))

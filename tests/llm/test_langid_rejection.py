@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,3 +31,19 @@ def test_random_syllables_are_rejected(spark):
     noise = [(10_000_000 + i, "".join(rng.choice("aeiou" if k % 2 else "bcdfghjklmnprstvz") for k in range(30)), None) for i in range(50)]
     rows = langid.identify(docs.unionByName(spark.createDataFrame(noise, docs.schema))).where("doc_id >= 10000000").collect()
     assert len(rows) == 50 and sum(r.rejected for r in rows) >= 48
+
+
+@pytest.mark.parametrize("rare", [1, 8])
+def test_rare_label_has_a_limit(spark, rare):
+    """A label with few documents attracts foreign scripts, which are rejected all the same; its own documents stay."""
+    docs = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(5)
+    words = ["".join(rng.choice("αβγδεζηθικλμνξοπρστυφχψω") for _ in range(rng.randrange(2, 8))) for _ in range(40)]
+    own = [i for i in range(10_000_000, 10_000_100) if zlib.crc32(str(i).encode()) % 4 != 2][:rare]
+    added = [(i, " ".join(rng.choice(words) for _ in range(120)), "xx") for i in own]
+    added += [(20_000_000 + i, "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(800)), None) for i in range(20)]
+    rows = langid.identify(docs.unionByName(spark.createDataFrame(added, docs.schema))).where("doc_id >= 10000000").collect()
+    foreign = [r for r in rows if r.doc_id >= 20_000_000]
+    assert {r.lang_pred for r in foreign} == {"xx"}
+    assert len(foreign) == 20 and all(r.rejected for r in foreign)
+    assert [r.doc_id for r in rows if r.doc_id < 20_000_000 and r.rejected] == []
