@@ -24,13 +24,10 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import mapped, materialize, slices, table
 
 ORDER = 4
-#: Bounds of the model that is sent to the tasks: n-grams per language (the most frequent stay) and labels.
-MAX_GRAMS = 300_000
-MAX_LANGUAGES = 100
 #: Size of the character set over which the lowest order is smoothed.
 CHARACTERS = 5000
-#: Distinct words whose scores a task keeps, and counts before they are cut into n-grams.
-WORDS_KEPT = 400_000
+#: Distinct words whose scores a task keeps, and counts before they are cut into n-grams; scores kept, of all languages.
+WORDS_KEPT, SCORES_KEPT = 400_000, 40_000_000
 #: Rejection: the quantile of held-back excesses that is the limit, the rows that all languages and lengths together
 #: count as beside a language's own rows of one length, and the length at which a text's own noise equals the documents' spread.
 QUANTILE, PRIOR_ROWS, STEADY = 0.999, 1000, 200.0
@@ -198,39 +195,18 @@ def fit(train: DataFrame) -> tuple[Model | None, Model | None, Model | None]:
     """The model of all labelled rows of ``train`` (doc_id, text, lang), the one without half 0 and the one without
     half 1; None if their rows hold no letter.
 
-    Labels beyond the ``MAX_LANGUAGES`` most frequent and n-grams rarer than a language's ``MAX_GRAMS`` most
-    frequent ones are left out of the model: that bounds what driver and tasks hold.
+    All labels and all n-grams count.  Driver and tasks hold the model: n-gram types times labels, which grows with
+    what the languages write, not with the rows.
     """
-    counts = materialize(gram_counts(train), "grams")
-    level = F.floor(F.log2(F.col("n"))).cast("int")
-    sizes = counts.groupBy("lang", level.alias("level")).agg(F.count("*").alias("types"), F.sum("n").alias("n"))
-    top = [r.lang for r in sizes.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
-    least: dict[str, int] = {}
-    by: dict[str, list] = defaultdict(list)
-    for r in sizes.where(F.col("lang").isin(top)).collect():  # at most 64 levels a label
-        by[r.lang].append((r.level, r.types))
-    for lang, levels in by.items():
-        kept = 0
-        for lv, types in sorted(levels, reverse=True):
-            kept += types
-            if kept > MAX_GRAMS and lv != max(levels)[0]:
-                break
-            least[lang] = 2 ** lv
-    if not least:
-        return None, None, None
-    keep = F.lit(False)
-    for lang, n in least.items():
-        keep = keep | ((F.col("lang") == lang) & (F.col("n") >= n))
-    got = counts.where(keep).toArrow()
+    got = gram_counts(train).toArrow().sort_by([("lang", "ascending"), ("gram", "ascending")])  # the same order in every run
     out: tuple[dict, dict, dict] = ({}, {}, {})
-    lang_of = np.array(got.column("lang").to_pylist(), dtype=object)
-    texts = got.column("gram").to_pylist()
-    for lang in least:
-        at = np.flatnonzero(lang_of == lang)
-        at = at[sorted(range(len(at)), key=lambda i: texts[at[i]])]  # the same order in every run
-        cps = np.frombuffer("".join(texts[i] for i in at).encode("utf-32-le"), dtype=np.uint32).reshape(-1, ORDER)
+    langs = got.column("lang").value_counts().to_pylist()
+    ends = np.cumsum([x["counts"] for x in langs])
+    for lang, end, size in ((x["values"], int(e), x["counts"]) for x, e in zip(langs, ends, strict=True)):
+        mine = got.slice(end - size, size)
+        cps = np.frombuffer("".join(mine.column("gram").to_pylist()).encode("utf-32-le"), dtype=np.uint32).reshape(-1, ORDER)
         for counts_of, column in zip(out, ("n", "n1", "n0"), strict=True):
-            n = got.column(column).to_numpy()[at]
+            n = mine.column(column).to_numpy()
             if n.any():
                 counts_of[lang] = (cps[n > 0], n[n > 0])
     whole, *parts = (Model(x) if x else None for x in out)
@@ -253,13 +229,14 @@ def predict(docs: DataFrame, model: Model | None, keep_text: bool = False, prefi
         m = sent.value
         langs = m.langs if m else []
         index: dict[bytes, int] = {}
-        table = np.zeros((WORDS_KEPT, max(1, len(langs))), dtype=np.float32)
-        chars = np.zeros(WORDS_KEPT, dtype=np.int64)
+        kept = min(WORDS_KEPT, SCORES_KEPT // max(1, len(langs)))
+        table = np.zeros((kept, max(1, len(langs))), dtype=np.float32)
+        chars = np.zeros(kept, dtype=np.int64)
         for b in slices(batches):
             texts = [words_of(x or "") if m else [] for x in b.column("text").to_pylist()]
             sums, sizes = np.zeros((len(texts), max(1, len(langs)))), np.zeros(len(texts), dtype=np.int64)
             fresh = {w for t in texts for w in t if w not in index}
-            if len(index) + len(fresh) > WORDS_KEPT:
+            if len(index) + len(fresh) > kept:
                 index.clear()
                 fresh = {w for t in texts for w in t}
             if len(index) + len(fresh) > len(table):  # one slice with more words than are kept
@@ -269,8 +246,9 @@ def predict(docs: DataFrame, model: Model | None, keep_text: bool = False, prefi
                 own = [w for w in fresh if w.isalpha() or any(map(str.isalpha, w.decode()))]
                 at = len(index)
                 index.update((w, at + i) for i, w in enumerate(own))
-                for i in range(0, len(own), 50_000):
-                    v, n = m.score(own[i:i + 50_000])
+                step = max(1, kept // 8)
+                for i in range(0, len(own), step):
+                    v, n = m.score(own[i:i + step])
                     table[at + i:at + i + len(v)], chars[at + i:at + i + len(v)] = v, n
                 at = len(index)
                 rest = [w for w in fresh if w not in index]
@@ -334,7 +312,7 @@ def limits(back: DataFrame) -> tuple[DataFrame, float | None, float | None]:
     excess = (F.col("entropy") - F.col("mean")) / F.sqrt(1 + STEADY / F.col("n_letters"))
     cell = F.ceil(F.greatest(F.least(excess, F.lit(20.0)), F.lit(-20.0)) * CELLS) + 20 * CELLS
     of = spark.createDataFrame(list(means.items()), "lang_pred string, mean double")
-    counted = back.join(of, "lang_pred").groupBy("lang_pred", length_of(F.col("n_letters")).alias("length"), cell.alias("cell")).agg(F.count("*").alias("n"))
+    counted = back.join(F.broadcast(of), "lang_pred").groupBy("lang_pred", length_of(F.col("n_letters")).alias("length"), cell.alias("cell")).agg(F.count("*").alias("n"))
     own: dict = defaultdict(lambda: np.zeros(40 * CELLS + 1))
     every = np.zeros(40 * CELLS + 1)
     for r in counted.collect():  # languages x lengths x cells at most

@@ -47,3 +47,18 @@ def test_rare_label_has_a_limit(spark, rare):
     assert {r.lang_pred for r in foreign} == {"xx"}
     assert len(foreign) == 20 and all(r.rejected for r in foreign)
     assert [r.doc_id for r in rows if r.doc_id < 20_000_000 and r.rejected] == []
+
+
+def test_every_label_and_every_gram_counts(spark):
+    """More than 100 labels, and a label with more than 300,000 4-grams that mostly occur once."""
+    rng = random.Random(7)
+    blocks = [[chr(0x4E00 + 20 * k + j) for j in range(20)] for k in range(130)]
+    rows = [(k, " ".join("".join(rng.choice(b) for _ in range(3)) for _ in range(30)), f"l{k:03}") for k, b in enumerate(blocks)]
+    model, *without = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == [r[2] for r in rows] and sum(len(m.langs) for m in without) == 130
+    got = langid.predict(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+    large = ["".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(100)) for _ in range(3200)]
+    model, *_ = langid.fit(spark.createDataFrame([(i, t, "zh") for i, t in enumerate(large)], "doc_id long, text string, lang string"))
+    types = {s[i:i + 4] for t in large for s in ["   " + t + " "] for i in range(len(s) - 3)}
+    assert len(types) > 300_000 and len(model.grams[3][0]) == len(types)
