@@ -91,8 +91,10 @@ def annotate(raw: DataFrame, key_columns: Sequence[str] = ()) -> DataFrame:
             checks.append(_violation(~missing & ~F.col(c).isin(*DOMAINS[c]), "unknown_category", c))
             typed[c] = F.col(c)
     violations = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return raw.select(*key_columns, *[F.col(c).alias(f"raw_{c}") for c in EXPECTED_COLUMNS],
-                      *[v.alias(c) for c, v in typed.items()], violations.alias("violations"))
+    # One struct per row, generated: later filters and joins see plain columns, so the optimizer neither copies
+    # the rules into them nor derives constraints from every cell's expression (minutes for a join otherwise).
+    judged = F.struct(*[v.alias(c) for c, v in typed.items()], violations.alias("violations"))
+    return raw.select(*key_columns, *[F.col(c).alias(f"raw_{c}") for c in EXPECTED_COLUMNS], F.inline(F.array(judged)))
 
 
 def violations_long(annotated: DataFrame, key_columns: Sequence[str]) -> DataFrame:

@@ -57,7 +57,7 @@ def predict_for_run(registry: dict, run_name: str, df: DataFrame, keys: Sequence
 
     Registry entries: {"kind": "model", "model": PipelineModel}, {"kind": "blend", "members": (a, b),
     "weights": (wa, wb)} composed from member scores joined on the row keys, or {"kind": "calibrated",
-    "base": name, "calibrator": fitted IsotonicRegressionModel}.  Unknown kinds are an error.
+    "base": name, "calibrator": isotonic.IsotonicMap}.  Unknown kinds are an error.
     """
     from pyspark.ml.functions import vector_to_array
 
@@ -75,6 +75,6 @@ def predict_for_run(registry: dict, run_name: str, df: DataFrame, keys: Sequence
         return sa.join(sb, list(keys)).select(*keys, (F.lit(wa) * F.col("_a") + F.lit(wb) * F.col("_b")).alias("score"))
     if kind == "calibrated":
         base = predict_for_run(registry, entry["base"], df, keys)
-        cal = entry["calibrator"].transform(base.withColumn("features", F.col("score")))
+        cal = entry["calibrator"].transform(base)
         return cal.select(*keys, F.col("calibrated").alias("score"))
     raise ValueError(f"unknown model kind for run {run_name!r}")

@@ -130,3 +130,15 @@ def test_coerce_mode_accepts_text_numbers(spark):
                                  .replace('"Weekend": false', '"Weekend": "true"'))], "request_id string, body string")
     assert C.request_violations(df, coerce=True).count() == 0
     assert C.request_violations(df, coerce=False).count() == 2
+
+
+def test_valid_rows_plan_in_joins_and_set_operations(spark):
+    """The rules are not copied into what is built on the valid rows, so that planning stays short."""
+    import time
+
+    raw = C.dirty_sessions(load_sessions(spark, SF_SMALL))
+    valid = C.validate(raw, strict=False, key_columns=KEY_COLUMNS).valid
+    for out in (valid.exceptAll(valid.limit(0)), valid.join(valid.select(*KEY_COLUMNS), list(KEY_COLUMNS)), valid.intersect(valid)):
+        begun = time.time()
+        out._jdf.queryExecution().executedPlan()
+        assert time.time() - begun < 5

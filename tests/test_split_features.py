@@ -60,3 +60,40 @@ def test_join_on_keeps_null_keys(spark):
     a = spark.createDataFrame([(1, "x"), (None, "y")], "k int, a string")
     b = spark.createDataFrame([(None, 9), (1, 7)], "k int, b int")
     assert sorted((r.a, r.b) for r in join_on(a, b, "k", "inner").collect()) == [("x", 7), ("y", 9)]
+
+
+def _by_rank(df, seed, fractions, label, keys):
+    """Plain version: rank inside the class over the order hash."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(label)
+    ranked = df.withColumn("_rn", F.row_number().over(w.orderBy(G.order_hash(seed, keys), *keys))).withColumn("_n", F.count("*").over(w))
+    return ranked.withColumn("want", sum((F.col("_rn") > F.floor(F.lit(f) * F.col("_n") + 0.5)).cast("int") for f in fractions))
+
+
+def test_cut_hashes_equal_ranks_at_every_depth(spark, monkeypatch):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 3 == 0, "rare").when(F.col("id") == 1, "one").otherwise("hot").alias("y"))
+    fractions = [0.0, 0.1, 0.6, 0.8, 1.0]
+    for digits, fits in ((4, 100_000), (1, 5), (2, 1)):
+        monkeypatch.setattr(G, "PREFIX_DIGITS", digits)
+        monkeypatch.setattr(G, "PREFIX_FITS", fits)
+        cuts = G.class_cuts(df, fractions, 7, "y", ["id"])
+        assert set(cuts) == {None, "rare", "one", "hot"}
+        got = _by_rank(df, 7, fractions, "y", ["id"])
+        got = got.withColumn("got", sum((~G._before(cuts, i, G.order_hash(7, ["id"]), "y")).cast("int") for i in range(len(fractions))))
+        assert got.where("got <> want").count() == 0
+
+
+def test_rows_with_equal_keys_go_together(spark):
+    df = spark.createDataFrame([(i // 10, True) for i in range(200)], "id long, y boolean")
+    got = G.stratified_split(df, label="y", key_columns=["id"]).groupBy("id").agg(F.count_distinct("split").alias("n"))
+    assert got.where("n <> 1").count() == 0
+    assert G.halves(df.limit(0), label="y", key_columns=["id"]).collect() == []
+
+
+def test_quota_split_moves_no_row(spark, tmp_path):
+    load_sessions(spark, SF_MID).write.parquet(f"{tmp_path}/s")
+    s = spark.read.parquet(f"{tmp_path}/s")
+    for out in (G.stratified_split(s), G.halves(s)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
