@@ -43,14 +43,16 @@ def quantile_bucket(df: DataFrame, column: str, n_buckets: int, *, descending: b
     return (F.lit(len(cuts)) - at_or_below) if descending else at_or_below
 
 
-def count_at_or_below(x: Column, cuts: list[float]) -> Column:
-    """Number of sorted cut points ≤ x: a binary search over one array literal, in steps of falling powers
-    of two, so that expression size does not grow with the number of cut points."""
-    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
-    table = F.lit([*cuts])
+def count_at_or_below(x: Column, cuts: list[float] | Column, most: int | None = None) -> Column:
+    """Number of sorted cut points ≤ x: a binary search over one array (a literal, or a column of at most ``most``
+    cut points), in steps of falling powers of two, so that expression size does not grow with the number of
+    cut points."""
+    table = cuts if isinstance(cuts, Column) else F.lit([*cuts])
+    n = F.size(table) if isinstance(cuts, Column) else F.lit(len(cuts))
+    steps = [1 << k for k in reversed(range((len(cuts) if most is None else most).bit_length()))]
     # found so far + step is taken if that many cut points are ≤ x
     return F.aggregate(F.lit(steps), F.lit(0), lambda found, step: F.when(
-        (found + step <= len(cuts)) & (F.get(table, found + step - 1) <= x), found + step).otherwise(found))
+        (found + step <= n) & (F.get(table, found + step - 1) <= x), found + step).otherwise(found))
 
 
 def hex_prefix_bucket(hex_col: Column, chars: int = 2) -> Column:
