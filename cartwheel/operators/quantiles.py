@@ -73,9 +73,9 @@ def _inside(long: DataFrame, brackets: DataFrame, g: list[str], value: str) -> D
 
 def _picked(values: DataFrame, g: list[str], value: str, probs: dict[str, float], n: Column, before: Column, within: list[str]) -> DataFrame:
     """Distinct values with counts ``_c`` → one row per group with a column per probability."""
-    total = Window.partitionBy(*within)
-    order = total.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.select("*", F.sum("_c").over(order).alias("_to"), F.sum("_c").over(total).alias("_total"))
+    order = Window.partitionBy(*within).orderBy(value)
+    total = F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranked = values.select("*", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_to"), total.alias("_total"))
     ranked = ranked.select(*g, value, n.alias("_n"), (before + F.col("_to") - F.col("_c")).alias("_first"), (before + F.col("_to")).alias("_after"))
     at_rank = lambda rank: F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_after")), F.col(value)))
     found = [at_rank(rank).alias(f"_{k}_{i}") for k, p in probs.items() for i, rank in enumerate(_ranks(F.col("_n"), p)[1:])]
