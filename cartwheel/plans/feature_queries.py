@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cartwheel.operators import features as FE
 from cartwheel.operators import preprocess as P
 from cartwheel.operators import split as G
+from cartwheel.operators.target_stats import fit_target_statistics, ordered_statistics
 from cartwheel.schema import CATEGORICAL_COLUMNS, KEY_COLUMNS
 from cartwheel.sources.sessions import load_sessions, with_sessions
 
@@ -209,3 +210,40 @@ SQL["categorical_as_text"] = with_sessions(
     "SELECT user_id, session_date, " + ", ".join(
         f"CASE WHEN {c} THEN 'true' ELSE 'false' END AS {c}" if c == "Weekend" else f"CAST({c} AS VARCHAR) AS {c}"
         for c in _CAT_TEXT) + " FROM sessions")
+
+
+def _ordered_statistics(spark, sf):
+    """M6: every training row's categories as the positive rate of the rows before it."""
+    train = _train(spark, sf)
+    return ordered_statistics(train, CATEGORICAL_COLUMNS, fit_target_statistics(train, CATEGORICAL_COLUMNS).prior)
+
+
+def _statistics_validation(spark, sf):
+    """M6: the validation split's categories as the training split's positive rates."""
+    s = split_sessions(spark, sf)
+    fitted = fit_target_statistics(s.filter(F.col("split") == "train"), CATEGORICAL_COLUMNS)
+    return fitted.encode(s.filter(F.col("split") == "validation"))
+
+
+def _categories(table):
+    return " UNION ALL ".join(
+        f"SELECT user_id, session_date, Revenue, '{c}' AS \"column\", "
+        + (f"lower(CAST({c} AS VARCHAR))" if c == "Weekend" else f"CAST({c} AS VARCHAR)") + f" AS category FROM {table}"
+        for c in CATEGORICAL_COLUMNS)
+
+
+_STATS_CTE = f"""tc AS ({_categories("train")}), vc AS ({_categories("validation")}),
+prior AS (SELECT avg(CAST(Revenue AS DOUBLE)) AS p FROM train)"""
+SPARK["ordered_target_statistics"] = _ordered_statistics
+SQL["ordered_target_statistics"] = sql(f"""
+SELECT user_id, session_date, "column", category,
+       (coalesce(sum(CAST(Revenue AS INT)) OVER w, 0) + 1e0 * p) / (count(*) OVER w + 1e0) AS encoded
+FROM tc, prior
+WINDOW w AS (PARTITION BY "column", category ORDER BY {_h(SEED)}, user_id, session_date
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""", _STATS_CTE)
+SPARK["target_statistics_validation"] = _statistics_validation
+SQL["target_statistics_validation"] = sql("""
+SELECT user_id, session_date, v."column", v.category, coalesce(encoded, p) AS encoded
+FROM vc v CROSS JOIN prior LEFT JOIN (
+  SELECT "column", category, (sum(CAST(Revenue AS INT)) + 1e0 * any_value(p)) / (count(*) + 1e0) AS encoded
+  FROM tc, prior GROUP BY 1, 2) t ON t."column" = v."column" AND t.category = v.category""", _STATS_CTE)
