@@ -19,6 +19,7 @@ from cartwheel.operators import split as G
 from cartwheel.operators import train as T
 from cartwheel.operators.features import columns_without
 from cartwheel.schema import EXPECTED_COLUMNS, KEY_COLUMNS, LABEL
+from cartwheel.session import materialize
 from cartwheel.sources import artifacts, reports, runlog
 
 
@@ -32,8 +33,8 @@ class TrainingOutcome:
     promoted: bool = True
 
 
-def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_trees: int = 20,
-                   forest_depth: int = 8, model_version: str = "local", experiment: str = "champion",
+def train_champion(sessions: DataFrame, out_dir: str, *, seed: int = 42, forest_trees: int = T.FOREST_TREES,
+                   forest_depth: int = T.FOREST_DEPTH, model_version: str = "local", experiment: str = "champion",
                    previous_artifact: str | None = None, git_revision: str | None = None,
                    log=lambda msg: None) -> TrainingOutcome:
     """``_train`` with the run log told about a failure: a FAILED record names the error, which is raised again."""
@@ -58,7 +59,7 @@ def _train(sessions: DataFrame, out_dir: str, *, seed: int, forest_trees: int, f
     # the shared checkpoint folder (cuts lineage, survives executor loss, keeps plans small).
     valid = C.validate(raw, strict=True, key_columns=KEY_COLUMNS, materialize=True).valid
     log("validated")
-    split = G.stratified_split(valid, seed=seed).persist()
+    split = G.stratified_split(valid, seed=seed)  # a comparison of hashes per row, nothing to keep
     facts = split.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(LABEL).cast("int")).alias("positives")).first()
     dataset = {"rows": facts["rows"], "positives": facts["positives"],
                "positive_rate": facts["positives"] / facts["rows"]}
@@ -74,7 +75,7 @@ def _train(sessions: DataFrame, out_dir: str, *, seed: int, forest_trees: int, f
     log("split")
     res = T.sweep(cands, train, validation)
     log("sweep")
-    runs = T.runs_from_records(res.records, cands).persist()
+    runs = materialize(T.runs_from_records(res.records, cands), "champion-runs")
     best = K.champion(runs).first()
     name, threshold = best["run_name"], float(best["threshold"])
     # every candidate run is logged (validation metrics), promoted or not
@@ -86,7 +87,6 @@ def _train(sessions: DataFrame, out_dir: str, *, seed: int, forest_trees: int, f
         prev = artifacts.read_manifest(runs.sparkSession, previous_artifact)
         previous_f1 = (prev.get("validation_metrics") or {}).get("f1")
         if previous_f1 is not None and not best["f1"] > previous_f1:
-            split.unpersist()
             return TrainingOutcome(name, threshold, runs, {}, prev, promoted=False)
     cand = next(c for c in cands if c.name == name)
     test_scores = T.score_candidate(cand, res.models[name], test)
@@ -122,7 +122,6 @@ def _train(sessions: DataFrame, out_dir: str, *, seed: int, forest_trees: int, f
                                             include_page_values="without" not in name, git_revision=git_revision,
                                             dataset=dataset)
     log("artifact")
-    split.unpersist()
     return TrainingOutcome(name, threshold, runs, test_rec, manifest)
 
 

@@ -66,3 +66,21 @@ def materialize(df, name: str):
     path = f"{base}/cartwheel-tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(*tables) -> None:
+    """Delete tables of ``materialize`` that nothing will read again."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            if "/cartwheel-tables/" in folder:
+                path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def concurrently(jobs, parallelism: int = 4) -> list:
+    """Results of argument-less functions that launch Spark jobs, in order, a few at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]

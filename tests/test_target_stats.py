@@ -66,7 +66,7 @@ def test_boosting_on_statistics_scores_raw_rows(spark):
     s = split_sessions(spark, SF_SMALL)
     train = s.filter(F.col("split") == "train")
     train, val = T.with_training_columns(train, train), T.with_training_columns(s.filter(F.col("split") == "validation"), train)
-    c = next(c for c in T.experiment_candidates(["base_with_page_values"], gbt_iter=3, depth=3) if "ordered" in c.name)
+    c = next(c for c in T.experiment_candidates(["base_with_page_values"], native_rounds=3) if "ordered" in c.name)
     res = T.sweep([c], train, val)
     scores = T.score_candidate(c, res.models[c.name], val, KEY_COLUMNS)
     assert scores.count() == val.count() and scores.filter(~F.col("score").between(0, 1)).count() == 0
