@@ -100,7 +100,7 @@ def _train(sessions: DataFrame, out_dir: str, *, seed: int, forest_trees: int, f
     val_long = reports.record_to_long(runs.filter(F.col("run_name") == name).drop("run_name", "family", "model",
                                                                                     "feature_set"), "validation")
     test_long = reports.record_to_long(record, "test")
-    reports.write_report(val_long.unionByName(test_long), f"{out_dir}/metrics")
+    reports.write_report(val_long.unionByName(test_long), f"{out_dir}/metrics.json")
     # the champion run: test metrics of the selected candidate (the seventh run)
     champ = record.select(
         F.lit("champion").alias("run_name"), F.lit("champion").alias("family"), F.lit(name).alias("model"),

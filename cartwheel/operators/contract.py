@@ -355,7 +355,7 @@ def prediction_contract(scored: DataFrame, prob: str = "purchase_probability", t
 
 
 def dataset_vs_request_rules() -> dict[str, tuple[str, ...]]:
-    """The two rule sets stay separate — the dataset rules let +inf durations through."""
+    """The names of the two rule sets, which stay separate."""
     return {
         "dataset": ("null", "boolean", "numeric", "non_negative", "range_0_1", "integer", "positive_code",
                     "unknown_category", "two_classes"),
@@ -363,6 +363,37 @@ def dataset_vs_request_rules() -> dict[str, tuple[str, ...]]:
     }
 
 
+def infinite_sessions(sessions: DataFrame) -> DataFrame:
+    """Sessions with infinite values: by slot = (user_id * 31 + day) % 4, ProductRelated_Duration infinite (0) or -1 (1), PageValues infinite (2)."""
+    slot = (F.col("user_id") * 31 + F.dayofmonth("session_date")) % 4
+    return sessions.withColumns({
+        "ProductRelated_Duration": F.when(slot == 0, float("inf")).when(slot == 1, -1.0).otherwise(F.col("ProductRelated_Duration")),
+        "PageValues": F.when(slot == 2, float("inf")).otherwise(F.col("PageValues"))})
+
+
+def infinity_verdicts(sessions: DataFrame, keys: Sequence[str], columns: Sequence[str] = ("ProductRelated_Duration", "PageValues")) -> DataFrame:
+    """The same values under both rule sets — (keys…, rule_set, column, verdict), the broken rule or ``passes``.
+
+    As a data row an infinite duration passes (the rule there is only ``< 0``); as a request body (JSON has no
+    infinity: 1e999 is read as one) it is ``not_finite``.
+    """
+    text = sessions.select(*keys, *[F.col(c).cast("string").alias(c) for c in EXPECTED_COLUMNS])
+    data = annotate(text, keys).select(*keys, F.col("violations").alias("found"), F.lit("dataset").alias("rule_set"))
+    rid = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+
+    def member(c: str) -> Column:
+        plain = F.regexp_replace(F.to_json(F.struct(c)), r"^\{|\}$", "")
+        return F.when(F.col(c) == float("inf"), F.lit(f'"{c}":1e999')).otherwise(plain) if c in columns else plain
+
+    body = F.concat(F.lit("{"), F.concat_ws(",", *[member(c) for c in FEATURE_COLUMNS]), F.lit("}"))
+    requests = sessions.select(*keys, rid.alias("request_id"), body.alias("body"))
+    broken = request_violations(requests.select("request_id", "body")).groupBy("request_id").agg(
+        F.collect_list(F.struct(F.col("field").alias("column"), "rule")).alias("found"))  # a body's fields at most
+    asked = requests.select(*keys, "request_id").join(broken, "request_id", "left").select(*keys, "found", F.lit("request").alias("rule_set"))
+    both = data.unionByName(asked).select(*keys, "rule_set", F.explode(F.lit([*columns])).alias("column"), "found")
+    met = F.get(F.filter("found", lambda v: v["column"] == F.col("column")), F.lit(0))["rule"]
+    return both.select(*keys, "rule_set", "column", F.coalesce(met, F.lit("passes")).alias("verdict"))
+
 
 def unknown_categories(raw: DataFrame, domains: dict[str, Sequence[str]] = DOMAINS) -> DataFrame:
     """(column, value) of category values outside the domain — distinct values

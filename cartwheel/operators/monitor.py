@@ -5,7 +5,7 @@ The streaming form of the alarm lives in ``cartwheel.streaming.monitor``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.expr import r6
@@ -53,6 +53,26 @@ def error_alarm(log: DataFrame, period: str = ALARM_PERIOD, min_errors: int = 1)
     )
 
 
+def alarm_transitions(log: DataFrame, period: str = ALARM_PERIOD, min_errors: int = 1) -> DataFrame:
+    """Per route, the periods at which the alarm changes — (route, period_start, state, errors).
+
+    A period with at least ``min_errors`` 5xx responses is in ALARM, every other one OK, silent ones too; before the
+    first record the state is OK.  A change is told once its period has ended, that is, by the latest record's time.
+    """
+    w = F.window("ts", period)
+    bad = (log.where(F.col("status") >= 500).groupBy("route", w.alias("w")).agg(F.count(F.lit(1)).alias("errors"))
+           .where(F.col("errors") >= min_errors).select("route", "errors", F.col("w.start").alias("s"), F.col("w.end").alias("e")))
+    # a window row is a period with errors: at most one per 300 seconds and route
+    along = Window.partitionBy("route").orderBy("s")
+    bad = bad.select("*", F.lag("e").over(along).alias("before"), F.lead("s").over(along).alias("after"))
+    begins = F.when(F.col("before").isNull() | (F.col("before") < F.col("s")), F.struct(F.col("s").alias("at"), F.lit("ALARM").alias("state"), "errors"))
+    ends = F.when(F.col("after").isNull() | (F.col("after") > F.col("e")), F.struct(F.col("e").alias("at"), F.lit("OK").alias("state"), F.lit(0).cast("long").alias("errors")))
+    changes = bad.select("route", (F.col("e").cast("long") - F.col("s").cast("long")).alias("length"), F.explode(F.array(begins, ends)).alias("c")).where("c is not null")
+    now = log.agg(F.max("ts").alias("ts")).first()["ts"]
+    told = F.timestamp_add("SECOND", F.col("length"), F.col("c.at")) <= F.lit(now)
+    return changes.where(told).select("route", F.date_format("c.at", "yyyy-MM-dd HH:mm:ss").alias("period_start"), "c.state", "c.errors")
+
+
 def route_latency(log: DataFrame, *, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Requests, mean and p95 latency per (route, status)."""
     base = log.groupBy("route", "status").agg(

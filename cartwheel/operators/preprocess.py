@@ -54,6 +54,19 @@ def one_hot_long(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], k
     return join_on(long, dictionary, ["column", "category"], "inner").select(*keys, "column", "category", "slot")
 
 
+def one_hot_dense(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], keys: Sequence[str], name: str = "slots") -> DataFrame:
+    """Dense form — (keys…, ``name``), one 0/1 number per known category, columns in the given order, slots within.
+
+    The width is the dictionary's size in every row, so its categories go into the plan as literals and no row moves.
+    """
+    known: dict[str, list] = {c: [] for c in columns}
+    for r in dictionary.orderBy("column", "slot").collect():  # one row per category
+        known[r["column"]].append(r["category"])
+    is_own = lambda value: lambda k: F.when(k == value, 1.0).otherwise(0.0)
+    dense = [F.transform(F.lit(known[c]), is_own(F.col(c).cast("string"))) for c in columns if known[c]]
+    return df.select(*keys, F.concat(*dense).alias(name))
+
+
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     """Per class n, balanced weight n/(2·n_c) and positive weight negatives/positives."""
     counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("sessions"))

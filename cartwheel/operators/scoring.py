@@ -34,20 +34,24 @@ def decide(df: DataFrame, probability: Column, threshold: float, version: str,
 
 def score_with_model(df: DataFrame, model, feature_names: Sequence[str], threshold: float, version: str,
                      keep: Sequence[str] = ()) -> DataFrame:
-    """N1 + N3: project the bundle's feature list (a reduced list still serves a full row), transform, decide."""
+    """N1 + N3: project the bundle's feature list (a reduced list still serves a full row), score, decide.
+
+    ``model`` is a fitted ``PipelineModel`` or a function from the projected rows to a probability Column."""
     inputs = df.select(*keep, *feature_names)
+    if not hasattr(model, "transform"):
+        return decide(inputs, model(inputs), threshold, version, keep)
     out = model.transform(inputs)
     return decide(out, positive_probability(out), threshold, version, keep)
 
 
-def health(manifest: DataFrame) -> DataFrame:
-    """Model status record from a manifest row — 'ok' when every gate passes, else 'degraded'."""
+def health(manifest: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Model status record per manifest row — 'ok' when every gate passes, else 'degraded'."""
     gates = [c for c in manifest.columns if c.startswith("gate_")]
     ok = F.lit(True)
     for g in gates:
         ok = ok & F.coalesce(F.col(g), F.lit(False))
     return manifest.select(
-        F.when(ok, "ok").otherwise("degraded").alias("status"),
+        *keep, F.when(ok, "ok").otherwise("degraded").alias("status"),
         F.when(ok, F.col("model_version")).alias("model_version"),
     )
 

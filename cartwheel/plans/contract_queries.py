@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from cartwheel.operators import contract as C
 from cartwheel.schema import (
     CODE_COLUMNS, EXPECTED_COLUMNS, FEATURE_COLUMNS, INTEGER_COLUMNS, LABEL, MONTH_ORDER, NON_NEGATIVE_COLUMNS,
     NUMERIC_INPUT_COLUMNS, RATE_COLUMNS, VISITOR_TYPES,
 )
+from cartwheel.session import ensure_checkpoint_dir
+from cartwheel.sources.csv_sessions import load_sessions_csv, session_lines, write_lines
 from cartwheel.sources.sessions import load_sessions, with_sessions
 
 SPARK = {}
@@ -204,3 +210,44 @@ def _req_sql(coerce=False):
 
 SQL["request_violations"] = _req_sql(False)
 SQL["request_violations_coerce"] = _req_sql(True)
+
+
+# ---- CSV source (A1): the sessions written as CSV lines, some broken, and read back
+
+
+def _csv(spark, sf):
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cartwheel-tables/csv-{uuid.uuid4().hex}"
+    write_lines(session_lines(load_sessions(spark, sf)).select("line"), path)
+    return load_sessions_csv(spark, path)
+
+
+SPARK["csv_sessions"] = lambda spark, sf: C.split_valid(C.annotate(_csv(spark, sf).rows))[0]
+SQL["csv_sessions"] = with_sessions(
+    "SELECT " + ", ".join(EXPECTED_COLUMNS) + " FROM sessions WHERE (user_id * 31 + day(session_date)) % 40 > 2")
+
+SPARK["csv_quarantine"] = lambda spark, sf: _csv(spark, sf).quarantine.groupBy("reason").agg(
+    F.count(F.lit(1)).alias("lines"), F.count_if(F.col("line").startswith('"')).alias("open_quotes"))
+SQL["csv_quarantine"] = with_sessions("""
+SELECT 'malformed' AS reason, count(*) AS lines, count(*) FILTER (WHERE (user_id * 31 + day(session_date)) % 40 = 2) AS open_quotes
+FROM sessions WHERE (user_id * 31 + day(session_date)) % 40 <= 2 HAVING count(*) > 0""")
+
+# ---- the two contracts on the same infinite values
+
+
+def _infinity(spark, sf):
+    """Rows whose durations and page values are infinite, judged as a data row and as a request body."""
+    return C.infinity_verdicts(C.infinite_sessions(load_sessions(spark, sf)), KEYS)
+
+
+SPARK["contract_infinity_rules"] = _infinity
+SQL["contract_infinity_rules"] = with_sessions("""
+SELECT user_id, session_date, rule_set, c."column",
+       CASE WHEN NOT isinf(v) AND v >= 0 THEN 'passes'
+            WHEN isinf(v) AND rule_set = 'request' THEN 'not_finite'
+            WHEN v < 0 THEN CASE rule_set WHEN 'dataset' THEN 'non_negative' ELSE 'range' END
+            ELSE 'passes' END AS verdict
+FROM (SELECT user_id, session_date, 'ProductRelated_Duration' AS "column", CASE (user_id * 31 + day(session_date)) % 4
+         WHEN 0 THEN 'inf'::DOUBLE WHEN 1 THEN -1e0 ELSE ProductRelated_Duration END AS v FROM sessions
+      UNION ALL SELECT user_id, session_date, 'PageValues', CASE (user_id * 31 + day(session_date)) % 4
+         WHEN 2 THEN 'inf'::DOUBLE ELSE PageValues END FROM sessions) c,
+     (VALUES ('dataset'), ('request')) r(rule_set)""")

@@ -247,3 +247,29 @@ SELECT user_id, session_date, v."column", v.category, coalesce(encoded, p) AS en
 FROM vc v CROSS JOIN prior LEFT JOIN (
   SELECT "column", category, (sum(CAST(Revenue AS INT)) + 1e0 * any_value(p)) / (count(*) + 1e0) AS encoded
   FROM tc, prior GROUP BY 1, 2) t ON t."column" = v."column" AND t.category = v.category""", _STATS_CTE)
+
+
+def _one_hot_dense(spark, sf):
+    """The validation split's dense one-hot rows, as text of digits (slots in column, then alphabetical order)."""
+    s = split_sessions(spark, sf)
+    d = P.one_hot_dictionary(s.filter(F.col("split") == "train"), CATEGORICAL_COLUMNS)
+    rows = P.one_hot_dense(s.filter(F.col("split") == "validation"), d, CATEGORICAL_COLUMNS, KEY_COLUMNS)
+    return rows.select(*KEY_COLUMNS, F.size("slots").alias("width"), F.array_join(F.transform("slots", lambda x: x.cast("int").cast("string")), "").alias("slots"))
+
+
+SPARK["one_hot_dense_validation"] = _one_hot_dense
+_dense = " || ".join(
+    "(SELECT coalesce(string_agg(CASE WHEN d.value = " + (f"lower(CAST(v.{c} AS VARCHAR))" if c == "Weekend" else f"CAST(v.{c} AS VARCHAR)")
+    + f" THEN '1' ELSE '0' END, '' ORDER BY d.value), '') FROM dict d WHERE d.\"column\" = '{c}')" for c in CATEGORICAL_COLUMNS)
+SQL["one_hot_dense_validation"] = sql(f"""
+SELECT user_id, session_date, CAST(length(slots) AS INT) AS width, slots
+FROM (SELECT user_id, session_date, {_dense} AS slots FROM validation v) x""", f"dict AS ({_cat_long('train')})")
+
+SPARK["labels_canonical"] = lambda spark, sf: FE.split_features_target(load_sessions(spark, sf), keys=KEY_COLUMNS)[1]
+SQL["labels_canonical"] = with_sessions("SELECT user_id, session_date, Revenue FROM sessions")
+
+SPARK["context_grid_draws"] = lambda spark, sf: G.random_grid_sample(
+    load_sessions(spark, sf).select("Month", "VisitorType", "Region").distinct(), 12, SEED)
+SQL["context_grid_draws"] = with_sessions(f"""
+SELECT Month, VisitorType, Region FROM (SELECT DISTINCT Month, VisitorType, Region FROM sessions) g
+ORDER BY md5('{SEED}|' || Month || '|' || VisitorType || '|' || CAST(Region AS VARCHAR)), Month, VisitorType, Region LIMIT 12""")

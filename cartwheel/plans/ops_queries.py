@@ -165,3 +165,38 @@ SELECT user_id, session_date, sha256({_FP_SQL}) AS sha256, md5({_FP_SQL}) AS md5
        'files/md5/' || substr(md5({_FP_SQL}), 1, 2) || '/' || substr(md5({_FP_SQL}), 3, 30) AS content_key
 FROM sessions""")
 
+
+
+# ---- model status (N4), reduced bundle (N3), alarm transitions
+
+
+def _model_status(spark, sf):
+    """Each run's manifest row with its gates; a gate without a value fails."""
+    runs = runs_table(spark, sf)
+    manifest = runs.select("run_name", F.concat(F.col("run_name"), F.lit("-1")).alias("model_version"), F.col("threshold").between(0, 1).alias("gate_threshold"),
+                           (F.col("pr_auc") >= F.lit(0.3)).alias("gate_quality"), (F.col("family") != "copy").alias("gate_family"))
+    return N.health(manifest, ["run_name"])
+
+
+SPARK["model_status"] = _model_status
+SQL["model_status"] = rsql("""
+SELECT run_name, CASE WHEN ok THEN 'ok' ELSE 'degraded' END AS status, CASE WHEN ok THEN run_name || '-1' END AS model_version
+FROM (SELECT run_name, coalesce(threshold BETWEEN 0 AND 1, false) AND coalesce(pr_auc >= 0.3, false) AND family <> 'copy' AS ok FROM runs) x""")
+
+SPARK["reduced_bundle_predictions"] = lambda spark, sf: N.score_with_model(
+    load_sessions(spark, sf), lambda rows: F.round(1.0 - F.col("ExitRates") * 5.0, 4), ("ExitRates", "BounceRates", "VisitorType"), 0.5,
+    "reduced-1", keep=KEY_COLUMNS)
+SQL["reduced_bundle_predictions"] = with_sessions("""
+SELECT user_id, session_date, p >= 0.5 AS will_purchase, p AS purchase_probability, 0.5e0 AS threshold, 'reduced-1' AS model_version
+FROM (SELECT user_id, session_date, round(1e0 - ExitRates * 5e0, 4) AS p FROM sessions) x""")
+
+SPARK["alarm_transitions"] = lambda spark, sf: MON.alarm_transitions(_log(spark, sf))
+SQL["alarm_transitions"] = f"""WITH {_LOG},
+bad AS (SELECT route, time_bucket(INTERVAL 300 SECOND, ts) AS p, count(*) AS errors FROM alog WHERE status >= 500 GROUP BY 1, 2),
+edge AS (SELECT *, lag(p) OVER w AS before, lead(p) OVER w AS after FROM bad WINDOW w AS (PARTITION BY route ORDER BY p)),
+now_ AS (SELECT max(ts) AS ts FROM alog)
+SELECT route, strftime(p, '%Y-%m-%d %H:%M:%S') AS period_start, 'ALARM' AS state, errors FROM edge, now_
+WHERE (before IS NULL OR before <> p - INTERVAL 300 SECOND) AND p + INTERVAL 300 SECOND <= now_.ts
+UNION ALL
+SELECT route, strftime(p + INTERVAL 300 SECOND, '%Y-%m-%d %H:%M:%S'), 'OK', 0 FROM edge, now_
+WHERE (after IS NULL OR after <> p + INTERVAL 300 SECOND) AND p + INTERVAL 600 SECOND <= now_.ts"""

@@ -276,3 +276,12 @@ _register(
 SELECT CASE WHEN Revenue THEN 'purchase' ELSE 'no_purchase' END AS class, count(*) AS sessions
 FROM sessions GROUP BY 1"""),
 )
+
+
+_TYPES = "CASE t WHEN 'VARCHAR' THEN 'string' ELSE lower(t) END"
+_register(
+    "column_types",
+    lambda spark, sf: Q.column_types(load_sessions(spark, sf).select(*EXPECTED_COLUMNS)),
+    with_sessions(f'SELECT "column", {_TYPES} AS type FROM (' + " UNION ALL ".join(
+        f"(SELECT '{c}' AS \"column\", typeof({c}) AS t FROM sessions LIMIT 1)" for c in EXPECTED_COLUMNS) + ") x"),
+)

@@ -1,8 +1,6 @@
-"""JSON reports (A2, A3) and CSV session input (A1).
+"""JSON reports (A2, A3).
 
-Reports are long-form metric tables ``(path, value)``; the sink orders by
-path and writes one JSON file through the output committer (atomic publish).
-Such report tables hold one row per metric, so ``coalesce(1)`` is bounded.
+Reports are long-form metric tables ``(path, value)``, published as one sorted document (``json_document``).
 """
 
 from __future__ import annotations
@@ -10,17 +8,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.schema import RAW_SESSION_SCHEMA
+from cartwheel.sources import json_document
 
 
 def write_report(metrics: DataFrame, path: str) -> None:
-    """A2: deterministic report — rows sorted by ``path`` key, one output file."""
-    metrics.orderBy("path").coalesce(1).write.mode("overwrite").json(path)
+    """A2: one JSON document, keys sorted, published by a rename."""
+    json_document.register(metrics.sparkSession)
+    metrics.select("path", "value").write.format(json_document.FORMAT).mode("overwrite").save(path)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """A3: read a report back (pick fields with ``filter(path = …)`` / dotted access)."""
-    return spark.read.json(path)
+    """A3: read a report back as one row; pick fields by dotted access (``validation.f1``)."""
+    return spark.read.option("multiLine", True).json(path)
 
 
 def record_to_long(record: DataFrame, prefix: str) -> DataFrame:
@@ -28,8 +27,3 @@ def record_to_long(record: DataFrame, prefix: str) -> DataFrame:
     cols = [c for c, t in record.dtypes if t in ("double", "bigint", "int")]
     long = record.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "metric", "value")
     return long.select(F.concat(F.lit(prefix + "."), F.col("metric")).alias("path"), "value")
-
-
-def read_sessions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A1: session CSV with header, every column as text (the contract types it)."""
-    return spark.read.option("header", True).schema(RAW_SESSION_SCHEMA).csv(path)

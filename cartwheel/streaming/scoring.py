@@ -6,6 +6,12 @@ typed and scored, invalid rows go to a reject sink with their reasons.  With
 no model every row is rejected as ``model is unavailable``.  Writes are
 idempotent per batch (dynamic partition overwrite on ``batch_id``), so a
 replayed batch after a failure replaces its own output.
+
+Requests that carry a time are told apart by request id within a watermark:
+a repeated id is scored once, also across batches.  The model is either given
+or looked up before each batch in a folder whose manifest names the current
+artifact (``ModelSlot``): a new manifest takes effect with the next batch, one
+that fails its gates leaves the model in use.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from cartwheel.operators.contract import request_violations, snake_name
 from cartwheel.schema import FEATURE_COLUMNS, SESSION_SCHEMA
 
 REQUEST_SCHEMA = "request_id string, body string"
+TIMED_REQUEST_SCHEMA = "request_id string, body string, ts timestamp"
 UNAVAILABLE = "model is unavailable"
 
 Scorer = Callable[[DataFrame], Column]
@@ -72,27 +79,73 @@ def _write(df: DataFrame, path: str, batch_id: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
+def once_per_request(requests: DataFrame, watermark: str) -> DataFrame:
+    """Each request id once within the watermark; requests without an id are told apart by time and body."""
+    own = F.sha2(F.concat_ws("|", F.col("ts").cast("string"), "body"), 256)
+    known = requests.withColumn("__id", F.coalesce(F.concat(F.lit("id:"), "request_id"), own))
+    return known.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["__id"]).select("request_id", "body")
+
+
+def publish_model(spark: SparkSession, folder: str, artifact: str) -> None:
+    """Name ``artifact`` as the folder's current model: one small JSON document, replaced by a rename."""
+    from cartwheel.sources.reports import write_report
+
+    write_report(spark.createDataFrame([("artifact", artifact)], "path string, value string"), f"{folder}/current.json")
+
+
+class ModelSlot:
+    """The current model of a folder, looked up anew before each batch.
+
+    ``current`` gives (model or None, threshold, version).  The artifact named by ``current.json`` is loaded through its
+    gates when the name changes; if it cannot be, the model in use stays, and ``problem`` says why.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, expected_features=None):
+        self.spark, self.folder, self.expected = spark, folder, expected_features
+        self.name, self.model, self.manifest, self.problem = None, None, {}, None
+
+    def current(self) -> tuple[object | None, float, str]:
+        from cartwheel.sources import artifacts
+
+        try:
+            name = self.spark.read.option("multiLine", True).json(f"{self.folder}/current.json").first()["artifact"]
+            if name != self.name:
+                self.model, self.manifest = artifacts.load_artifact(self.spark, name, self.expected)
+                self.name = name
+            self.problem = None
+        except Exception as error:  # noqa: BLE001 - a broken publication must not stop the stream
+            self.problem = f"{type(error).__name__}: {str(error)[:200]}"
+        return self.model, float(self.manifest.get("threshold") or 0.0), str(self.manifest.get("model_version") or "none")
+
+
 def start_scoring_stream(spark: SparkSession, source_dir: str, accepted_dir: str, rejected_dir: str,
-                         checkpoint_dir: str, scorer, threshold: float, version: str,
+                         checkpoint_dir: str, scorer, threshold: float = 0.0, version: str = "none",
                          *, available_now: bool = True, max_files_per_trigger: int | None = None,
-                         feature_names=FEATURE_COLUMNS):
+                         feature_names=FEATURE_COLUMNS, watermark: str | None = None):
     """Start the scoring query; returns the ``StreamingQuery``.
 
     ``scorer``: a fitted ``PipelineModel`` (scored on ``feature_names``), a Column scorer
-    (typed features → probability Column), or None (no model: every request rejected).
+    (typed features → probability Column), a ``ModelSlot`` (its manifest gives threshold, version and features),
+    or None (no model: every request rejected).  With ``watermark`` requests carry ``ts`` and repeated ids are dropped.
     """
-    reader = spark.readStream.schema(REQUEST_SCHEMA)
+    reader = spark.readStream.schema(TIMED_REQUEST_SCHEMA if watermark else REQUEST_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
+    if watermark:
+        stream = once_per_request(stream, watermark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = numbered(batch).persist()  # the same numbers for both sinks
+        model, limit, named, features = scorer, threshold, version, feature_names
         try:
-            if scorer is not None and hasattr(scorer, "transform"):
-                accepted, rejected = score_batch_with_model(batch, scorer, feature_names, threshold, version)
+            if isinstance(scorer, ModelSlot):
+                model, limit, named = scorer.current()
+                features = scorer.manifest.get("feature_names") or feature_names
+            if model is not None and hasattr(model, "transform"):
+                accepted, rejected = score_batch_with_model(batch, model, features, limit, named)
             else:
-                accepted, rejected = score_batch(batch, scorer, threshold, version)
+                accepted, rejected = score_batch(batch, model, limit, named)
             _write(accepted, accepted_dir, batch_id)
             _write(rejected, rejected_dir, batch_id)
         finally:

@@ -44,14 +44,40 @@ def test_champion_tie_goes_to_name(spark):
         K.champion(runs.drop("f1"))
 
 
-def test_report_round_trip_sorted(spark, tmpdir_path):
-    df = spark.createDataFrame([("z", 1.0), ("a", 2.0)], "path string, value double")
-    reports.write_report(df, f"{tmpdir_path}/r")
-    back = reports.read_report(spark, f"{tmpdir_path}/r").collect()
-    assert [r["path"] for r in back] == ["a", "z"]
-    import glob
-    text = open(glob.glob(f"{tmpdir_path}/r/part-*.json")[0]).read()
-    assert text == '{"path":"a","value":2.0}\n{"path":"z","value":1.0}\n'
+def test_report_is_one_sorted_document(spark, tmpdir_path):
+    """Byte for byte what the reference's own test expects of its report writer."""
+    path = f"{tmpdir_path}/deep/summary.json"
+    df = spark.createDataFrame([("z", 1), ("a", 2)], "path string, value long").repartition(2)
+    reports.write_report(df, path)
+    assert open(path).read() == '{\n  "a": 2,\n  "z": 1\n}\n'
+    assert reports.read_report(spark, path).collect()[0].asDict() == {"a": 2, "z": 1}
+    nested = spark.createDataFrame([("test.f1", 0.5), ("validation.f1", 0.75), ("test.auc", None)], "path string, value double")
+    reports.write_report(nested, f"file:{path}")
+    assert open(path).read() == '{\n  "test": {\n    "auc": null,\n    "f1": 0.5\n  },\n  "validation": {\n    "f1": 0.75\n  }\n}\n'
+    assert reports.read_report(spark, path).select("validation.f1").first()[0] == 0.75
+
+
+@pytest.mark.parametrize("rows", [[("a", 1), ("a", 2)], [("a", 1), ("a.b", 2)], [("x.y", 1), ("x", 2)]])
+def test_failed_report_leaves_the_old_document(spark, tmpdir_path, rows):
+    import os
+
+    path = f"{tmpdir_path}/r.json"
+    reports.write_report(spark.createDataFrame([("a", 7)], "path string, value long"), path)
+    with pytest.raises(Exception, match="twice|through a value"):
+        reports.write_report(spark.createDataFrame(rows, "path string, value long"), path)
+    assert open(path).read() == '{\n  "a": 7\n}\n' and os.listdir(tmpdir_path) == ["r.json"]
+
+
+def test_failing_task_aborts_the_report(spark, tmpdir_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    path = f"{tmpdir_path}/r.json"
+    bad = spark.range(4).select(F.col("id").cast("string").alias("path"), F.when(F.col("id") == 3, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("value"))
+    with pytest.raises(Exception, match="broken"):
+        reports.write_report(bad, path)
+    assert os.listdir(tmpdir_path) == []
 
 
 def test_value_counts_order(spark):
