@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.expr import r6
 from cartwheel.operators.joins import join_on
 from cartwheel.operators.running import bucket_count, quantile_bucket, running_sums
+from cartwheel.session import materialize
 
 N_BUCKETS = 16
 _G = "_all"
@@ -63,7 +64,8 @@ def pr_points(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "sc
               n_buckets: int | None = None) -> DataFrame:
     """H1: one row per (group, distinct score): pos, neg, tp, fp, P, N, precision, recall, f1."""
     scored, groups, added = _grouped(scored, groups)
-    pts = _counts(scored, groups, score, label)
+    # the points feed the cut points, the running sums and the totals: the rows are read once for all three
+    pts = materialize(_counts(scored, groups, score, label), "score-points")
     # bucket count grows with the cluster's shuffle width (cut points: one approxQuantile pass)
     nb = n_buckets or bucket_count(scored, N_BUCKETS)
     cum = running_sums(pts, bucket=quantile_bucket(pts, "score", nb, descending=True, rel_error=1.0 / (4 * nb)),
@@ -96,13 +98,17 @@ def fitted_threshold(points: DataFrame) -> float:
     return 0.5 if best is None or best["threshold"] is None else float(best["threshold"])
 
 
-def curve_summary(points: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
-    """H3 + H4: ROC-AUC and average precision per group from the point table; NULL where a group lacks the
-    class that the metric divides by.  Products of counts are doubles: P · N leaves BIGINT at 5e9 rows."""
+def _curve_fields() -> list[Column]:
+    """ROC-AUC and average precision as sums over points; NULL where a group lacks the class that the metric divides
+    by.  Products of counts are doubles: P · N leaves BIGINT at 5e9 rows."""
     d = lambda c: F.col(c).cast("double")
     auc = F.try_divide(F.sum(d("neg") * (2 * d("tp") - d("pos"))), 2.0 * F.first(d("P")) * F.first(d("N")))
-    ap = F.try_divide(F.sum(d("pos") * F.col("precision")), F.first(d("P")))
-    return points.groupBy(*groups).agg(auc.alias("roc_auc"), ap.alias("pr_auc"))
+    return [auc.alias("roc_auc"), F.try_divide(F.sum(d("pos") * F.col("precision")), F.first(d("P"))).alias("pr_auc")]
+
+
+def curve_summary(points: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """H3 + H4: ROC-AUC and average precision per group from the point table."""
+    return points.groupBy(*groups).agg(*_curve_fields())
 
 
 def at_threshold(scored: DataFrame, thresholds: DataFrame | float, *, groups: Sequence[str] = (),
@@ -132,18 +138,29 @@ def at_threshold(scored: DataFrame, thresholds: DataFrame | float, *, groups: Se
     return agg.select("*", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
 
 
+def _record_at_best(points: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """All fields at each group's F1-optimal threshold from one aggregate of the points: the best point carries its
+    counts, and the Brier score is a sum over points weighted by their rows."""
+    d = lambda c: F.col(c).cast("double")
+    brier = F.sum(d("pos") * F.pow(F.col("score") - 1.0, 2) + d("neg") * F.pow(F.col("score"), 2)) / F.sum(d("pos") + d("neg"))
+    best = F.max(F.struct("f1", (-F.col("score")).alias("neg_score"), "tp", "fp", "P", "N"))
+    r = points.groupBy(*groups).agg(best.alias("b"), brier.alias("brier_score"), *_curve_fields())
+    tp, fp, fn = F.col("b.tp"), F.col("b.fp"), F.col("b.P") - F.col("b.tp")
+    return r.select(*groups, (-F.col("b.neg_score")).alias("threshold"), "roc_auc", "pr_auc", "brier_score",
+                    F.when(tp + fp == 0, 0.0).otherwise(tp / (tp + fp)).alias("precision"), F.when(tp + fn == 0, 0.0).otherwise(tp / (tp + fn)).alias("recall"),
+                    F.when(2 * tp + fp + fn == 0, 0.0).otherwise(2 * tp / (2 * tp + fp + fn)).alias("f1"),
+                    (F.col("b.N") - fp).alias("true_negative"), fp.alias("false_positive"), fn.alias("false_negative"), tp.alias("true_positive"))
+
+
 def metric_record(scored: DataFrame, *, groups: Sequence[str] = (), score: str = "score", label: str = "label",
                   threshold: float | DataFrame | None = None) -> DataFrame:
     """H7: the 10-field metric record per group (+ threshold).  Threshold defaults to H2's."""
     scored, groups, added = _grouped(scored, groups)
-    pts = pr_points(scored, groups=groups, score=score, label=label)
-    th = f1_threshold(pts, groups) if threshold is None else threshold
-    if added and isinstance(th, DataFrame):
-        row = th.first()
-        th = 0.5 if row is None or row["threshold"] is None else float(row["threshold"])  # one number
-    at = at_threshold(scored, th, groups=groups, score=score, label=label)
-    curve = curve_summary(pts, groups)
-    j = _attach(at, curve, groups, added)
+    pts = pr_points(scored.where(F.col(score).isNotNull()), groups=groups, score=score, label=label)
+    if threshold is None:
+        j = _record_at_best(pts, groups)
+    else:
+        j = _attach(at_threshold(scored, threshold, groups=groups, score=score, label=label), curve_summary(pts, groups), groups, added)
     out = j.select(
         *groups, r6(F.col("threshold")).alias("threshold"),
         r6(F.col("roc_auc")).alias("roc_auc"), r6(F.col("pr_auc")).alias("pr_auc"),

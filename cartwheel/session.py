@@ -53,29 +53,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _tables_folder(spark: SparkSession) -> str:
+    """Where this application's materialised tables lie in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cartwheel-tables/{spark.sparkContext.applicationId}"
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts lineage like ``checkpoint()`` (the table lives in the cluster's shared
     ``spark.checkpoint.dir``, so it survives executor loss) and keeps the
-    downstream plans small.  Each call writes a new folder.
+    downstream plans small.  Each call writes a new folder; ``discard`` deletes
+    one that nothing reads any more, ``release_tables`` all that are left.
     """
     import uuid
 
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/cartwheel-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def discard(*tables) -> None:
     """Delete tables of ``materialize`` that nothing will read again."""
     for df in tables:
-        sc = df.sparkSession.sparkContext
         for folder in {os.path.dirname(f) for f in df.inputFiles()}:
             if "/cartwheel-tables/" in folder:
-                path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+                _delete(df.sparkSession, folder)
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Delete every table that this application has materialised, at the end of a job: results must be written by then."""
+    _delete(spark, _tables_folder(spark))
 
 
 def concurrently(jobs, parallelism: int = 4) -> list:
