@@ -58,7 +58,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id
 
         loose = unit  # number of the bundle that is being filled
         unit += 1
-        for b in slices(batches):
+        for b in slices(batches, most=8 << 20):  # the more words, the oftener each distinct one
             for key, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist()), strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):

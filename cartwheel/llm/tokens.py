@@ -11,15 +11,18 @@ character, so that fewer words are distinct.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct words, and distinct pieces of words, that a Python worker keeps; all are forgotten when there would be more.
-WORDS_KEPT = 900_000
+#: Distinct pieces of words in each of the two generations that a Python worker keeps (some 200 bytes each), and those of one batch.
+WORDS_KEPT = 300_000
 _CHUNK = 20_000
 
 
@@ -89,8 +92,36 @@ def byte_symbols() -> dict[int, str]:
 _SHOWN = byte_symbols()
 
 
+def _latin_class(kind: str) -> str:
+    """The Latin-1 characters of a Unicode category (L or N), lower case only, as they stand in a character class."""
+    return "".join(c for c in map(chr, range(0x100)) if unicodedata.category(c)[0] == kind and c == c.lower())
+
+
+_LETTER, _NUMBER = _latin_class("L"), _latin_class("N")
+#: The file's split pattern for words of printable lower-case Latin-1, one word a line; line ends come along.
+_LINES = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\n{_LETTER}{_NUMBER}]+")
+#: White space that is dropped, and printable Latin-1.
+_PLAIN = bytes([*range(9, 14), *range(32, 127), *range(161, 256)])
+_LINE_END = 0xFFFFFFFF
+#: Words whose ids are put together at a time.
+_AT_ONCE = 1 << 19
+
+
+def _is_plain(text: str) -> bool:
+    """Whether the text may be put to lower case and cut by ``_LINES``."""
+    try:
+        return not text.encode("latin-1").translate(None, _PLAIN) and "<|" not in text
+    except UnicodeEncodeError:
+        return False
+
+
 class WordEncoder:
-    """Whole texts to ids (as little-endian unsigned 32-bit bytes), by the tokenizers library."""
+    """Whole texts to ids (as little-endian unsigned 32-bit bytes), by the tokenizers library.
+
+    The distinct words of all plain texts of a call are cut into pieces by one pattern, other texts word by word; each distinct piece
+    is merged by the library once, and the ids of words are copied to the places where they occur.  Two generations of
+    pieces are kept: when the younger one is full the older one is forgotten, but for what has been used since.
+    """
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
         self.pieces = Pieces(path)
@@ -100,35 +131,72 @@ class WordEncoder:
         self.model.normalizer = None
         self.model.pre_tokenizer = None
         self.kept = kept
-        self.words: dict[bytes, bytes] = {}
         self.known: dict[str | int, bytes] = {}
-
-    def _learn(self, fresh: set[bytes]) -> None:
-        cuts = [self.pieces(w.decode()) for w in fresh]
-        new = {p for ps in cuts for p in ps}
-        if len(self.known) + len(new) > self.kept:
-            self.known.clear()
-        known = self.known
-        known.update((p, p.to_bytes(4, "little")) for p in new if isinstance(p, int))
-        new = [p for p in new if p not in known]
+        self.older: dict[str | int, bytes] = {}
+
+    def _learn(self, pieces: list[str | int], marked: bool) -> None:
+        """Make all pieces known.  They are Latin-1 text; in ``marked`` ones those after a NUL are in the byte-level alphabet."""
+        if len(self.known) > self.kept:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        fresh = set(pieces).difference(known)
+        again = {p for p in fresh if p in older}
+        known.update((p, older[p]) for p in again)
+        fresh -= again
+        known.update((p, p.to_bytes(4, "little")) for p in fresh if isinstance(p, int))
+        new = [p for p in fresh if not isinstance(p, int)]
         for i in range(0, len(new), _CHUNK):
             part = new[i:i + _CHUNK]
-            got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
+            if marked:
+                shown = [p[1:] if p[0] == "\0" else p for p in part]
+            else:
+                shown = [p if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN) for p in part]
+            got = self.model.encode(shown, is_pretokenized=True, add_special_tokens=False)
             data = np.array(got.ids, dtype="<u4").tobytes()
             at = (np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1)) * 4).tolist()
             known.update((p, data[s:e]) for p, s, e in zip(part, at, at[1:], strict=False))
-        self.words.update((w, known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])) for w, ps in zip(fresh, cuts, strict=True))
+        known["\n"] = _LINE_END.to_bytes(4, "little")
+
+    def _ids(self, pieces: list[str | int], marked: bool = False) -> bytes:
+        self._learn(pieces, marked)
+        return b"".join(map(self.known.__getitem__, pieces))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [split_words(t) for t in texts]
-        fresh = {w for ws in split for w in ws if w not in self.words}
-        if len(self.words) + len(fresh) > self.kept:
-            self.words.clear()
-            fresh = {w for ws in split for w in ws}
-        if fresh:
-            self._learn(fresh)
-        of = self.words.__getitem__
-        return [b"".join(map(of, ws)) for ws in split]
+        out, plain = [b""] * len(texts), []
+        for i, t in enumerate(texts):
+            if t and _is_plain(t):
+                plain.append(i)
+            elif t:
+                cut = (p for w in split_words(t) for p in self.pieces(w.decode()))
+                out[i] = self._ids([p if isinstance(p, int) or p.isascii() and p[0] != "\0" else "\0" + p for p in cut], marked=True)
+        if plain:
+            found, ends = self._plain([texts[i].lower() for i in plain])
+            for i, s, e in zip(plain, ends, ends[1:], strict=False):
+                out[i] = found[s:e].tobytes()
+        return out
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """All ids of the texts, and where each text's begin."""
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        flat = np.frombuffer(self._ids(_LINES.findall("\n".join(coded.dictionary.to_pylist()))), "<u4")
+        stops = np.append(np.flatnonzero(flat == _LINE_END), len(flat))
+        starts = np.append(0, stops[:-1] + 1)
+        word = np.asarray(coded.indices)
+        sizes = (stops - starts)[word]
+        ends = np.append(0, np.cumsum(sizes))
+        ids = np.empty(ends[-1], dtype="<u4")
+        for a in range(0, len(word), _AT_ONCE):
+            b = min(a + _AT_ONCE, len(word))
+            n = sizes[a:b]
+            # from one id to the next the place moves by one, and to a word's first id by the way from the last of the word before
+            step = np.ones(ends[b] - ends[a], dtype=np.int32)
+            some = np.flatnonzero(n)
+            if len(some):
+                first = starts[word[a:b][some]]
+                step[(ends[a:b] - ends[a])[some]] = first - np.append(0, (first + n[some] - 1)[:-1])
+                ids[ends[a]:ends[b]] = flat[np.cumsum(step, dtype=np.int32)]
+        return ids, ends[np.asarray(lists.offsets)].tolist()
 
 
 _encoders: dict[str, WordEncoder] = {}
