@@ -358,7 +358,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, digest: bool = False, mos
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicate(documents(spark, sf_dir), digest=True)
+    """The contract's columns, and whether anything was removed."""
+    return deduplicate(documents(spark, sf_dir), digest=True).withColumn("has_repeat", F.col("n_removed") > 0)
 
 
 QUERIES = {"op5_suffix_dedup": op5_suffix_dedup}
