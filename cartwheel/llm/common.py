@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import shutil
@@ -35,9 +37,23 @@ def ship(spark: SparkSession) -> None:
 
 
 def mapped(df: DataFrame, f: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with the package at hand in the tasks."""
+    """``df.mapInArrow`` with the package at hand in the tasks.  A worker gives back the memory that a task has used, so
+    that idle workers of an executor stay small."""
     ship(df.sparkSession)
-    return df.mapInArrow(f, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # of the C library; others keep what they have
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 #: While a table is written: rows may hold large binaries, so batches are bounded by bytes rather than rows.
@@ -92,15 +108,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut record batches into runs of rows with at most ``most`` bytes in ``column`` (one row at least),
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Cut record batches into runs of at most ``rows`` rows with at most ``most`` bytes in ``column`` (one row at least),
     so that the arrays made from a run stay small whatever the batch size is."""
     for batch in batches:
         n, start = batch.num_rows, 0
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         total = 0
         for i, size in enumerate(sizes):
-            if i > start and total + size > most:
+            if i > start and (total + size > most or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += size

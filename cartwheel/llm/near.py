@@ -7,8 +7,13 @@
    The rest (texts once each) get improved consistent weighted samples, which are banded.
 3. A band's bucket links its members to its most common one.  Links are verified by weighted Jaccard
    similarity.  Members that this leaves in different classes are then compared with each other as far as
-   exact bounds on their weights, and the triangle inequality over the bucket's leader, allow a link.
+   exact bounds on their weights, and the triangle inequality over the bucket's leader, allow a link: a bucket's
+   members are cut into blocks, and one row per pair of blocks holds both blocks' vectors, so that only links are
+   ever rows.
 4. Classes are the connected components of verified links.
+
+A shingle weighs (1 + ln tf) · idf.  Frequencies tf and df up to 128 count exactly, larger ones are rounded to one of 2.25 steps
+an octave (within a sixth), so that each is one byte at any size.
 """
 
 from __future__ import annotations
@@ -32,11 +37,15 @@ BANDS, ROWS = 16, 4
 #: idf runs from 1 (in every text) to 1 + IDF_SPAN (in one).  With a plain logarithm one edited word would outweigh ten
 #: words of a frequent text, and copies in a large group would fall below the similarity their words have.
 IDF_SPAN = 0.1
-#: Frequencies up to EXACT have a code each; beyond, a code covers an eighth of an octave.
-EXACT = 128
+#: Frequencies up to EXACT have a code each; beyond, there are STEPS codes to an octave: 255 stands for 2^63.
+EXACT, STEPS = 128, 2.25
 _WORDS_KEPT = 300_000
 #: Bytes of text whose shingles travel together.
 SLICE = 1 << 20
+#: Bytes of input per bucket of shingles, by Spark's estimate of the table's size.
+BUCKET_BYTES = 8 << 20
+#: Members, and bytes of vectors, of a block of a bucket.
+BLOCK, BLOCK_BYTES = 256, 4 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ROW = ("pid int, slice long, kind int, bucket int, a binary, b binary, c binary, doc_ids array<long>, keys binary, sizes array<int>")
 
@@ -69,13 +78,22 @@ class Shingler:
 
 
 def code_of(df: np.ndarray) -> np.ndarray:
-    over = EXACT + np.round(8 * np.log2(np.maximum(df, EXACT) / EXACT))
+    over = EXACT + np.round(STEPS * np.log2(np.maximum(df, EXACT) / EXACT))
     return np.where(df <= EXACT, df, np.minimum(over, 255)).astype(np.uint8)
 
 
-def idf_table(n: int) -> np.ndarray:
+def _decoded() -> np.ndarray:
+    """The frequency that each code stands for."""
     codes = np.arange(256)
-    df = np.where(codes <= EXACT, np.maximum(codes, 1), EXACT * 2.0 ** ((codes - EXACT) / 8))
+    return np.where(codes <= EXACT, np.maximum(codes, 1), EXACT * 2.0 ** ((codes - EXACT) / STEPS))
+
+
+#: 1 + ln tf by code.
+TF_WEIGHT = 1 + np.log(_decoded())
+
+
+def idf_table(n: int) -> np.ndarray:
+    df = _decoded()
     return 1 + IDF_SPAN * np.maximum(0, np.log(max(n, 2) / df)) / math.log(max(n, 2))
 
 
@@ -88,12 +106,13 @@ def _frequencies(docs: DataFrame, bits: int) -> DataFrame:
     """Per slice of documents: its directory (kind 1) and, per bucket, codes of its distinct shingles (kind 0)."""
     buckets = 1 << bits
     shift = np.uint64(64 - bits)
+    size = max(SLICE, buckets << 11)  # so that a slice's part for a bucket is not much smaller than a row's overhead
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, number = Shingler(), TaskContext.get().partitionId() << 32
         schema = pa.schema([("pid", pa.int32()), ("slice", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()),
                             ("b", pa.binary()), ("c", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("keys", pa.binary()), ("sizes", pa.list_(pa.int32()))])
-        for batch in slices(batches, most=SLICE):
+        for batch in slices(batches, most=size, rows=0xFFFF):  # a slice's frequencies fit 16 bits
             keys, sets, counts = zip(*[cut((t or "").encode("utf-8", "replace")) for t in batch.column("text").to_pylist()], strict=True)
             distinct, inverse, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
             edges = np.searchsorted(distinct >> shift, np.arange(buckets + 1, dtype=np.uint64)).tolist()
@@ -106,7 +125,7 @@ def _frequencies(docs: DataFrame, bits: int) -> DataFrame:
             starts = starts[starts < len(steps)]
             steps[starts] = inverse[starts]
             rows.append((number % buckets, number, 1, 0, (steps & 0xFFFF).astype("<u2").tobytes(), (steps >> 16).astype("<u2").tobytes(),
-                         np.minimum(np.concatenate(counts), 255).astype(np.uint8).tobytes(), batch.column("doc_id").to_pylist(),
+                         code_of(np.concatenate(counts)).tobytes(), batch.column("doc_id").to_pylist(),
                          b"".join(keys), [len(s) for s in sets]))
             for i in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + 64], strict=True), schema, strict=True)], schema=schema)
@@ -167,7 +186,7 @@ def _vectors(codes: DataFrame, n_docs: int, buckets: int) -> DataFrame:
                     place = np.cumsum(steps[at:at + size])
                     c, t = code[place], tf[at:at + size]
                     at += size
-                    w = (1 + np.log(t)) * idf[c]
+                    w = TF_WEIGHT[t] * idf[c]
                     many = c > 1
                     vec = [None, None, None, None]
                     if size and w[many].sum() >= SIMILARITY * w.sum():
@@ -232,8 +251,8 @@ def _signatures(texts: DataFrame, n_docs: int) -> DataFrame:
             out = []
             for r in batch.to_pylist():
                 h, c = np.frombuffer(r["hashes"], "<u8"), np.frombuffer(r["codes"], np.uint8)
-                w = (1 + np.log(np.frombuffer(r["times"], np.uint8))) * idf[c]
-                lone = (1 + np.log(np.frombuffer(r["alone"], np.uint8))) * idf[1]
+                w = TF_WEIGHT[np.frombuffer(r["times"], np.uint8)] * idf[c]
+                lone = TF_WEIGHT[np.frombuffer(r["alone"], np.uint8)] * idf[1]
                 total = float(w.sum() + lone.sum())
                 # a shingle of other texts occurs in more documents than this text has copies
                 own = int(code_of(np.array([r["copies"]]))[0])
@@ -302,16 +321,66 @@ def links(texts: DataFrame) -> DataFrame:
     known = known.withColumn("lead_key", F.col("lead.key")).join(to_lead, ["lead_key", "key"], "left")
     known = known.withColumn("far", F.when(F.col("key") == F.col("lead_key"), 0.0).otherwise(1 - F.col("similarity")))
     split = known.groupBy("band", "hash").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("band", "hash")
-    left = materialize(known.join(split, ["band", "hash"]).select("band", "hash", "bands", "key", "weight", "shared", "root", "far",
-                                                                  (F.col("key") == F.col("lead_key")).alias("leads")), "near-left")
-    x, y = left.alias("x"), left.alias("y")
-    # a pair that meets in several bands is taken in the first
-    first_band = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), F.lit(True)) == F.col("x.band") + 1
-    apart = F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= 1 - SIMILARITY + 1e-6, F.lit(True))
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.hash") == F.col("y.hash")) & (F.col("x.key") < F.col("y.key"))
-                  & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y") & first_band & apart & ~F.col("x.leads") & ~F.col("y.leads"))
-    second = _verified(rest.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")), texts)
-    return materialize(good.unionByName(second.where(F.col("similarity") >= slack).select("a", "b")), "near-all-links")
+    left = known.where(F.col("key") != F.col("lead_key")).join(split, ["band", "hash"]).select("band", "hash", "bands", "key", "weight", "shared", "root", "far")
+    left = materialize(left.join(texts.select("key", "hashes", "weights"), "key"), "near-left")
+    second = mapped(_block_pairs(left), _compared, "a binary, b binary, similarity double")
+    return materialize(good.unionByName(second.where(F.col("similarity") >= slack).select("a", "b").distinct()), "near-all-links")
+
+
+def _block_pairs(left: DataFrame) -> DataFrame:
+    """Members of a bucket in blocks by hash of the key, and one row for each two blocks of a bucket (or one with
+    itself): band, one (whether it is one block), x, y (the members)."""
+    sizes = left.groupBy("band", "hash").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("hashes")) / BLOCK_BYTES)).alias("blocks"))
+    member = F.struct("key", "weight", "shared", "root", "far", "bands", "hashes", "weights")
+    blocks = left.join(sizes, ["band", "hash"]).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    blocks = materialize(blocks.groupBy("band", "hash", "block").agg(F.collect_list(member).alias("m")), "near-blocks")  # a block is bounded
+    x, y = blocks.alias("x"), blocks.alias("y")
+    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.hash") == F.col("y.hash")) & (F.col("x.block") <= F.col("y.block")))
+    return met.select(F.col("x.band").alias("band"), (F.col("x.block") == F.col("y.block")).alias("one"), F.col("x.m").alias("x"), F.col("y.m").alias("y"))
+
+
+class _Block:
+    def __init__(self, members: list[dict], roots: dict[bytes, int]):
+        members = sorted(members, key=lambda m: m["key"])
+        self.keys = [m["key"] for m in members]
+        self.weight, self.shared, self.far = (np.array([m[c] if m[c] is not None else np.nan for m in members], dtype=np.float64) for c in ("weight", "shared", "far"))
+        self.bands = np.array([m["bands"] for m in members], dtype=np.int64).reshape(len(members), BANDS)
+        self.root = np.array([roots.setdefault(m["root"], len(roots)) for m in members])
+        self.hashes = [np.frombuffer(m["hashes"], "<u8") for m in members]
+        self.weights = [np.frombuffer(m["weights"], "<f4").astype(np.float64) for m in members]
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the members of two blocks, as far as bounds allow them and no earlier band compares them."""
+    need = SIMILARITY / (1 + SIMILARITY)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            band, one, mx, my = (batch.column(c)[i].as_py() for c in ("band", "one", "x", "y"))
+            roots: dict[bytes, int] = {}
+            x = _Block(mx, roots)
+            y = x if one else _Block(my, roots)
+            may = x.root[:, None] != y.root[None]
+            may &= np.minimum(x.shared[:, None], y.shared[None]) + 1e-6 >= need * (x.weight[:, None] + y.weight[None])
+            may &= ~(np.abs(x.far[:, None] - y.far[None]) > 1 - SIMILARITY + 1e-6)  # an unknown distance allows all
+            may &= ~(x.bands[:, None, :band] == y.bands[None, :, :band]).any(axis=2)
+            if one:
+                may = np.triu(may, 1)
+            a, b, s = [], [], []
+            for p in np.flatnonzero(may.any(axis=1)).tolist():
+                others = np.flatnonzero(may[p]).tolist()
+                hs, ws = np.concatenate([y.hashes[q] for q in others]), np.concatenate([y.weights[q] for q in others])
+                own = x.hashes[p]
+                at = np.minimum(np.searchsorted(own, hs), len(own) - 1)
+                both = np.where(own[at] == hs, np.minimum(x.weights[p][at], ws), 0.0)
+                sizes = np.array([len(y.hashes[q]) for q in others])
+                common = np.add.reduceat(both, np.cumsum(sizes) - sizes)
+                like = common / (x.weight[p] + y.weight[others] - common)
+                for k in np.flatnonzero(like >= SIMILARITY - 1e-6).tolist():
+                    a.append(x.keys[p])
+                    b.append(y.keys[others[k]])
+                    s.append(float(like[k]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(s, pa.float64())], ["a", "b", "similarity"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -322,11 +391,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``n_links`` counts the verified links of the text to other texts.  A text of fewer than five words is one shingle.
     Repeated rows are in one class, an empty table gives an empty one.
     """
-    bits = max(4, (partitions(docs.sparkSession) - 1).bit_length())
-    codes = _frequencies(docs, min(bits, 16))
+    spark = docs.sparkSession
+    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = max(partitions(spark), min(estimate, 1 << 60) // BUCKET_BYTES)  # as the table grows, a bucket does not
+    bits = min(16, max(4, (wanted - 1).bit_length()))
+    codes = _frequencies(docs, bits)
     release(docs.sparkSession)
     n_docs = codes.where("kind = 1").agg(F.sum(F.size("doc_ids")).alias("n")).first().n or 0
-    rows = _vectors(codes, n_docs, 1 << min(bits, 16))
+    rows = _vectors(codes, n_docs, 1 << bits)
     discard(codes)
     release(docs.sparkSession)
     ids = rows.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))

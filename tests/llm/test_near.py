@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from cartwheel.llm import near
 from cartwheel.llm.components import components
@@ -89,6 +90,40 @@ def test_large_group_of_edited_copies(spark):
     assert any(len(c) > 100 for c in want)
 
 
+@pytest.mark.parametrize("block", [256, 16])
+def test_dense_cloud_below_the_similarity(spark, monkeypatch, block):
+    """Copies with so many edits that most are less than 0.8 alike: no link is lost, and only blocks are joined."""
+    monkeypatch.setattr(near, "BLOCK", block)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [rng.choice(vocabulary) for _ in range(110)]
+    pool = [rng.choice(vocabulary) for _ in range(12)]
+    rows = []
+    for i in range(500):
+        w = list(base)
+        for _ in range(3):
+            w[rng.randrange(4) * 25 + rng.randrange(3)] = rng.choice(pool)
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    joined = []
+    pairs = near._block_pairs
+    monkeypatch.setattr(near, "_block_pairs", lambda left: joined.append((left.count(), pairs(left).count())) or pairs(left))
+    got = {r.doc_id: r for r in near.near_duplicates(docs).collect()}
+    assert partition(got, [r.class_id for r in got.values()]) == partition(range(500), classes([t for _, t in rows]))
+    ((members, rows_joined),) = joined
+    assert rows_joined <= members if block == 256 else rows_joined <= members * (500 // block + 2)
+
+
+def test_codes_have_no_end():
+    df = np.array([1, 2, 128, 129, 1000, 7_700_000, 10 ** 9, 10 ** 12, 2 ** 62])
+    codes = near.code_of(df)
+    assert (np.diff(codes.astype(int)) >= 0).all() and codes[-1] > codes[-2] > codes[-3] > codes[-4]
+    assert np.abs(np.log2(near._decoded()[codes] / df)).max() <= 0.5 / near.STEPS + 1e-9
+    assert near.TF_WEIGHT.dtype == np.float64
+    idf = near.idf_table(10 ** 12)
+    assert idf[near.code_of(np.array([10 ** 12]))[0]] < idf[near.code_of(np.array([10 ** 8]))[0]] < idf[1]
+
+
 def test_awkward(spark, awkward, nothing):
     rows = near.near_duplicates(awkward).collect()
     assert len(rows) == len(AWKWARD)
