@@ -42,8 +42,8 @@ EXACT, STEPS = 128, 2.25
 _WORDS_KEPT = 300_000
 #: Bytes of text whose shingles travel together.
 SLICE = 1 << 20
-#: Bytes of input per bucket of shingles, by Spark's estimate of the table's size.
-BUCKET_BYTES = 8 << 20
+#: Bytes of text per bucket of shingles.
+BUCKET_BYTES = 16 << 20
 #: Members, and bytes of vectors, of a block of a bucket.
 BLOCK, BLOCK_BYTES = 256, 4 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -346,8 +346,10 @@ class _Block:
         self.weight, self.shared, self.far = (np.array([m[c] if m[c] is not None else np.nan for m in members], dtype=np.float64) for c in ("weight", "shared", "far"))
         self.bands = np.array([m["bands"] for m in members], dtype=np.int64).reshape(len(members), BANDS)
         self.root = np.array([roots.setdefault(m["root"], len(roots)) for m in members])
-        self.hashes = [np.frombuffer(m["hashes"], "<u8") for m in members]
-        self.weights = [np.frombuffer(m["weights"], "<f4").astype(np.float64) for m in members]
+        hashes = [np.frombuffer(m["hashes"], "<u8") for m in members]
+        order = [np.argsort(h) for h in hashes]
+        self.hashes = [h[o] for h, o in zip(hashes, order, strict=True)]
+        self.weights = [np.frombuffer(m["weights"], "<f4")[o].astype(np.float64) for m, o in zip(members, order, strict=True)]
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,9 +393,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``n_links`` counts the verified links of the text to other texts.  A text of fewer than five words is one shingle.
     Repeated rows are in one class, an empty table gives an empty one.
     """
-    spark = docs.sparkSession
-    estimate = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    wanted = max(partitions(spark), min(estimate, 1 << 60) // BUCKET_BYTES)  # as the table grows, a bucket does not
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    wanted = max(partitions(docs.sparkSession), size // BUCKET_BYTES)  # as the table grows, a bucket does not
     bits = min(16, max(4, (wanted - 1).bit_length()))
     codes = _frequencies(docs, bits)
     release(docs.sparkSession)
