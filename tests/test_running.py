@@ -25,3 +25,25 @@ def test_row_numbers_dense_and_repartition_invariant(spark):
     b = row_numbers(df.repartition(17), bucket=hex_prefix_bucket(F.col("h")), order=[F.col("h")])
     assert sorted(r["rn"] for r in a.collect()) == list(range(1, 1001))
     assert a.join(b, ["id", "h", "rn"]).count() == 1000
+
+
+def test_materialised_tables_can_be_deleted(spark):
+    import os
+
+    from cartwheel import session
+
+    one, two = (session.materialize(spark.range(n), "t") for n in (3, 0))
+    folder = os.path.dirname(one.inputFiles()[0]).removeprefix("file://").removeprefix("file:")
+    assert (one.count(), two.count(), two.columns) == (3, 0, ["id"]) and os.path.isdir(folder)
+    session.discard(one)
+    assert not os.path.exists(folder)
+    top = session._tables_folder(spark).removeprefix("file:")
+    assert os.listdir(top)
+    session.release_tables(spark)
+    assert not os.path.exists(top)
+
+
+def test_jobs_run_concurrently_in_order(spark):
+    from cartwheel.session import concurrently
+
+    assert concurrently([lambda n=n: spark.range(n).count() for n in (5, 1, 3)], 3) == [5, 1, 3]
