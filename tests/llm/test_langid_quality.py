@@ -128,30 +128,44 @@ def test_chi_square():
     assert math.isclose(quality.chi2_limit(0.975, 5), 12.8325, abs_tol=1e-3)
 
 
-def test_outliers_among_ordinary_texts(spark):
-    rng = random.Random(2)
+def _texts(rng, n, sizes, odd):
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
     rows = []
-    for i in range(900):
-        words = [word() for _ in range(rng.randrange(30, 200))]
-        odd = i % 10 == 0
-        if odd:
-            words = [w.upper() + "$$" for w in words] if i % 20 else [w * 4 + " | " for w in words]
-        rows.append((i, " ".join(words), "en" if i % 3 else None, f"s{i % 4}"))
+    for i in range(n):
+        words = [word() for _ in range(rng.randrange(*sizes))]
+        rows.append((i, " ".join(odd(i, words) or words), "en" if i % 3 else None, f"s{i % 4}"))
+    return rows
+
+
+def test_outliers_among_ordinary_texts(spark):
+    odd = lambda i, words: None if i % 10 else [w.upper() + "$$" for w in words] if i % 20 else [w * 4 + " | " for w in words]
+    rows = _texts(random.Random(2), 900, (30, 200), odd)
     got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
     odd = [r for r in got if r.doc_id % 10 == 0]
     assert sum(r.kept for r in odd) <= 0.05 * len(odd)
     assert [r.doc_id for r in got if r.doc_id % 10 and not r.kept] == []
 
 
+def test_short_outliers_are_rejected_and_short_ordinary_texts_kept(spark):
+    """Texts of 10 to 30 words: capitals, a symbol after every word, long words."""
+    kinds = (lambda w: w.upper(), lambda w: w + "#", lambda w: w * 4)
+    odd = lambda i, words: [kinds[i // 10 % 3](w) for w in words] if i % 10 == 0 else None
+    rows = _texts(random.Random(3), 1500, (10, 31), odd) + [(10_000 + i, t, x, s) for i, t, x, s in _texts(random.Random(4), 900, (60, 200), lambda i, w: None)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    for k in range(3):
+        some = [r for r in got if r.doc_id < 10_000 and r.doc_id % 10 == 0 and r.doc_id // 10 % 3 == k]
+        assert sum(not r.kept for r in some) >= 0.85 * len(some), k
+    assert sum(not r.kept for r in got if r.doc_id >= 10_000 or r.doc_id % 10) <= 2
+
+
 def test_estimate_against_numpy(spark):
     """The same steps on one group in numpy, with exact quantiles to the histogram's step."""
     rng = np.random.default_rng(4)
     x = rng.normal(0, 1, (2000, quality.P)) * 0.2 + [5, 0.1, 0.2, 0.2, 0.1]
     x[:300] += 3
-    stats = spark.createDataFrame([("g", *map(float, r)) for r in x], "grp string, " + ", ".join(f"x{i} double" for i in range(quality.P)))
+    stats = spark.createDataFrame([("g", *map(float, r), *[0.0] * quality.P) for r in x], "grp string, " + ", ".join(f"{c}{i} double" for c in "xv" for i in range(quality.P)))
     est = quality.estimates(stats).first()
     clean = x[300:]
     assert np.abs(np.array(est.mean) - clean.mean(axis=0)).max() < 0.03
-    cov = np.linalg.inv(np.array(est.inverse).reshape(quality.P, quality.P)) - np.diag(np.square(list(quality.STATS.values())))
+    cov = np.array(est.covariance).reshape(quality.P, quality.P) - np.diag(np.square(list(quality.STATS.values())))
     assert np.abs(cov - np.cov(clean.T)).max() < 0.01
