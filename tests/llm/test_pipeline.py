@@ -67,7 +67,7 @@ def test_stages_on_awkward_rows(spark, awkward, nothing):
 def test_registered():
     names = __spark_entry__.queries()
     numbers = Counter(n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit())
-    assert numbers == {f"op{k}": 1 for k in range(1, 11)} and "pipeline" in names
+    assert numbers == {f"op{k}": 1 for k in range(1, 14)} and "pipeline" in names
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     assert corpus_pipeline.ORACLE_SQL is None and "op7_revisits" in __spark_entry__.oracle_sql()
 
