@@ -33,22 +33,34 @@ from cartwheel.session import ensure_checkpoint_dir
 MAGIC = b"FRV1"
 BLOCK_IDS = 1 << 20
 END_ID = 2
+#: Ids below are counted in an array of all ids up to the greatest.
+DENSE = 1 << 20
 #: Bytes of each of the four ranks behind a control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 
 
 def pack(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     """One block's payload from all its ids and the number of ids of each document."""
-    distinct, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    by_rank = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(distinct), dtype=np.uint32)
-    rank[by_rank] = np.arange(len(distinct), dtype=np.uint32)
-    r = rank[inverse]
+    if len(ids) and int(ids.max()) < DENSE:
+        counts = np.bincount(ids)  # no sorting of all ids
+        distinct = np.flatnonzero(counts)
+        by_rank = np.argsort(-counts[distinct], kind="stable")
+        rank = np.empty(len(counts), dtype=np.uint32)
+        rank[distinct[by_rank]] = np.arange(len(distinct), dtype=np.uint32)
+        r = rank[ids]
+    else:
+        distinct, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        by_rank = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(distinct), dtype=np.uint32)
+        rank[by_rank] = np.arange(len(distinct), dtype=np.uint32)
+        r = rank[inverse]
     lengths = 1 + (r > 0xFF).astype(np.int64) + (r > 0xFFFF) + (r > 0xFFFFFF)
     ends = np.cumsum(lengths)
     data = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
     for k in range(4):
         some = lengths > k
+        if not some.any():
+            break
         data[(ends - lengths)[some] + k] = (r[some] >> (8 * k)) & 0xFF
     codes = np.zeros(-(-len(r) // 4) * 4, dtype=np.uint8)
     codes[:len(r)] = lengths - 1
