@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm.common import documents, mapped, slices
+from cartwheel.llm.common import documents, mapped, slices, worker_cache
 from cartwheel.llm.tokens import Pieces, byte_symbols, split_words, vocabulary_path
 
 #: Distinct words a Python worker keeps, pieces of words, and checked pairs of tokens.
@@ -174,7 +174,7 @@ def closed(piece: str) -> str:
     return text[:-1] + chr(ord(text[-1]) + 256)
 
 
-_coders: dict[str, TrieBpe] = {}
+_coders: dict[str, TrieBpe] = worker_cache()
 
 
 def coder(path: str) -> TrieBpe:

@@ -20,9 +20,11 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
+from cartwheel.llm.common import worker_cache
+
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct pieces of words in each of the two generations that a Python worker keeps (some 200 bytes each), and those of one batch.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 _CHUNK = 20_000
 
 
@@ -103,8 +105,8 @@ _LINES = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\n{
 #: White space that is dropped, and printable Latin-1.
 _PLAIN = bytes([*range(9, 14), *range(32, 127), *range(161, 256)])
 _LINE_END = 0xFFFFFFFF
-#: Words whose ids are put together at a time.
-_AT_ONCE = 1 << 19
+#: Distinct words of plain texts that a Python worker keeps with their ids (some 40 bytes each), and those of one batch.
+WORDS_STORED = 1_000_000
 
 
 def _is_plain(text: str) -> bool:
@@ -118,8 +120,9 @@ def _is_plain(text: str) -> bool:
 class WordEncoder:
     """Whole texts to ids (as little-endian unsigned 32-bit bytes), by the tokenizers library.
 
-    The distinct words of all plain texts of a call are cut into pieces by one pattern, other texts word by word; each distinct piece
-    is merged by the library once, and the ids of words are copied to the places where they occur.  Two generations of
+    The distinct words of all plain texts of a call that are not known yet are cut into pieces by one pattern, other texts
+    word by word; each distinct piece is merged by the library once, and the ids of words are copied to the places where they
+    occur.  Words of plain texts are kept in arrays, all forgotten when these are full.  Two generations of
     pieces are kept: when the younger one is full the older one is forgotten, but for what has been used since.
     """
 
@@ -133,6 +136,13 @@ class WordEncoder:
         self.kept = kept
         self.known: dict[str | int, bytes] = {}
         self.older: dict[str | int, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """No words: ``words`` are followed by their ids in ``flat``, those of word i from ``ends[i]`` to the next."""
+        self.words = pa.array([], pa.string())
+        self.flat = np.zeros(0, "<u4")
+        self.ends = np.zeros(1, np.int64)
 
     def _learn(self, pieces: list[str | int], marked: bool) -> None:
         """Make all pieces known.  They are Latin-1 text; in ``marked`` ones those after a NUL are in the byte-level alphabet."""
@@ -179,27 +189,25 @@ class WordEncoder:
         """All ids of the texts, and where each text's begin."""
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
         coded = lists.flatten().dictionary_encode()
-        flat = np.frombuffer(self._ids(_LINES.findall("\n".join(coded.dictionary.to_pylist()))), "<u4")
-        stops = np.append(np.flatnonzero(flat == _LINE_END), len(flat))
-        starts = np.append(0, stops[:-1] + 1)
-        word = np.asarray(coded.indices)
-        sizes = (stops - starts)[word]
-        ends = np.append(0, np.cumsum(sizes))
-        ids = np.empty(ends[-1], dtype="<u4")
-        for a in range(0, len(word), _AT_ONCE):
-            b = min(a + _AT_ONCE, len(word))
-            n = sizes[a:b]
-            # from one id to the next the place moves by one, and to a word's first id by the way from the last of the word before
-            step = np.ones(ends[b] - ends[a], dtype=np.int32)
-            some = np.flatnonzero(n)
-            if len(some):
-                first = starts[word[a:b][some]]
-                step[(ends[a:b] - ends[a])[some]] = first - np.append(0, (first + n[some] - 1)[:-1])
-                ids[ends[a]:ends[b]] = flat[np.cumsum(step, dtype=np.int32)]
-        return ids, ends[np.asarray(lists.offsets)].tolist()
-
-
-_encoders: dict[str, WordEncoder] = {}
+        if len(self.words) > WORDS_STORED:
+            self._forget()
+        at = pc.index_in(coded.dictionary, value_set=self.words)
+        fresh = coded.dictionary.filter(at.is_null())
+        if len(fresh):
+            flat = np.frombuffer(self._ids(_LINES.findall("\n".join(fresh.to_pylist()))), "<u4")
+            stops = np.append(np.flatnonzero(flat == _LINE_END), len(flat)) - np.arange(len(fresh))  # less the line ends before
+            at = pc.fill_null(at, -1).to_numpy().copy()
+            at[at < 0] = len(self.words) + np.arange(len(fresh))
+            self.words = pa.concat_arrays([self.words, fresh])
+            self.flat = np.concatenate([self.flat, flat[flat != _LINE_END]])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + stops])
+        kept = pa.LargeListArray.from_arrays(pa.array(self.ends), pa.array(self.flat))
+        found = kept.take(pa.array(np.asarray(at)[np.asarray(coded.indices)], pa.int64()))
+        ends = np.asarray(found.offsets)
+        return np.asarray(found.values)[ends[0]:], (ends - ends[0])[np.asarray(lists.offsets)].tolist()
+
+
+_encoders: dict[str, WordEncoder] = worker_cache()
 
 
 def encoder(path: str) -> WordEncoder:
