@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import discard, documents, mapped, materialize, partitions, release, slices
+from cartwheel.llm.common import discard, documents, files_for, mapped, materialize, partitions, release, slices
 from cartwheel.llm.components import components
 
 WORDS = 5
@@ -241,7 +241,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _signatures(texts: DataFrame, n_docs: int) -> DataFrame:
+def _signatures(texts: DataFrame, n_docs: int, files: int | None = None) -> DataFrame:
     """key, first_id, weight, shared (the weight of shingles of other texts), hashes, weights and bands of every
     text that can have a near-duplicate."""
     idf = idf_table(n_docs)
@@ -273,7 +273,7 @@ def _signatures(texts: DataFrame, n_docs: int) -> DataFrame:
                                                  ["key", "first_id", "weight", "shared", "hashes", "weights", "bands"])
 
     return materialize(mapped(texts, run, "key binary, first_id long, weight double, shared double, hashes binary, weights binary, bands array<long>"),
-                       "near-signatures")
+                       "near-signatures", files)
 
 
 # ---- links ---------------------------------------------------------------------------------------------------
@@ -302,17 +302,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float = SIMILARITY)
     return mapped(rows, run, "a binary, b binary, similarity double")
 
 
-def links(texts: DataFrame) -> DataFrame:
-    """a, b: verified links that connect every class of near-duplicate ``texts`` (output of ``_signatures``)."""
+def links(texts: DataFrame, files: int | None = None) -> DataFrame:
+    """a, b: verified links that connect every class of near-duplicate ``texts`` (output of ``_signatures``).  ``files``: see ``materialize``."""
     members = texts.select("key", "weight", "shared", "bands", F.posexplode("bands").alias("band", "hash"))
     lead = F.struct((F.col("shared") / F.col("weight")).alias("common"), "weight", "key", "shared")
     groups = members.groupBy("band", "hash").agg(F.count("*").alias("size"), F.max(lead).alias("lead"), F.min("weight").alias("least")).where("size > 1")
-    near = materialize(members.join(groups, ["band", "hash"]), "near-members")
+    near = materialize(members.join(groups, ["band", "hash"]), "near-members", files)
     stars = near.alias("m").withColumn("l", F.col("lead")).where((F.col("key") != F.col("l.key")) & _may_link("m", "l"))
-    first = materialize(_verified(stars.select(F.col("l.key").alias("a"), F.col("key").alias("b")), texts), "near-links")
+    first = materialize(_verified(stars.select(F.col("l.key").alias("a"), F.col("key").alias("b")), texts), "near-links", files)
     slack = SIMILARITY - 1e-6  # weights are kept as 32-bit floats
     good = first.where(F.col("similarity") >= slack).select("a", "b")
-    roots = materialize(components(good), "near-roots")
+    roots = materialize(components(good, files), "near-roots", files)
     # what the stars left apart: members that some bound still lets link to another class of their bucket
     need = (1 + SIMILARITY) / SIMILARITY
     alive = (F.col("weight") + F.col("least")) <= need * F.col("shared") + 1e-6
@@ -322,18 +322,18 @@ def links(texts: DataFrame) -> DataFrame:
     known = known.withColumn("far", F.when(F.col("key") == F.col("lead_key"), 0.0).otherwise(1 - F.col("similarity")))
     split = known.groupBy("band", "hash").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("band", "hash")
     left = known.where(F.col("key") != F.col("lead_key")).join(split, ["band", "hash"]).select("band", "hash", "bands", "key", "weight", "shared", "root", "far")
-    left = materialize(left.join(texts.select("key", "hashes", "weights"), "key"), "near-left")
-    second = mapped(_block_pairs(left), _compared, "a binary, b binary, similarity double")
+    left = materialize(left.join(texts.select("key", "hashes", "weights"), "key"), "near-left", files)
+    second = mapped(_block_pairs(left, files), _compared, "a binary, b binary, similarity double")
     return materialize(good.unionByName(second.where(F.col("similarity") >= slack).select("a", "b").distinct()), "near-all-links")
 
 
-def _block_pairs(left: DataFrame) -> DataFrame:
+def _block_pairs(left: DataFrame, files: int | None = None) -> DataFrame:
     """Members of a bucket in blocks by hash of the key, and one row for each two blocks of a bucket (or one with
     itself): band, one (whether it is one block), x, y (the members)."""
     sizes = left.groupBy("band", "hash").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("hashes")) / BLOCK_BYTES)).alias("blocks"))
     member = F.struct("key", "weight", "shared", "root", "far", "bands", "hashes", "weights")
     blocks = left.join(sizes, ["band", "hash"]).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    blocks = materialize(blocks.groupBy("band", "hash", "block").agg(F.collect_list(member).alias("m")), "near-blocks")  # a block is bounded
+    blocks = materialize(blocks.groupBy("band", "hash", "block").agg(F.collect_list(member).alias("m")), "near-blocks", files)  # a block is bounded
     x, y = blocks.alias("x"), blocks.alias("y")
     met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.hash") == F.col("y.hash")) & (F.col("x.block") <= F.col("y.block")))
     return met.select(F.col("x.band").alias("band"), (F.col("x.block") == F.col("y.block")).alias("one"), F.col("x.m").alias("x"), F.col("y.m").alias("y"))
@@ -396,6 +396,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     wanted = max(partitions(docs.sparkSession), size // BUCKET_BYTES)  # as the table grows, a bucket does not
     bits = min(16, max(4, (wanted - 1).bit_length()))
+    files = files_for(docs.sparkSession, size)
     codes = _frequencies(docs, bits)
     release(docs.sparkSession)
     n_docs = codes.where("kind = 1").agg(F.sum(F.size("doc_ids")).alias("n")).first().n or 0
@@ -405,9 +406,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids = rows.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
     vector = F.struct("hashes", "codes", "times", "alone")
     texts = rows.where("hashes is not null").groupBy("key").agg(F.any_value(vector).alias("v"), F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
-    texts = _signatures(texts.select("key", "copies", "first_id", "v.*"), n_docs)
-    edges = links(texts)
-    roots = materialize(components(edges), "near-classes")
+    texts = _signatures(texts.select("key", "copies", "first_id", "v.*"), n_docs, files)
+    edges = links(texts, files)
+    roots = materialize(components(edges, files), "near-classes", files)
     ends = edges.select(F.col("a").alias("key")).unionByName(edges.select(F.col("b").alias("key"))).groupBy("key").agg(F.count("*").alias("n_links"))
     ids = ids.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     classes = ids.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
