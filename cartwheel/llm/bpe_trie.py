@@ -4,7 +4,8 @@ A sequence of tokens is the BPE encoding of its string exactly if each neighbour
 the pair's string.  So the encoding of a prefix is known from its *last* token alone: the one token t that
 ends there and fits the last token of the shorter prefix that t leaves.  Distinct words go into a trie (as a
 sorted list, in which neighbours share their common prefix); a depth-first walk keeps the last tokens of the
-current path and computes those of each shared prefix once.  A word's ids are read off backwards.
+current path and computes those of each shared prefix once.  Tokens are looked up only at the lengths at which
+one ends like the prefix.  A word's ids are read off backwards.
 """
 
 from __future__ import annotations
@@ -15,13 +16,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.llm.common import documents, mapped, slices, worker_cache
-from cartwheel.llm.tokens import Pieces, byte_symbols, split_words, vocabulary_path
+from cartwheel.llm.tokens import WordEncoder, byte_symbols, vocabulary_path
 
-#: Distinct words a Python worker keeps, pieces of words, and checked pairs of tokens.
-WORDS_KEPT, PIECES_KEPT, PAIRS_KEPT = 400_000, 500_000, 2_000_000
+#: Pieces of words in each of the two generations that a Python worker keeps, and checked pairs of tokens.
+PIECES_KEPT, PAIRS_KEPT = 250_000, 2_000_000
+#: Last bytes of a prefix by which the lengths of its tokens are known, and such endings that are kept.
+TAIL, TAILS_KEPT = 3, 500_000
 
 
 class TrieBpe:
@@ -30,19 +34,25 @@ class TrieBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.cut = Pieces(path)
+        self.words = WordEncoder(path, PIECES_KEPT, self.merge)
         model = spec["model"]
         end = model.get("end_of_word_suffix") or ""
 
         def key(token: str) -> str:
             """A token as one character per byte; the closing byte of a word is moved up by 256."""
             body = token.removesuffix(end) if end else token
-            return closed(body) if end and body != token else body.translate(_BYTE)
+            body, whole = body.translate(_BYTE), body == token
+            return body if whole else closed(body)
 
         self.id_of = {key(t): i for t, i in model["vocab"].items()}
-        self.longest = max(map(len, self.id_of))
+        self.ending: dict[str, set[int]] = {}  # last bytes → lengths of the tokens that end so
+        for token in self.id_of:
+            self.ending.setdefault(token[-TAIL:], set()).add(len(token))
+        self.tails: dict[str, list[int]] = {}
         self.shown = {i: t for t, i in model["vocab"].items()}
         self.shown |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.texts = pa.array([self.shown.get(i) for i in range(max(self.shown) + 1)], pa.large_string())
+        self.bytes = [i.to_bytes(4, "little") for i in range(len(self.texts))]
         self.halves: dict[int, tuple[int, int]] = {}  # token → the two tokens it is merged from
         self.rank: dict[int, int] = {}  # pair → place of its merge
         self.result: dict[int, int] = {}
@@ -53,10 +63,7 @@ class TrieBpe:
             self.halves[made] = (vocab[a], vocab[b])
         self.place = {made: self.rank[pair] for pair, made in self.result.items()}
         self.fits: dict[int, bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.ids: dict[bytes, bytes] = {}
-        self.texts: dict[bytes, bytes] = {}
-        self.empty: set[bytes] = set()
+        self.wholes: dict[int, bool] = {}
 
     def _merged(self, ids: list[int]) -> list[int]:
         """Plain BPE: the merge of lowest place first, the leftmost of equals."""
@@ -86,9 +93,19 @@ class TrieBpe:
             else:  # a merge of the same place further left comes first: at the boundary, before the right token's own
                 limit, right = pr + 1, halves[right][0]
 
-    def _walk(self, words: list[str]) -> None:
-        """Last tokens along the trie of the sorted ``words``; their ids go to ``self.pieces``."""
-        id_of, fits, longest = self.id_of, self.fits, self.longest
+    def _lengths(self, tail: str) -> list[int]:
+        """Lengths of the tokens that may end a prefix with the last bytes ``tail`` (all its bytes, if fewer than ``TAIL``), longest first."""
+        found = {n for n in range(1, len(tail) + 1) if tail[-n:] in self.id_of}
+        if len(tail) == TAIL:
+            found |= self.ending.get(tail, set())
+        if len(self.tails) > TAILS_KEPT:
+            self.tails.clear()
+        self.tails[tail] = sorted(found, reverse=True)
+        return self.tails[tail]
+
+    def _walk(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of each of the sorted ``words``, from the last tokens along their trie."""
+        id_of, fits, tails, wholes, four = self.id_of, self.fits, self.tails, self.wholes, self.bytes
         last: list[tuple[int, int]] = []  # (token, its length) for each prefix on the path
         before = ""
         for word in words:
@@ -97,68 +114,64 @@ class TrieBpe:
                 shared += 1
             del last[shared:]
             for d in range(shared + 1, len(word) + 1):
-                for start in range(max(0, d - longest), d):
-                    t = id_of.get(word[start:d])
+                tail = word[d - TAIL:d] if d > TAIL else word[:d]
+                for n in tails.get(tail) or self._lengths(tail):
+                    if n > d:
+                        continue
+                    t = id_of.get(word[d - n:d])
                     if t is None:
                         continue
-                    if start == 0:
-                        if self.whole(t):
-                            last.append((t, d))
+                    if n == d:
+                        if wholes.get(t) or self.whole(t):
+                            last.append((t, n))
                             break
                         continue
-                    pair = (last[start - 1][0] << 32) | t
+                    pair = (last[d - n - 1][0] << 32) | t
                     ok = fits.get(pair)
                     if ok is None:
-                        ok = fits[pair] = self.whole(t) and self._fit(last[start - 1][0], t)
+                        ok = fits[pair] = (wholes.get(t) or self.whole(t)) and self._fit(last[d - n - 1][0], t)
                     if ok:
-                        last.append((t, d - start))
+                        last.append((t, n))
                         break
             ids, d = [], len(word)
             while d:
                 t, n = last[d - 1]
-                ids.append(t)
+                ids.append(four[t])
                 d -= n
-            self.pieces[word] = tuple(reversed(ids))
+            ids.reverse()
+            yield b"".join(ids)
             before = word
 
     def whole(self, t: int) -> bool:
         """Whether a token is what its own string is encoded to: its halves are, and they would be merged."""
-        known = self.fits.get(-t - 1)
+        known = self.wholes.get(t)
         if known is None:
             known = t not in self.halves or (all(map(self.whole, self.halves[t])) and self._merged(self._symbols(t)) == [t])
-            self.fits[-t - 1] = known
+            self.wholes[t] = known
         return known
 
     def _symbols(self, t: int) -> list[int]:
         return [t] if t not in self.halves else self._symbols(self.halves[t][0]) + self._symbols(self.halves[t][1])
 
-    def learn(self, fresh: list[bytes]) -> None:
-        cuts: dict[bytes, list[str | int]] = {}
-        for w in fresh:
-            cuts[w] = [closed(p) if isinstance(p, str) else p for p in self.cut(w.decode())]
-        if len(self.pieces) > PIECES_KEPT:
-            self.pieces.clear()
+    def merge(self, pieces: list[str], marked: bool) -> Iterator[bytes]:
+        """The ids of distinct pieces, as ``WordEncoder`` asks for them."""
         if len(self.fits) > PAIRS_KEPT:
             self.fits.clear()
-        self._walk(sorted({p for ps in cuts.values() for p in ps if isinstance(p, str) and p not in self.pieces}))
-        for w, ps in cuts.items():
-            ids = [t for p in ps for t in (self.pieces[p] if isinstance(p, str) else (p,))]
-            self.ids[w] = np.array(ids, dtype="<u4").tobytes()
-            self.texts[w] = " ".join([self.shown[t] for t in ids]).encode()
-            if not ids:
-                self.empty.add(w)
+        if marked:
+            keys = [closed(p.removeprefix("\0").translate(_BYTE)) for p in pieces]
+        else:
+            keys = [closed(p if p.isascii() else p.encode().decode("latin-1")) for p in pieces]
+        words = sorted(keys)
+        found = dict(zip(words, self._walk(words), strict=True))
+        return map(found.__getitem__, keys)
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """For each text its ids (little-endian unsigned 32 bits) and what they decode to."""
-        words = [split_words(t) for t in texts]
-        fresh = {w for ws in words for w in ws if w not in self.ids}
-        if len(self.ids) + len(fresh) > WORDS_KEPT:
-            self.ids.clear(), self.texts.clear(), self.empty.clear()
-            fresh = {w for ws in words for w in ws}
-        self.learn(list(fresh))
-        for ws in words:
-            some = [w for w in ws if w not in self.empty] if self.empty else ws
-            yield b"".join(map(self.ids.__getitem__, some)), b" ".join(map(self.texts.__getitem__, some))
+        ids = self.words.encode(texts)
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        tokens = self.texts.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        decoded = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), tokens), pa.scalar(" ", pa.large_string()))
+        return zip(ids, decoded.cast(pa.large_binary()).to_pylist(), strict=True)
 
     def decode(self, ids: np.ndarray) -> str:
         """The tokens' texts with blanks between them, as the library decodes without a decoder."""
@@ -169,9 +182,8 @@ _BYTE = {ord(c): chr(b) for b, c in byte_symbols().items()}
 
 
 def closed(piece: str) -> str:
-    """A piece of the byte-level alphabet as one character per byte, the last one moved up by 256."""
-    text = piece if piece.isascii() else piece.translate(_BYTE)
-    return text[:-1] + chr(ord(text[-1]) + 256)
+    """A piece, given as one character per byte, with the last one moved up by 256."""
+    return piece[:-1] + chr(ord(piece[-1]) + 256)
 
 
 _coders: dict[str, TrieBpe] = worker_cache()

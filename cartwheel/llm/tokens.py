@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import public_tokenizers
@@ -118,16 +119,18 @@ def _is_plain(text: str) -> bool:
 
 
 class WordEncoder:
-    """Whole texts to ids (as little-endian unsigned 32-bit bytes), by the tokenizers library.
+    """Whole texts to ids (as little-endian unsigned 32-bit bytes).
 
     The distinct words of all plain texts of a call that are not known yet are cut into pieces by one pattern, other texts
-    word by word; each distinct piece is merged by the library once, and the ids of words are copied to the places where they
-    occur.  Words of plain texts are kept in arrays, all forgotten when these are full.  Two generations of
-    pieces are kept: when the younger one is full the older one is forgotten, but for what has been used since.
+    word by word; each distinct piece is merged once, by the library or by ``merge`` (which gets what ``_by_library`` would),
+    and the ids of words are copied to the places where they occur.  Words of plain texts are kept in arrays, all
+    forgotten when these are full.  Two generations of pieces are kept: when the younger one is full the older one is
+    forgotten, but for what has been used since.
     """
 
-    def __init__(self, path: str, kept: int = WORDS_KEPT):
+    def __init__(self, path: str, kept: int = WORDS_KEPT, merge: Callable[[list[str], bool], Iterable[bytes]] | None = None):
         self.pieces = Pieces(path)
+        self.merge = merge or self._by_library
         self.model = Tokenizer.from_file(path)  # merges only: what it gets is cut already
         self.model.no_truncation()
         self.model.no_padding()
@@ -155,8 +158,13 @@ class WordEncoder:
         fresh -= again
         known.update((p, p.to_bytes(4, "little")) for p in fresh if isinstance(p, int))
         new = [p for p in fresh if not isinstance(p, int)]
-        for i in range(0, len(new), _CHUNK):
-            part = new[i:i + _CHUNK]
+        known.update(zip(new, self.merge(new, marked), strict=True))
+        known["\n"] = _LINE_END.to_bytes(4, "little")
+
+    def _by_library(self, pieces: list[str], marked: bool) -> Iterable[bytes]:
+        """The ids of each piece; pieces are as in ``_learn``."""
+        for i in range(0, len(pieces), _CHUNK):
+            part = pieces[i:i + _CHUNK]
             if marked:
                 shown = [p[1:] if p[0] == "\0" else p for p in part]
             else:
@@ -164,8 +172,7 @@ class WordEncoder:
             got = self.model.encode(shown, is_pretokenized=True, add_special_tokens=False)
             data = np.array(got.ids, dtype="<u4").tobytes()
             at = (np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1)) * 4).tolist()
-            known.update((p, data[s:e]) for p, s, e in zip(part, at, at[1:], strict=False))
-        known["\n"] = _LINE_END.to_bytes(4, "little")
+            yield from (data[s:e] for s, e in zip(at, at[1:], strict=False))
 
     def _ids(self, pieces: list[str | int], marked: bool = False) -> bytes:
         self._learn(pieces, marked)
