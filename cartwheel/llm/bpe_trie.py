@@ -153,8 +153,8 @@ class TrieBpe:
     def _symbols(self, t: int) -> list[int]:
         return [t] if t not in self.halves else self._symbols(self.halves[t][0]) + self._symbols(self.halves[t][1])
 
-    def merge(self, pieces: list[str], marked: bool) -> Iterator[bytes]:
-        """The ids of distinct pieces, as ``WordEncoder`` asks for them."""
+    def merge(self, pieces: list[str], marked: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct pieces, one after the other, and where they end, as ``WordEncoder`` asks for them."""
         if len(self.fits) > PAIRS_KEPT:
             self.fits.clear()
         if marked:
@@ -163,7 +163,8 @@ class TrieBpe:
             keys = [closed(p if p.isascii() else p.encode().decode("latin-1")) for p in pieces]
         words = sorted(keys)
         found = dict(zip(words, self._walk(words), strict=True))
-        return map(found.__getitem__, keys)
+        ids = [found[k] for k in keys]
+        return np.frombuffer(b"".join(ids), "<u4"), np.cumsum([0, *map(len, ids)]) // 4
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """For each text its ids (little-endian unsigned 32 bits) and what they decode to."""

@@ -51,6 +51,7 @@ class Pieces:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = self.library.normalizer, self.library.pre_tokenizer
         self.added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self._special = regex.compile("|".join(map(regex.escape, self.added)) or r"(?!)")
 
@@ -61,8 +62,8 @@ class Pieces:
         for m in [*self._special.finditer(word), None]:
             part = word[at:m.start() if m else None]
             if part:
-                part = self.library.normalizer.normalize_str(part)
-                out += [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(part)]
+                part = self.normalizer.normalize_str(part)
+                out += [p for p, _ in self.pre_tokenizer.pre_tokenize_str(part)]
             if m:
                 out.append(self.added[m.group()])
                 at = m.end()
@@ -93,6 +94,7 @@ def byte_symbols() -> dict[int, str]:
 
 
 _SHOWN = byte_symbols()
+_SHOWN_LINES = {b: c for b, c in _SHOWN.items() if b != 10}
 
 
 def _latin_class(kind: str) -> str:
@@ -106,8 +108,9 @@ _LINES = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\n{
 #: White space that is dropped, and printable Latin-1.
 _PLAIN = bytes([*range(9, 14), *range(32, 127), *range(161, 256)])
 _LINE_END = 0xFFFFFFFF
-#: Distinct words of plain texts that a Python worker keeps with their ids (some 40 bytes each), and those of one batch.
-WORDS_STORED = 1_000_000
+#: Distinct words of plain texts and distinct pieces of them that a Python worker keeps with their ids (some 40 bytes each), and
+#: those of one batch.
+WORDS_STORED, PIECES_STORED = 400_000, 500_000
 
 
 def _is_plain(text: str) -> bool:
@@ -118,37 +121,78 @@ def _is_plain(text: str) -> bool:
         return False
 
 
+def _lines(strings: pa.Array) -> str:
+    """All strings, one a line; quicker than a list of them."""
+    all_of_them = pa.LargeListArray.from_arrays(pa.array([0, len(strings)], pa.int64()), strings.cast(pa.large_string()))
+    return pc.binary_join(all_of_them, pa.scalar("\n", pa.large_string()))[0].as_py()
+
+
+class _Stored:
+    """Distinct strings, each with some ids, in arrays: those of string i are in ``flat`` from ``ends[i]`` to the next."""
+
+    def __init__(self, first: str | None = None, ids: Iterable[int] = ()):
+        self.strings = pa.array([] if first is None else [first], pa.string())
+        self.flat = np.array(ids, "<u4")
+        self.ends = np.array([0] if first is None else [0, len(self.flat)], np.int64)
+
+    def __len__(self) -> int:
+        return len(self.strings)
+
+    def places(self, strings: pa.Array, learn: Callable[[pa.Array], None]) -> np.ndarray:
+        """The numbers of distinct strings; ``learn`` is to add those that are new."""
+        at = pc.index_in(strings, value_set=self.strings)
+        fresh = strings.filter(at.is_null())
+        at = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        if len(fresh):
+            at[at < 0] = len(self) + np.arange(len(fresh))
+            learn(fresh)
+        return at
+
+    def add(self, fresh: pa.Array, flat: np.ndarray, ends: np.ndarray) -> None:
+        """Strings that are new, their ids one after the other, and where they end, from 0."""
+        self.strings = pa.concat_arrays([self.strings, fresh])
+        self.flat = np.concatenate([self.flat, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends[1:]])
+
+    def copied(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings at ``places``, one after the other, and where they end, from 0."""
+        found = pa.LargeListArray.from_arrays(pa.array(self.ends), pa.array(self.flat)).take(pa.array(places))
+        ends = np.asarray(found.offsets)
+        return np.asarray(found.values)[ends[0]:ends[-1]], ends - ends[0]
+
+
 class WordEncoder:
     """Whole texts to ids (as little-endian unsigned 32-bit bytes).
 
     The distinct words of all plain texts of a call that are not known yet are cut into pieces by one pattern, other texts
     word by word; each distinct piece is merged once, by the library or by ``merge`` (which gets what ``_by_library`` would),
-    and the ids of words are copied to the places where they occur.  Words of plain texts are kept in arrays, all
-    forgotten when these are full.  Two generations of pieces are kept: when the younger one is full the older one is
-    forgotten, but for what has been used since.
+    and the ids of words are copied to the places where they occur.  Words of plain texts and their pieces are kept in
+    arrays, all forgotten when these are full.  Of the others' pieces two generations are kept: when the younger one is
+    full the older one is forgotten, but for what has been used since.
     """
 
-    def __init__(self, path: str, kept: int = WORDS_KEPT, merge: Callable[[list[str], bool], Iterable[bytes]] | None = None):
+    def __init__(self, path: str, kept: int = WORDS_KEPT, merge: Callable[[list[str], bool], tuple[np.ndarray, np.ndarray]] | None = None):
         self.pieces = Pieces(path)
         self.merge = merge or self._by_library
-        self.model = Tokenizer.from_file(path)  # merges only: what it gets is cut already
+        self.model = self.pieces.library  # merges only: what it gets is cut already
         self.model.no_truncation()
         self.model.no_padding()
         self.model.normalizer = None
         self.model.pre_tokenizer = None
+        vocabulary, end = self.model.get_vocab(), self.model.model.end_of_word_suffix
+        self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closing[[i for t, i in vocabulary.items() if end and t.endswith(end)]] = True
         self.kept = kept
         self.known: dict[str | int, bytes] = {}
         self.older: dict[str | int, bytes] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        """No words: ``words`` are followed by their ids in ``flat``, those of word i from ``ends[i]`` to the next."""
-        self.words = pa.array([], pa.string())
-        self.flat = np.zeros(0, "<u4")
-        self.ends = np.zeros(1, np.int64)
+        self.words, self.stems = _Stored(), _Stored("\n", [_LINE_END])
 
     def _learn(self, pieces: list[str | int], marked: bool) -> None:
-        """Make all pieces known.  They are Latin-1 text; in ``marked`` ones those after a NUL are in the byte-level alphabet."""
+        """Make all pieces known; those that are not ``marked`` are distinct and new.  They are Latin-1 text; in ``marked`` ones
+        those after a NUL are in the byte-level alphabet, and numbers are ids."""
+        if not marked:
+            self.stems.add(pa.array(pieces, pa.string()), *self.merge(pieces, False))
+            return
         if len(self.known) > self.kept:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
@@ -158,25 +202,46 @@ class WordEncoder:
         fresh -= again
         known.update((p, p.to_bytes(4, "little")) for p in fresh if isinstance(p, int))
         new = [p for p in fresh if not isinstance(p, int)]
-        known.update(zip(new, self.merge(new, marked), strict=True))
-        known["\n"] = _LINE_END.to_bytes(4, "little")
+        flat, ends = self.merge(new, True)
+        data, at = flat.tobytes(), (4 * ends).tolist()
+        known.update((p, data[s:e]) for p, s, e in zip(new, at, at[1:], strict=False))
 
-    def _by_library(self, pieces: list[str], marked: bool) -> Iterable[bytes]:
-        """The ids of each piece; pieces are as in ``_learn``."""
+    def _by_library(self, pieces: list[str], marked: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, and where each piece's begin and the last one's end; pieces are as in ``_learn``."""
+        ids, ends, total = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)], 0
         for i in range(0, len(pieces), _CHUNK):
             part = pieces[i:i + _CHUNK]
             if marked:
                 shown = [p[1:] if p[0] == "\0" else p for p in part]
             else:
-                shown = [p if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN) for p in part]
+                shown = "\n".join(part).encode().decode("latin-1").translate(_SHOWN_LINES).split("\n")
+            found, stops = self._merged(shown)
+            ids.append(found)
+            ends.append(total + stops)
+            total += len(found)
+        return np.concatenate(ids), np.concatenate(ends)
+
+    def _merged(self, shown: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of pieces in the byte-level alphabet, and where each one's end: at tokens that close a word, if the file has such."""
+        ids = np.array(self.model.encode_batch_fast([shown], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = np.flatnonzero(self.closing[ids]) + 1
+        if len(stops) != len(shown):
             got = self.model.encode(shown, is_pretokenized=True, add_special_tokens=False)
-            data = np.array(got.ids, dtype="<u4").tobytes()
-            at = (np.searchsorted(np.array(got.word_ids), np.arange(len(part) + 1)) * 4).tolist()
-            yield from (data[s:e] for s, e in zip(at, at[1:], strict=False))
-
-    def _ids(self, pieces: list[str | int], marked: bool = False) -> bytes:
-        self._learn(pieces, marked)
-        return b"".join(map(self.known.__getitem__, pieces))
+            ids = np.array(got.ids, dtype="<u4")
+            stops = np.searchsorted(np.array(got.word_ids, dtype=np.int64), np.arange(1, len(shown) + 1))
+        return ids, stops
+
+    def _ids(self, pieces: list[str | int], marked: bool) -> np.ndarray:
+        """The ids of all pieces, one after the other; pieces are as in ``_learn``, but line ends among those that are not
+        ``marked`` become ``_LINE_END``."""
+        if marked:
+            self._learn(pieces, True)
+            return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")
+        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        if len(self.stems) > PIECES_STORED:
+            self.stems = _Stored("\n", [_LINE_END])
+        at = self.stems.places(coded.dictionary, lambda fresh: self._learn(_lines(fresh).split("\n"), False))
+        return self.stems.copied(at[np.asarray(coded.indices)])[0]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out, plain = [b""] * len(texts), []
@@ -185,7 +250,7 @@ class WordEncoder:
                 plain.append(i)
             elif t:
                 cut = (p for w in split_words(t) for p in self.pieces(w.decode()))
-                out[i] = self._ids([p if isinstance(p, int) or p.isascii() and p[0] != "\0" else "\0" + p for p in cut], marked=True)
+                out[i] = self._ids([p if isinstance(p, int) or p.isascii() and p[0] != "\0" else "\0" + p for p in cut], True).tobytes()
         if plain:
             found, ends = self._plain([texts[i].lower() for i in plain])
             for i, s, e in zip(plain, ends, ends[1:], strict=False):
@@ -197,21 +262,17 @@ class WordEncoder:
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
         coded = lists.flatten().dictionary_encode()
         if len(self.words) > WORDS_STORED:
-            self._forget()
-        at = pc.index_in(coded.dictionary, value_set=self.words)
-        fresh = coded.dictionary.filter(at.is_null())
-        if len(fresh):
-            flat = np.frombuffer(self._ids(_LINES.findall("\n".join(fresh.to_pylist()))), "<u4")
-            stops = np.append(np.flatnonzero(flat == _LINE_END), len(flat)) - np.arange(len(fresh))  # less the line ends before
-            at = pc.fill_null(at, -1).to_numpy().copy()
-            at[at < 0] = len(self.words) + np.arange(len(fresh))
-            self.words = pa.concat_arrays([self.words, fresh])
-            self.flat = np.concatenate([self.flat, flat[flat != _LINE_END]])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + stops])
-        kept = pa.LargeListArray.from_arrays(pa.array(self.ends), pa.array(self.flat))
-        found = kept.take(pa.array(np.asarray(at)[np.asarray(coded.indices)], pa.int64()))
-        ends = np.asarray(found.offsets)
-        return np.asarray(found.values)[ends[0]:], (ends - ends[0])[np.asarray(lists.offsets)].tolist()
+            self.words = _Stored()
+        at = self.words.places(coded.dictionary, lambda fresh: self.words.add(fresh, *self._cut(fresh)))
+        found, ends = self.words.copied(at[np.asarray(coded.indices)])
+        return found, ends[np.asarray(lists.offsets)].tolist()
+
+    def _cut(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and where they end."""
+        flat = self._ids(_LINES.findall(_lines(words)), False)
+        line_ends = flat == _LINE_END
+        stops = np.append(np.flatnonzero(line_ends), len(flat)) - np.arange(len(words))  # less the line ends before
+        return flat[~line_ends], np.append(0, stops)
 
 
 _encoders: dict[str, WordEncoder] = worker_cache()
