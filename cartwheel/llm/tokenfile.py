@@ -35,8 +35,9 @@ BLOCK_IDS = 1 << 20
 END_ID = 2
 #: Ids below are counted in an array of all ids up to the greatest.
 DENSE = 1 << 20
-#: Bytes of each of the four ranks behind a control byte.
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
+#: Bytes of each of the four ranks behind a control byte, and the bits of a rank of so many bytes.
+LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
+OWN = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
 
 
 def pack(ids: np.ndarray, sizes: np.ndarray) -> bytes:
@@ -54,20 +55,20 @@ def pack(ids: np.ndarray, sizes: np.ndarray) -> bytes:
         rank = np.empty(len(distinct), dtype=np.uint32)
         rank[by_rank] = np.arange(len(distinct), dtype=np.uint32)
         r = rank[inverse]
-    lengths = 1 + (r > 0xFF).astype(np.int64) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    ends = np.cumsum(lengths)
-    data = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
-    for k in range(4):
-        some = lengths > k
-        if not some.any():
-            break
-        data[(ends - lengths)[some] + k] = (r[some] >> (8 * k)) & 0xFF
-    codes = np.zeros(-(-len(r) // 4) * 4, dtype=np.uint8)
-    codes[:len(r)] = lengths - 1
-    control = codes.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)
+    lengths = np.ones(-(-len(r) // 4) * 4, dtype=np.uint8)
+    width = 1
+    for top in (0xFF, 0xFFFF, 0xFFFFFF):
+        if len(distinct) > top + 1:
+            lengths[:len(r)] += r > top
+            width += 1
+    whole = 4 if width > 2 else 2
+    wide = r.astype(f"<u{whole}").view(np.uint8).reshape(-1, whole)[:, :width]
+    data = wide[lengths[:len(r), None] > np.arange(width, dtype=np.uint8)]
+    codes = (lengths - np.uint8(1)).reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     head = np.array([len(sizes), len(ids), len(distinct)], dtype="<u4")
     return b"".join([MAGIC, head.tobytes(), distinct[by_rank].astype("<u4").tobytes(), sizes.astype("<u4").tobytes(),
-                     np.bitwise_or.reduce(control, axis=1).tobytes(), data.tobytes()])
+                     control.tobytes(), data.tobytes()])
 
 
 def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -81,13 +82,14 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.frombuffer(payload, dtype="<u4", count=d, offset=at)
     at += 4 * d
     control = np.frombuffer(payload, dtype=np.uint8, count=-(-n // 4), offset=at)
-    data = np.frombuffer(payload, dtype=np.uint8, offset=at + len(control))
+    at += len(control)
     lengths = LENGTHS[control].reshape(-1)[:n]
-    starts = np.cumsum(lengths) - lengths
-    r = data[starts].astype(np.uint32)
-    for b in range(1, int(lengths.max(initial=1))):
-        some = lengths > b
-        r[some] |= data[starts[some] + b].astype(np.uint32) << np.uint32(8 * b)
+    # of two or four bytes read at each rank's first one, its own are kept
+    kind = "<u2" if lengths.max(initial=1) <= 2 else "<u4"
+    data = np.ndarray(len(payload) - at, kind, payload[at:] + bytes(4), strides=(1,))
+    starts = np.cumsum(lengths, dtype=np.int64)
+    starts -= lengths
+    r = data[starts] & OWN[lengths].astype(kind)
     return table[r], sizes
 
 
